@@ -1,5 +1,6 @@
 """Text measures, tokens, fingerprints and entities."""
 
+import json
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -14,7 +15,7 @@ WHITE_SPACE = (
 )
 
 _ENTITY_PARTS = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);|[^&]+|&"
-_NAMED = {name: chr(point) for name, point in name2codepoint.items()} | {"apos": "'"}
+_NAMED = json.dumps({name: chr(point) for name, point in name2codepoint.items()} | {"apos": "'"})
 
 
 def fingerprint(text: Column) -> Column:
@@ -51,7 +52,7 @@ def _decode_part(part: Column) -> Column:
     name = F.substring_index(F.substring(part, 2, 64), ";", 1)
     digits = F.substring_index(F.substring(part, 3, 64), ";", 1).try_cast("bigint")
     hexadecimal = F.conv(F.regexp_extract(part, "^&#[xX]0*([0-9a-fA-F]{1,8});$", 1), 16, 10).cast("bigint")
-    names = F.create_map(*[F.lit(item) for pair in _NAMED.items() for item in pair])
+    names = F.from_json(F.lit(_NAMED), "map<string,string>")
     return (
         F.when(~part.startswith("&") | (part == "&"), part)
         .when(part == "&amp;", "&")

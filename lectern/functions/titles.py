@@ -3,6 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lectern.functions.binding import let
 from lectern.functions.uri import uri_ext
 
 # Characters a file name loses, and extensions by type.
@@ -29,7 +30,10 @@ def drop_non_graphic(text: Column) -> Column:
 
 def cut_title(title: Column, limit: int) -> Column:
     """Title cut to `limit` code points if it is longer than `limit` bytes."""
-    return F.when(F.octet_length(title) > limit, drop_non_graphic(F.substring(title, 1, limit))).otherwise(title)
+    return let(
+        title,
+        lambda t: F.when(F.octet_length(t) > limit, drop_non_graphic(F.substring(t, 1, limit))).otherwise(t),
+    )
 
 
 def type_ext(content_type: Column, uri: Column) -> Column:
@@ -48,11 +52,13 @@ def created_date(created: Column) -> Column:
 
 def work_path(content_type: Column, uri: Column, title: Column, created: Column) -> Column:
     """TYPE/yyyy/MM/dd/<clean title>.<ext>; NULL without an extension."""
-    name = F.concat_ws(".", F.coalesce(clean_title(title), F.lit("")), type_ext(content_type, uri))
-    path = F.concat_ws("/", content_type, F.date_format(created_date(created), "yyyy/MM/dd"), name)
-    return F.when(type_ext(content_type, uri).isNotNull() & created.isNotNull(), path)
+    folder = F.concat(content_type, F.lit("/"), F.date_format(created_date(created), "yyyy/MM/dd"), F.lit("/"))
+    return F.concat(folder, F.coalesce(clean_title(title), F.lit("")), F.lit("."), type_ext(content_type, uri))
 
 
 def storage_path(content_type: Column, uri: Column, title: Column, created: Column) -> Column:
     """Work path, refused (NULL) when the clean title has fewer than two characters."""
-    return F.when(F.length(clean_title(title)) >= 2, work_path(content_type, uri, title, created))
+    return let(
+        clean_title(title),
+        lambda name: F.when(F.length(name) >= 2, work_path(content_type, uri, name, created)),
+    )

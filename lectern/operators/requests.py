@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.config import CONTENT_TYPES, DEFAULTS, JobConfig
+from lectern.functions.binding import let, with_computed
 from lectern.functions.titles import clean_title, cut_title, drop_non_graphic, type_ext
 from lectern.functions.text import byte_length
 from lectern.functions.uri import classify, uri_title
@@ -120,13 +121,14 @@ def requests_from_uris(uris: DataFrame, now: Column | None = None, cfg: JobConfi
 def classify_requests(df: DataFrame, cfg: JobConfig = DEFAULTS) -> DataFrame:
     """Type and first title of requests that came as a bare URI; others pass unchanged."""
     bare = F.col("type") == "URI"
-    stub = uri_title(F.col("uri"))
-    own = F.coalesce(F.col("title"), F.when(F.octet_length(stub) > 4, drop_non_graphic(stub)))
-    return df.withColumns(
+    stub = let(uri_title(F.col("uri")), lambda s: F.when(F.octet_length(s) > 4, drop_non_graphic(s)))
+    title = cut_title(F.coalesce(F.col("title"), F.when(bare, stub)), cfg.title_limit)
+    return with_computed(
+        df,
         {
-            "title": F.when(bare, F.nullif(cut_title(own, cfg.title_limit), F.lit(""))).otherwise(F.col("title")),
+            "title": F.when(bare, F.nullif(title, F.lit(""))).otherwise(F.col("title")),
             "type": F.when(bare, classify(F.col("uri"))).otherwise(F.col("type")),
-        }
+        },
     )
 
 
@@ -191,8 +193,8 @@ def route_requests(df: DataFrame) -> DataFrame:
         .when(F.coalesce(F.length(clean_title(F.col("title"))), F.lit(0)) < 2, "title too small")
     )
     return (
-        df.withColumn("route", kind)
-        .withColumn("reason", reason)
+        with_computed(df, {"reason": reason})
+        .withColumn("route", kind)
         .withColumn("status", F.when(F.col("reason").isNull(), "ACCEPTED").otherwise("ERROR"))
         .withColumn("output_type", F.when(F.col("reason").isNull(), "AUDIO"))
     )

@@ -31,7 +31,7 @@ def process_requests(
         read = enrich_text(known, pages, request_key, needed=F.col("type") == "TEXT", cfg=cfg)
     titled = title_from_text(title_from_page(read, cfg), cfg)
     routed = route_requests(apply_defaults(measure_text(titled), cfg))
-    path = storage_path(F.col("output_type"), F.col("uri"), F.col("title"), F.col("created"))
+    path = storage_path(F.lit("AUDIO"), F.col("uri"), F.col("title"), F.col("created"))
     return routed.withColumn("storage_path", F.when(F.col("status") == "ACCEPTED", path)).drop("page_title")
 
 
