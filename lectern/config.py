@@ -26,8 +26,8 @@ class JobConfig:
     page_bucket: int = 64
     # Outline lines ranked together before the cross-chunk step.
     outline_chunk: int = 10_000
-    # Largest table, in rows, handed to a broadcast after it was counted.
-    broadcast_rows: int = 1_000_000
+    # Largest table, in bytes, handed to a broadcast after it was measured.
+    broadcast_bytes: int = 64 * 1024 * 1024
 
 
 DEFAULTS = JobConfig()

@@ -85,7 +85,7 @@ def enrich_text(
     reads = needed & (F.coalesce(F.col("text"), F.lit("")) == "")
     without = requests.where(reads)
     wanted = without.where(F.col("uri").isNotNull()).select(F.col("uri").alias(uri))
-    if fits_broadcast(wanted, cfg.broadcast_rows):
+    if fits_broadcast(wanted, cfg.broadcast_bytes):
         pages = pages.join(F.broadcast(wanted.distinct()), uri, "left_semi")
     landed = landed_text(pages, uri, order_by, cfg=cfg)
     found = salted_join(without, landed, "uri", [request_key]).withColumn("text", F.col("landed_text"))

@@ -6,8 +6,12 @@ from pyspark.sql import functions as F
 
 from lectern.config import DEFAULTS, JobConfig
 from lectern.functions.text import term_counts, tokens
+from lectern.operators.skew import ROW_BYTES, row_bytes
 from lectern.session import materialize
 
+# Longer terms are never broadcast as frequent ones.
+FREQUENT_TERM_BYTES = 128
+
 
 def term_frequency(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, term, tf). Counted inside each row, so nothing is shuffled."""
@@ -44,23 +48,25 @@ def keywords(
 ) -> DataFrame:
     """The k terms of each document with the highest tf * idf: (key, term, tf, score, rank).
 
-    The vocabulary is written once and counted. The most frequent terms, at most
-    `cfg.broadcast_rows` of them, are broadcast, which settles nearly all postings without a shuffle
-    and takes every hot term out of the join. A vocabulary beyond that leaves its rare terms to a
-    shuffle join. The rank is cut to k per document before rows move.
+    The vocabulary is written once and measured. If it fits, it is broadcast whole. Otherwise the
+    most frequent terms are: they settle nearly all postings without a shuffle and take the hot keys
+    out of the shuffle join that is left for the rare terms. Either way the rank is cut to k per
+    document before rows move.
     """
     vocabulary = materialize(idf(docs, text), "idf")
-    size = vocabulary.agg(F.count(F.lit(1)).alias("n"), F.sum("df").alias("postings")).first()
+    size = vocabulary.agg(F.sum("df").alias("postings"), F.sum(row_bytes("term")).alias("bytes")).first()
     tf = term_frequency(docs, key, text)
-    if size["n"] <= cfg.broadcast_rows:
+    if (size["bytes"] or 0) <= cfg.broadcast_bytes:
         weighted = tf.join(F.broadcast(vocabulary), "term")
     else:
-        # At most postings / limit <= broadcast_rows terms can reach this many documents.
-        limit = size["postings"] // cfg.broadcast_rows + 1
-        frequent = F.broadcast(vocabulary.where(F.col("df") >= limit))
-        rare = vocabulary.where(F.col("df") < limit)
+        # No more than postings / limit terms reach the limit, so `frequent` fits the budget.
+        rows = cfg.broadcast_bytes // (FREQUENT_TERM_BYTES + ROW_BYTES)
+        limit = size["postings"] // rows + 1
+        is_frequent = (F.col("df") >= limit) & (F.octet_length("term") <= FREQUENT_TERM_BYTES)
+        frequent = F.broadcast(vocabulary.where(is_frequent))
+        rare = vocabulary.where(~is_frequent).hint("shuffle_merge")
         weighted = tf.join(frequent, "term").unionByName(
-            tf.join(frequent.select("term"), "term", "left_anti").join(rare.hint("shuffle_merge"), "term")
+            tf.join(frequent.select("term"), "term", "left_anti").join(rare, "term")
         )
     scored = weighted.select(key, "term", "tf", F.round(F.col("tf") * F.col("idf"), 6).alias("score"))
     best_first = W.partitionBy(key).orderBy(F.desc("score"), F.asc("term"))

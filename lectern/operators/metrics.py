@@ -36,7 +36,7 @@ def playback_estimate(
     own = F.lit(None).cast("int") if rate is None else F.nullif(F.col(rate), F.lit(0))
     wpm = F.coalesce(own, F.lit(cfg.words_per_minute))
     words = docs.select(*by, word_count(F.col(text)).alias("words"), wpm.alias("wpm"))
-    # Words are summed per rate first: whole numbers, so the order of the rows cannot show.
+    # Words are summed per rate first, as whole numbers; only one fraction per rate is added up.
     per_rate = words.groupBy(*by, "wpm").agg(F.count(F.lit(1)).alias("n"), F.sum("words").alias("words"))
     return per_rate.groupBy(*by).agg(
         F.sum("n").alias("n_docs"),

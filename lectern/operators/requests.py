@@ -13,7 +13,7 @@ from lectern.functions.uri import classify, uri_title
 from lectern.schema import INPUT_ARRAY, INPUT_NUMBERS, INPUT_STRINGS, PUBLIC_COLUMNS, REQUEST_SCHEMA
 
 # Contract patterns of a content type and of a request id.
-TYPE_PATTERN = r"^(URI|YOUTUBE|TEXT|AUDIO|VIDEO|PDF|YOUTUBE_LIST)$"
+TYPE_PATTERN = f"^({'|'.join(CONTENT_TYPES)})$"
 REQUEST_ID_PATTERN = r"^[0-9a-fA-F]{8}\b-[0-9a-fA-F]{4}\b-[0-9a-fA-F]{4}\b-[0-9a-fA-F]{4}\b-[0-9a-fA-F]{12}$"
 
 UNSIGNED_COLUMNS = (
@@ -220,7 +220,3 @@ def contract_violations(df: DataFrame, type_column: str = "type", id_column: str
     counts = df.agg(*[F.count_if(broken).alias(rule) for rule, broken in rules.items()])
     pairs = F.array(*[F.struct(F.lit(rule).alias("rule"), F.col(rule).alias("n")) for rule in rules])
     return counts.select(F.inline(pairs))
-
-
-def known_types() -> tuple[str, ...]:
-    return CONTENT_TYPES

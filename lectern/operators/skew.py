@@ -11,7 +11,7 @@ SALTS = 64
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
     """Keys that own more than `share` of the rows: at most 1 / share rows, whatever the input."""
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = counts.agg(F.sum("_n")).scalar()
     return counts.where(F.col("_n") > total * F.lit(share)).select(key)
 
 
@@ -42,6 +42,16 @@ def salted_join(
     return spread.join(repeated, [key, "_salt"], how).drop("_salt")
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """Counts the rows (one distributed aggregation) before anything is broadcast."""
-    return df.count() <= max_rows
+# Bytes a broadcast row takes besides its strings.
+ROW_BYTES = 32
+
+
+def row_bytes(*columns: str) -> Column:
+    """Size of a row of the given columns as a broadcast counts it, roughly."""
+    sizes = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)).cast("bigint") for c in columns]
+    return sum(sizes, F.lit(ROW_BYTES).cast("bigint"))
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int) -> bool:
+    """Measures a table (one distributed aggregation) before it may be broadcast."""
+    return (df.agg(F.sum(row_bytes(*df.columns)).alias("bytes")).first()["bytes"] or 0) <= max_bytes

@@ -25,7 +25,7 @@ def lookup_status(
     for very often is salted in the join.
     """
     wanted = ids.select(key)
-    if fits_broadcast(wanted, cfg.broadcast_rows):
+    if fits_broadcast(wanted, cfg.broadcast_bytes):
         history = history.join(F.broadcast(wanted.distinct()), key, "left_semi")
     latest = latest_status(history, key, order_by).withColumn("found", F.lit(True))
     asked = ids.withColumn("_row", F.monotonically_increasing_id())
@@ -50,7 +50,7 @@ def lookup_result(
     """Stored rows of one type for the ids asked for. The type prunes partitions of a stored table."""
     typed = content.where(F.col("type") == content_type)
     wanted = ids.select(key).distinct()
-    if fits_broadcast(ids.select(key), cfg.broadcast_rows):
+    if fits_broadcast(ids.select(key), cfg.broadcast_bytes):
         return typed.join(F.broadcast(wanted), key, "left_semi")
     others = [c for c in typed.columns if c != key]
     return salted_join(typed, wanted, key, others, "inner").select(*typed.columns)

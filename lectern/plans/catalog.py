@@ -28,6 +28,14 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents")
 
 
+def _spread_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return readers.spread(_documents(spark, folder), "doc_id")
+
+
+def _pages(spark: SparkSession, folder: str) -> DataFrame:
+    return readers.spread(table(spark, folder, "pages"), "page_id")
+
+
 def _rows(spark: SparkSession, folder: str) -> DataFrame:
     return inputs.request_rows(_documents(spark, folder))
 
@@ -236,7 +244,7 @@ def uri_requests(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def processed_requests(spark: SparkSession, folder: str) -> DataFrame:
-    done = process_requests(_page_requests(spark, folder), table(spark, folder, "pages"), "req_no")
+    done = process_requests(_page_requests(spark, folder), _pages(spark, folder), "req_no")
     return done.select(
         "req_no", "type", "title", "text", "length", "size", "words_per_minute", "espeak_voice",
         "status", "reason", "output_type", "storage_path",
@@ -248,17 +256,17 @@ def processed_requests(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def html_blocks(spark: SparkSession, folder: str) -> DataFrame:
-    return extract.html_blocks(table(spark, folder, "pages"))
+    return extract.html_blocks(_pages(spark, folder))
 
 
 @query
 def extract_text(spark: SparkSession, folder: str) -> DataFrame:
-    return extract.extract_text(table(spark, folder, "pages"))
+    return extract.extract_text(_pages(spark, folder))
 
 
 @query
 def page_title(spark: SparkSession, folder: str) -> DataFrame:
-    return extract.page_titles(table(spark, folder, "pages"))
+    return extract.page_titles(_pages(spark, folder))
 
 
 @query
@@ -268,7 +276,7 @@ def assemble_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def enrich_text(spark: SparkSession, folder: str) -> DataFrame:
-    enriched = extract.enrich_text(_page_requests(spark, folder), table(spark, folder, "pages"), "req_no")
+    enriched = extract.enrich_text(_page_requests(spark, folder), _pages(spark, folder), "req_no")
     return enriched.select("req_no", "uri", "text", "page_title")
 
 
@@ -277,28 +285,28 @@ def enrich_text(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def term_frequency(spark: SparkSession, folder: str) -> DataFrame:
-    return keywords.term_frequency(_documents(spark, folder))
+    return keywords.term_frequency(_spread_documents(spark, folder))
 
 
 @query
 def document_frequency(spark: SparkSession, folder: str) -> DataFrame:
-    return keywords.document_frequency(_documents(spark, folder))
+    return keywords.document_frequency(_spread_documents(spark, folder))
 
 
 @query
 def idf(spark: SparkSession, folder: str) -> DataFrame:
-    weights = keywords.idf(_documents(spark, folder))
+    weights = keywords.idf(_spread_documents(spark, folder))
     return weights.withColumn("idf", F.round("idf", 6))
 
 
 @query
 def tfidf_topk(spark: SparkSession, folder: str) -> DataFrame:
-    return keywords.keywords(_documents(spark, folder), 10)
+    return keywords.keywords(_spread_documents(spark, folder), 10)
 
 
 @query
 def corpus_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return keywords.corpus_stats(_documents(spark, folder))
+    return keywords.corpus_stats(_spread_documents(spark, folder))
 
 
 @query
@@ -315,7 +323,7 @@ def route_census(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def playback_estimate(spark: SparkSession, folder: str) -> DataFrame:
-    return metrics.playback_estimate(_documents(spark, folder))
+    return metrics.playback_estimate(_spread_documents(spark, folder))
 
 
 # Outlines, latest state, lookups

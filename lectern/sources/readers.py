@@ -5,6 +5,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spreads an input of fewer splits than cores, such as one small file, over the cores.
+
+    A large input has more splits than cores and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def scan_content(spark: SparkSession, path: str, text: str = "text") -> DataFrame:
     """One column of a content table; a missing text reads as ''."""
     return spark.read.parquet(path).select(F.coalesce(F.col(text), F.lit("")).alias("text"))

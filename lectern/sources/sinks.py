@@ -3,17 +3,14 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lectern.functions.binding import with_computed
 from lectern.functions.titles import created_date, storage_path
 
 
 def with_layout(df: DataFrame) -> DataFrame:
     """Adds storage_path and created_date."""
-    return df.withColumns(
-        {
-            "storage_path": storage_path(F.col("type"), F.col("uri"), F.col("title"), F.col("created")),
-            "created_date": created_date(F.col("created")),
-        }
-    )
+    path = storage_path(F.col("type"), F.col("uri"), F.col("title"), F.col("created"))
+    return with_computed(df, {"storage_path": path, "created_date": created_date(F.col("created"))})
 
 
 def write_content(df: DataFrame, base: str) -> None:
