@@ -10,6 +10,8 @@ from lectern.operators.requests import (
     apply_defaults,
     classify_requests,
     measure_text,
+    normalize_requests,
+    read_request_batches,
     route_requests,
     title_from_page,
     title_from_text,
@@ -35,6 +37,20 @@ def process_requests(
     return routed.withColumn("storage_path", F.when(F.col("status") == "ACCEPTED", path)).drop("page_title")
 
 
+def process_payloads(
+    payloads: DataFrame, pages: DataFrame | None = None, payload: str = "payload", cfg: JobConfig = DEFAULTS
+) -> DataFrame:
+    """Landed payloads to outcomes, the rejected payloads among them as errors of their own.
+
+    Everything that arrived comes out on one side or the other, so one write stores it all.
+    """
+    requests, bad = read_request_batches(payloads, payload)
+    keys = tuple(c for c in payloads.columns if c != payload)
+    outcomes = process_requests(normalize_requests(requests, keep=(*keys, "pos")), pages, cfg=cfg)
+    refused = bad.withColumns({"status": F.lit("ERROR"), "reason": F.lit("malformed payload")})
+    return outcomes.unionByName(refused, allowMissingColumns=True)
+
+
 def split_by_outline(lines: DataFrame, pages: DataFrame, doc: str = "doc_id", cfg: JobConfig = DEFAULTS) -> DataFrame:
     """Outline lines and pages to the text of each section."""
     ranges = section_ranges(parse_outline(lines, doc), doc, cfg)
