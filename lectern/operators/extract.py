@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from lectern.config import DEFAULTS, JobConfig
 from lectern.functions.html import content_blocks, page_title, text_blocks
 from lectern.functions.text import byte_length
-from lectern.operators.skew import fits_broadcast, salted_join
+from lectern.operators.skew import count_keys, salted_join
 
 
 def html_blocks(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
@@ -78,17 +78,18 @@ def enrich_text(
     """Requests with the text of their landed page where they carry none (and `needed` holds).
 
     Requests with text never reach the join. The others join on the URI, salted, because one URI may
-    be asked for by a large share of them. When their number is small, the pages are first cut down
-    to the URIs asked for, so that only those are parsed.
+    be asked for by a large share of them. When the URIs asked for are few, the pages are first cut
+    down to them, so that only those are parsed.
     """
     needed = F.lit(True) if needed is None else F.coalesce(needed, F.lit(False))
     reads = needed & (F.coalesce(F.col("text"), F.lit("")) == "")
     without = requests.where(reads)
-    wanted = without.where(F.col("uri").isNotNull()).select(F.col("uri").alias(uri))
-    if fits_broadcast(wanted, cfg.broadcast_bytes):
-        pages = pages.join(F.broadcast(wanted.distinct()), uri, "left_semi")
+    counts = count_keys(without, "uri")
+    wanted = counts.small_keys(cfg.broadcast_bytes)
+    if wanted is not None:
+        pages = pages.join(wanted, pages[uri] == wanted["uri"], "left_semi")
     landed = landed_text(pages, uri, order_by, cfg=cfg)
-    found = salted_join(without, landed, "uri", [request_key]).withColumn("text", F.col("landed_text"))
+    found = salted_join(without, landed, "uri", [request_key], counts=counts).withColumn("text", F.col("landed_text"))
     return (
         requests.where(~reads)
         .withColumn("page_title", F.lit(None).cast("string"))

@@ -1,18 +1,59 @@
 """Joins that stay balanced when a few keys own most of the rows."""
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it owns more than this share of the rows, so there are at most 1 / share of them.
+from lectern.session import checkpointed
+
+# A key is hot when it owns more than this share of the rows, so there are at most 1 / share of them,
+# and more rows than one task should work on.
 HOT_SHARE = 0.001
+HOT_ROWS = 10_000
 SALTS = 64
 
+# Bytes a broadcast row takes besides its strings.
+ROW_BYTES = 32
+
+
+def row_bytes(*columns: str) -> Column:
+    """Size of a row of the given columns as a broadcast counts it, roughly."""
+    sizes = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)).cast("bigint") for c in columns]
+    return sum(sizes, F.lit(ROW_BYTES).cast("bigint"))
+
+
+@dataclass(frozen=True)
+class KeyCounts:
+    """Rows per key of a table, counted once: `table` holds (key, n), NULL among the keys."""
+
+    table: DataFrame
+    key: str
+    rows: int
+    largest: int
+    distinct_bytes: int
+
+    def small_keys(self, max_bytes: int) -> DataFrame | None:
+        """The distinct keys, marked for broadcast, or None when they are more than `max_bytes`."""
+        if self.distinct_bytes > max_bytes:
+            return None
+        return F.broadcast(self.table.where(F.col(self.key).isNotNull()).select(self.key))
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys that own more than `share` of the rows: at most 1 / share rows, whatever the input."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    return counts.where(F.col("_n") > total * F.lit(share)).select(key)
+    def hot_keys(self, share: float = HOT_SHARE, min_rows: int = HOT_ROWS) -> DataFrame | None:
+        """Keys with more than `share` of the rows: at most 1 / share of them; None without any."""
+        limit = max(share * self.rows, min_rows)
+        if self.largest <= limit:
+            return None
+        return self.table.where(F.col("n") > limit).select(self.key)
+
+
+def count_keys(df: DataFrame, key: str) -> KeyCounts:
+    """Counts the rows per key: one pass over the key column, partial counts before the shuffle."""
+    table = checkpointed(df.groupBy(key).agg(F.count(F.lit(1)).alias("n")))
+    sizes = table.agg(
+        F.sum("n").alias("rows"), F.max("n").alias("largest"), F.sum(row_bytes(key)).alias("bytes")
+    ).first()
+    return KeyCounts(table, key, sizes["rows"] or 0, sizes["largest"] or 0, sizes["bytes"] or 0)
 
 
 def salted_join(
@@ -21,16 +62,23 @@ def salted_join(
     key: str,
     spread_by: list[str | Column],
     how: str = "left",
+    counts: KeyCounts | None = None,
     share: float = HOT_SHARE,
+    min_rows: int = HOT_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
     """Equi join with `right` unique on `key`, hot keys of `left` spread over `salts` tasks.
 
-    Rows of a hot key get a salt from `spread_by`, and the one matching row of `right` is repeated
-    per salt. Rows without a key match nothing, so they are spread as well. The list of hot keys is
-    small by construction and therefore broadcast.
+    The keys of `left` are counted first (or given as `counts`). Without a hot key this is the plain
+    join. Otherwise rows of a hot key get a salt from `spread_by`, and the one matching row of `right`
+    is repeated per salt; rows without a key match nothing and are spread as well. The list of hot
+    keys is short by construction and therefore broadcast.
     """
-    hot = F.broadcast(hot_keys(left, key, share).withColumn("_hot", F.lit(True)))
+    counts = counts or count_keys(left, key)
+    hot = counts.hot_keys(share, min_rows)
+    if hot is None:
+        return left.join(right, key, how)
+    hot = F.broadcast(hot.where(F.col(key).isNotNull()).withColumn("_hot", F.lit(True)))
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     spread = (
         left.join(hot, key, "left")
@@ -40,18 +88,3 @@ def salted_join(
     every_salt = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     repeated = right.join(hot, key, "left").withColumn("_salt", F.explode(every_salt)).drop("_hot")
     return spread.join(repeated, [key, "_salt"], how).drop("_salt")
-
-
-# Bytes a broadcast row takes besides its strings.
-ROW_BYTES = 32
-
-
-def row_bytes(*columns: str) -> Column:
-    """Size of a row of the given columns as a broadcast counts it, roughly."""
-    sizes = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)).cast("bigint") for c in columns]
-    return sum(sizes, F.lit(ROW_BYTES).cast("bigint"))
-
-
-def fits_broadcast(df: DataFrame, max_bytes: int) -> bool:
-    """Measures a table (one distributed aggregation) before it may be broadcast."""
-    return (df.agg(F.sum(row_bytes(*df.columns)).alias("bytes")).first()["bytes"] or 0) <= max_bytes

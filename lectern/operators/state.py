@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from lectern.config import DEFAULTS, JobConfig
 from lectern.functions.text import fingerprint
 from lectern.functions.titles import clean_title, type_ext
-from lectern.operators.skew import fits_broadcast, salted_join
+from lectern.operators.skew import count_keys, salted_join
 
 
 def latest_status(history: DataFrame, key: str, order_by: tuple[str, ...]) -> DataFrame:
@@ -21,16 +21,17 @@ def lookup_status(
 ) -> DataFrame:
     """Latest state of each id asked for, with a `found` flag.
 
-    A counted, small list of ids is broadcast to cut the history before it is aggregated. An id asked
-    for very often is salted in the join.
+    The ids are counted first. A short list of them is broadcast to cut the history before it is
+    aggregated; an id asked for very often is salted in the join.
     """
-    wanted = ids.select(key)
-    if fits_broadcast(wanted, cfg.broadcast_bytes):
-        history = history.join(F.broadcast(wanted.distinct()), key, "left_semi")
+    counts = count_keys(ids, key)
+    wanted = counts.small_keys(cfg.broadcast_bytes)
+    if wanted is not None:
+        history = history.join(wanted, key, "left_semi")
     latest = latest_status(history, key, order_by).withColumn("found", F.lit(True))
     asked = ids.withColumn("_row", F.monotonically_increasing_id())
     return (
-        salted_join(asked, latest, key, ["_row"])
+        salted_join(asked, latest, key, ["_row"], counts=counts)
         .drop("_row")
         .withColumn("found", F.coalesce("found", F.lit(False)))
     )
@@ -49,11 +50,13 @@ def lookup_result(
 ) -> DataFrame:
     """Stored rows of one type for the ids asked for. The type prunes partitions of a stored table."""
     typed = content.where(F.col("type") == content_type)
-    wanted = ids.select(key).distinct()
-    if fits_broadcast(ids.select(key), cfg.broadcast_bytes):
-        return typed.join(F.broadcast(wanted), key, "left_semi")
+    counts = count_keys(ids, key)
+    wanted = counts.small_keys(cfg.broadcast_bytes)
+    if wanted is not None:
+        return typed.join(wanted, key, "left_semi")
     others = [c for c in typed.columns if c != key]
-    return salted_join(typed, wanted, key, others, "inner").select(*typed.columns)
+    every_id = counts.table.where(F.col(key).isNotNull()).select(key)
+    return salted_join(typed, every_id, key, others, "inner").select(*typed.columns)
 
 
 def duplicate_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -41,6 +41,15 @@ def run_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/lectern/{label}-{uuid.uuid4().hex}"
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder, for short tables that several jobs read.
+
+    With spark.cleaner.referenceTracking.cleanCheckpoints the files go when the table is done with.
+    """
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write `df` as a table in the shared folder and read it back.
 

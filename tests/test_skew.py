@@ -23,19 +23,40 @@ def hot(spark):
     return spark.createDataFrame(data, "id bigint, key string")
 
 
+@pytest.fixture(autouse=True, scope="module")
+def everything_counts_as_big():
+    """Small test tables must take the salted way, too."""
+    before, skew.salted_join.__defaults__ = skew.salted_join.__defaults__, ("left", None, skew.HOT_SHARE, 0, 8)
+    yield
+    skew.salted_join.__defaults__ = before
+
+
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_salted_join_equals_join(spark, hot, how):
+@pytest.mark.parametrize("min_rows", [0, 10**6])
+def test_salted_join_equals_join(spark, hot, how, min_rows):
     right = spark.createDataFrame([("hot", 1), ("unused", 2), *[(f"k{i}", i) for i in range(300)]], "key string, v int")
-    salted = skew.salted_join(hot, right, "key", ["id"], how)
+    salted = skew.salted_join(hot, right, "key", ["id"], how, min_rows=min_rows)
     plain = hot.join(right, "key", how)
+    assert ("_salt" in salted._jdf.queryExecution().optimizedPlan().toString()) == (min_rows == 0)
     assert rows(salted.columns, salted.collect()) == rows(plain.columns, plain.collect())
 
 
-def test_hot_keys_are_few_and_spread(spark, hot):
-    assert [r["key"] for r in skew.hot_keys(hot, "key", 0.1).collect()] == ["hot"]
-    assert skew.hot_keys(hot, "key", 0.001).count() <= 1000
-    salts = hot.select(F.pmod(F.xxhash64("id"), F.lit(skew.SALTS)).alias("s"), "key").where("key = 'hot'")
-    assert salts.select("s").distinct().count() == skew.SALTS
+def test_key_counts(spark, hot):
+    counts = skew.count_keys(hot, "key")
+    assert (counts.rows, counts.largest) == (6000, 2000)
+    assert sorted(r["key"] or "" for r in counts.hot_keys(0.1, 0).collect()) == ["", "hot"]
+    assert counts.hot_keys(0.001, 0).count() <= 1000
+    assert counts.hot_keys(0.5, 0) is None and counts.hot_keys() is None
+    assert counts.small_keys(100) is None
+    keys = counts.small_keys(10**6).collect()
+    assert len(keys) == len(set(keys)) == hot.where("key is not null").select("key").distinct().count()
+    nothing = skew.count_keys(hot.where("false"), "key")
+    assert (nothing.rows, nothing.largest, nothing.distinct_bytes) == (0, 0, 0)
+
+
+def test_hot_rows_are_spread(hot):
+    salts = hot.where("key = 'hot'").select(F.pmod(F.xxhash64("id"), F.lit(skew.SALTS)).alias("s"))
+    assert salts.distinct().count() == skew.SALTS
 
 
 def test_empty_left_side(spark, hot):
@@ -43,12 +64,6 @@ def test_empty_left_side(spark, hot):
     assert skew.salted_join(hot.where("false"), right, "key", ["id"]).count() == 0
 
 
-def test_fits_broadcast(spark, hot):
-    assert skew.fits_broadcast(hot, 10**9)
-    assert not skew.fits_broadcast(hot, 1000)
-    assert skew.fits_broadcast(hot.where("false"), 0)
-
-
 def test_keywords_with_and_without_broadcast(spark):
     rng = random.Random(5)
     words = ["the"] * 40 + [f"w{i}" for i in range(300)]
