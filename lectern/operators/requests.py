@@ -54,9 +54,8 @@ def parse_payloads(payloads: DataFrame, payload: str = "payload") -> DataFrame:
         checks = [item[n].isNotNull() & item[n].try_cast("bigint").isNull() for n in INPUT_NUMBERS]
         return reduce(lambda a, b: a | b, checks)
 
-    return payloads.withColumn("items", items).withColumn(
-        "items", F.when(~F.exists("items", wrong_number), F.col("items"))
-    )
+    parsed = with_computed(payloads, {"items": items})
+    return with_computed(parsed, {"items": F.when(~F.exists("items", wrong_number), F.col("items"))})
 
 
 def read_request_batches(payloads: DataFrame, payload: str = "payload") -> tuple[DataFrame, DataFrame]:

@@ -37,7 +37,7 @@ def _pages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _rows(spark: SparkSession, folder: str) -> DataFrame:
-    return inputs.request_rows(_documents(spark, folder))
+    return inputs.request_rows(_spread_documents(spark, folder))
 
 
 def _requests(spark: SparkSession, folder: str) -> DataFrame:
