@@ -48,7 +48,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
     With spark.cleaner.referenceTracking.cleanCheckpoints the files go when the table is done with.
     """
-    shared_folder(df.sparkSession)
+    context, folder = df.sparkSession.sparkContext, shared_folder(df.sparkSession)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
     return df.checkpoint()
 
 

@@ -4,6 +4,7 @@ import pytest
 from compare import rows
 
 from __spark_entry__ import entry, oracle_sql, queries
+from lectern.sources import readers
 
 ROWS_ONLY = {"file_manifest"}
 
@@ -44,10 +45,10 @@ def test_no_pairwise_joins(spark, small, name):
 @pytest.mark.parametrize(
     "name", ["html_blocks", "extract_text", "page_title", "term_frequency", "route_requests", "request_to_json"]
 )
-def test_row_local_operators_do_not_shuffle(spark, small, name):
-    plan = physical_plan(queries()[name](spark, small))
-    # Only the spreading of the small test file over the cores may move rows.
-    assert plan.count("Exchange") <= (1 if name in ("html_blocks", "extract_text", "page_title", "term_frequency") else 0)
+def test_row_local_operators_do_not_shuffle(spark, small, name, monkeypatch):
+    # Without the step that spreads a single small file over the cores.
+    monkeypatch.setattr(readers, "spread", lambda df, *keys: df)
+    assert "Exchange" not in physical_plan(queries()[name](spark, small))
 
 
 def test_no_python_in_the_plans(spark, small):
