@@ -58,18 +58,30 @@ def parse_payloads(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     return with_computed(parsed, {"items": F.when(~F.exists("items", wrong_number), F.col("items"))})
 
 
-def read_request_batches(payloads: DataFrame, payload: str = "payload") -> tuple[DataFrame, DataFrame]:
-    """One row per element of each JSON array, and the payloads that were rejected."""
-    parsed = parse_payloads(payloads, payload)
+def unpack_payloads(payloads: DataFrame, payload: str = "payload") -> DataFrame:
+    """One row per element of each JSON array, and one row per payload that was rejected.
+
+    The payload itself stays only with a rejected one; its other columns are NULL then. One pass, each
+    payload is parsed once.
+    """
+    parsed = parse_payloads(payloads, payload).where(F.col("items").isNull() | (F.size("items") > 0))
     keys = [c for c in payloads.columns if c != payload]
-    rows = parsed.where(F.col("items").isNotNull()).select(*keys, F.posexplode("items").alias("pos", "item"))
-    requests = rows.select(
+    rejected = F.when(F.col("items").isNull(), F.coalesce(F.col(payload), F.lit("")))
+    rows = parsed.select(*keys, rejected.alias(payload), F.posexplode_outer("items").alias("pos", "item"))
+    return rows.select(
         *keys,
+        payload,
         F.col("pos").cast("bigint").alias("pos"),
         *[F.col(f"item.{n}").alias(n) for n in INPUT_STRINGS],
         *[F.col(f"item.{n}").cast("bigint").alias(n) for n in INPUT_NUMBERS],
     )
-    return requests, parsed.where(F.col("items").isNull()).drop("items")
+
+
+def read_request_batches(payloads: DataFrame, payload: str = "payload") -> tuple[DataFrame, DataFrame]:
+    """One row per element of each JSON array, and the payloads that were rejected."""
+    rows = unpack_payloads(payloads, payload)
+    bad = rows.where(F.col(payload).isNotNull()).select(*payloads.columns)
+    return rows.where(F.col(payload).isNull()).drop(payload), bad
 
 
 def normalize_requests(
@@ -147,12 +159,18 @@ def title_from_text(df: DataFrame, cfg: JobConfig = DEFAULTS) -> DataFrame:
     return df.withColumn("title", F.coalesce(F.col("title"), start))
 
 
+def title_of_video(df: DataFrame) -> DataFrame:
+    """Titles of YOUTUBE requests without characters that cannot be shown."""
+    shown = (F.col("type") == "YOUTUBE") & (F.octet_length("title") > 3)
+    return df.withColumn("title", F.when(shown, drop_non_graphic(F.col("title"))).otherwise(F.col("title")))
+
+
 def resolve_title(df: DataFrame, cfg: JobConfig = DEFAULTS) -> DataFrame:
     """The whole title cascade: URI, then page, then text. Classifies bare URIs on the way."""
     titled = classify_requests(df, cfg)
     if "page_title" in df.columns:
         titled = title_from_page(titled, cfg)
-    return title_from_text(titled, cfg)
+    return title_of_video(title_from_text(titled, cfg))
 
 
 def measure_text(df: DataFrame) -> DataFrame:

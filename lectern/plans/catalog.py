@@ -199,6 +199,11 @@ def list_requests(spark: SparkSession, folder: str) -> DataFrame:
     return requests.list_requests(requests.measure_text(_titled(spark, folder)))
 
 
+@query
+def submit_response(spark: SparkSession, folder: str) -> DataFrame:
+    return requests.list_requests(_requests(spark, folder))
+
+
 @query
 def route_requests(spark: SparkSession, folder: str) -> DataFrame:
     return _outcomes(spark, folder).select("req_no", "route", "status", "reason", "output_type", "storage_path")

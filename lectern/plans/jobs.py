@@ -11,12 +11,14 @@ from lectern.operators.requests import (
     classify_requests,
     measure_text,
     normalize_requests,
-    read_request_batches,
     route_requests,
     title_from_page,
     title_from_text,
+    title_of_video,
+    unpack_payloads,
 )
 from lectern.operators.sections import parse_outline, section_ranges, section_texts, slice_sections
+from lectern.session import materialize
 
 
 def process_requests(
@@ -31,7 +33,7 @@ def process_requests(
         read = known.withColumn("page_title", F.lit(None).cast("string"))
     else:
         read = enrich_text(known, pages, request_key, needed=F.col("type") == "TEXT", cfg=cfg)
-    titled = title_from_text(title_from_page(read, cfg), cfg)
+    titled = title_of_video(title_from_text(title_from_page(read, cfg), cfg))
     routed = route_requests(apply_defaults(measure_text(titled), cfg))
     path = storage_path(F.lit("AUDIO"), F.col("uri"), F.col("title"), F.col("created"))
     return routed.withColumn("storage_path", F.when(F.col("status") == "ACCEPTED", path)).drop("page_title")
@@ -44,11 +46,19 @@ def process_payloads(
 
     Everything that arrived comes out on one side or the other, so one write stores it all.
     """
-    requests, bad = read_request_batches(payloads, payload)
     keys = tuple(c for c in payloads.columns if c != payload)
-    outcomes = process_requests(normalize_requests(requests, keep=(*keys, "pos")), pages, cfg=cfg)
-    refused = bad.withColumns({"status": F.lit("ERROR"), "reason": F.lit("malformed payload")})
-    return outcomes.unionByName(refused, allowMissingColumns=True)
+    requests = normalize_requests(unpack_payloads(payloads, payload), keep=(*keys, payload, "pos"))
+    if pages is not None:
+        # The join reads them more than once: parse the payloads and draw the ids a single time.
+        requests = materialize(requests, "requests")
+    malformed = F.col(payload).isNotNull()
+    return process_requests(requests, pages, cfg=cfg).withColumns(
+        {
+            "type": F.when(~malformed, F.col("type")),
+            "route": F.when(~malformed, F.col("route")),
+            "reason": F.when(malformed, "malformed payload").otherwise(F.col("reason")),
+        }
+    )
 
 
 def split_by_outline(lines: DataFrame, pages: DataFrame, doc: str = "doc_id", cfg: JobConfig = DEFAULTS) -> DataFrame:

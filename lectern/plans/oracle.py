@@ -84,7 +84,8 @@ enriched AS (
  FROM classified c LEFT JOIN landed l ON c.uri = l.uri),
 titled AS (
  SELECT * EXCLUDE (title_2),
-  coalesce(title_2, CASE WHEN type IN ('PDF', 'TEXT') THEN nullif(substr(text, 1, 64), '') END) AS title,
+  CASE WHEN type = 'YOUTUBE' AND strlen(title_2) > 3 THEN {_graphic("title_2")}
+   ELSE coalesce(title_2, CASE WHEN type IN ('PDF', 'TEXT') THEN nullif(substr(text, 1, 64), '') END) END AS title,
   CAST(strlen(coalesce(text, '')) AS BIGINT) AS length
  FROM enriched),
 reasoned AS (
@@ -261,6 +262,9 @@ FROM documents GROUP BY 1 HAVING count(*) > 1""",
     "list_requests": f"""{_REQUESTS}
 SELECT uri, request_hash, title, NULL::VARCHAR AS atempo, words_per_minute, length, length AS size, text,
  NULL::INTEGER AS number_of_conversions, type, created, coalesce(submitted_at, 0) AS submitted_at FROM titled""",
+    "submit_response": f"""{_REQUESTS}
+SELECT uri, request_hash, title, NULL::VARCHAR AS atempo, words_per_minute, NULL::BIGINT AS length,
+ NULL::BIGINT AS size, text, NULL::INTEGER AS number_of_conversions, type, created, submitted_at FROM norm""",
     "route_requests": _ROUTED,
     "reject_summary": f"{_REQUESTS} SELECT reason, count(*) AS n FROM routed WHERE status = 'ERROR' GROUP BY 1",
     "contract_violations": rf"""

@@ -37,13 +37,18 @@ def test_batches(payloads):
     assert sorted(r["payload_id"] for r in bad.collect()) == [3, 4, 5, 6, 8, 9, 10]
 
 
-def test_payload_job_loses_nothing(payloads):
-    done = process_payloads(payloads).collect()
+@pytest.mark.parametrize("with_pages", [False, True])
+def test_payload_job_loses_nothing(spark, payloads, with_pages):
+    pages = spark.createDataFrame([(1, "other", "<p>x")], "page_id bigint, url string, html string")
+    done = process_payloads(payloads, pages if with_pages else None).collect()
     reasons = {}
     for r in done:
         reasons.setdefault(r["payload_id"], []).append((r["status"], r["reason"]))
     assert len(done) == 3 + 7
     assert reasons[5] == [("ERROR", "malformed payload")]
+    kept = {r["payload_id"]: r["payload"] for r in done if r["reason"] == "malformed payload"}
+    assert kept == {i: text or "" for i, text in PAYLOADS if i in (3, 4, 5, 6, 8, 9, 10)}
+    assert all(r["type"] is None for r in done if r["payload"] is not None)
     assert sorted(reasons[1]) == [("ACCEPTED", None), ("ERROR", "title too small")]
     assert reasons[7] == [("ERROR", "no content")]
 
@@ -91,6 +96,8 @@ def test_title_cascade(spark):
         (("URI", "bad uri", None, None, "A page"), ("TEXT", "A page")),
         (("URI", "http://h/a", "é" * 25, None, None), ("TEXT", "é" * 25)),
         (("URI", None, None, None, None), ("TEXT", None)),
+        (("URI", "https://youtu.be/abc", "a\x07 video", None, None), ("YOUTUBE", "a video")),
+        (("URI", "http://h/a.mp4", "a\x07 video", None, None), ("VIDEO", "a\x07 video")),
     ]
     assert titled(spark, [c[0] for c in cases]) == [c[1] for c in cases]
 
