@@ -95,3 +95,27 @@ def enrich_text(
         .withColumn("page_title", F.lit(None).cast("string"))
         .unionByName(found.drop("landed_text"))
     )
+
+
+def attach_documents(
+    requests: DataFrame,
+    pages: DataFrame,
+    request_key: str,
+    uri: str = "uri",
+    page_no: str = "page_no",
+    text: str = "text",
+    needed: Column | None = None,
+    cfg: JobConfig = DEFAULTS,
+) -> DataFrame:
+    """Requests with the text of their paged document where they carry none (and `needed` holds).
+
+    `pages` is a page table keyed by URI. A request for a document of several parts becomes one row per
+    part, told apart by `part_no`; other requests stay one row.
+    """
+    needed = F.lit(True) if needed is None else F.coalesce(needed, F.lit(False))
+    reads = needed & (F.coalesce(F.col("text"), F.lit("")) == "")
+    parts = assemble_pages(pages, uri, page_no, text, cfg).select(
+        F.col(uri).alias("uri"), "part_no", F.nullif(F.col("text"), F.lit("")).alias("landed_text")
+    )
+    found = salted_join(requests.where(reads), parts, "uri", [request_key]).withColumn("text", F.col("landed_text"))
+    return requests.where(~reads).withColumn("part_no", F.lit(None).cast("bigint")).unionByName(found.drop("landed_text"))

@@ -256,6 +256,15 @@ def processed_requests(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def processed_documents(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations")
+    papers = normalized(derive(turns, inputs.PAPER_REQUESTS_SQL, "conversations"))
+    leaves = derive(turns, inputs.PAPER_PAGES_SQL, "conversations")
+    done = process_requests(papers, request_key="req_no", documents=leaves)
+    return done.select("req_no", "part_no", "type", "title", "text", "length", "status", "reason", "storage_path")
+
+
 # Extraction
 
 

@@ -47,6 +47,19 @@ SELECT conv_id AS doc_id, turn AS page_no, CASE WHEN turn % 5 = 4 THEN NULL ELSE
 FROM {conversations}
 """
 
+PAPER_REQUESTS_SQL = """
+SELECT DISTINCT conv_id AS req_no, concat('http://papers.example.org/paper_', conv_id, '.pdf') AS uri,
+ '' AS text, CASE WHEN conv_id % 2 = 0 THEN concat('Paper ', conv_id) ELSE '' END AS title,
+ CAST(1704067200 + conv_id * 97 AS BIGINT) AS submitted_at
+FROM {conversations}
+"""
+
+PAPER_PAGES_SQL = """
+SELECT concat('http://papers.example.org/paper_', conv_id, '.pdf') AS uri, turn AS page_no,
+ CASE WHEN turn % 5 = 4 THEN NULL ELSE text END AS text
+FROM {conversations} WHERE conv_id % 7 <> 3
+"""
+
 BATCHES_SQL = """
 SELECT event_id AS batch_id, ts AS submitted_ts, 1 + event_id % 10 AS n_requests FROM {events}
 """

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lectern.config import DEFAULTS, JobConfig
 from lectern.functions.titles import storage_path
-from lectern.operators.extract import enrich_text
+from lectern.operators.extract import attach_documents, enrich_text
 from lectern.operators.requests import (
     apply_defaults,
     classify_requests,
@@ -22,25 +22,40 @@ from lectern.session import materialize
 
 
 def process_requests(
-    requests: DataFrame, pages: DataFrame | None = None, request_key: str = "request_hash", cfg: JobConfig = DEFAULTS
+    requests: DataFrame,
+    pages: DataFrame | None = None,
+    request_key: str = "request_hash",
+    documents: DataFrame | None = None,
+    cfg: JobConfig = DEFAULTS,
 ) -> DataFrame:
     """Normalized requests to outcomes: classified, read, titled, measured, routed and placed.
 
-    `pages` is the table of landed pages (page_id, url, html); only TEXT requests are read from it.
+    `pages` is the table of landed web pages (page_id, url, html) that TEXT requests are read from,
+    `documents` the one of parsed document pages (uri, page_no, text) for PDF requests. The parts of a
+    giant document are numbered in their titles.
     """
-    known = classify_requests(requests, cfg)
-    if pages is None:
-        read = known.withColumn("page_title", F.lit(None).cast("string"))
+    read = classify_requests(requests, cfg)
+    if pages is not None:
+        read = enrich_text(read, pages, request_key, needed=F.col("type") == "TEXT", cfg=cfg)
     else:
-        read = enrich_text(known, pages, request_key, needed=F.col("type") == "TEXT", cfg=cfg)
+        read = read.withColumn("page_title", F.lit(None).cast("string"))
+    if documents is not None:
+        read = attach_documents(read, documents, request_key, needed=F.col("type") == "PDF", cfg=cfg)
     titled = title_of_video(title_from_text(title_from_page(read, cfg), cfg))
+    if documents is not None:
+        numbered = F.concat("title", F.lit(" part "), (F.col("part_no") + 1).cast("string"))
+        titled = titled.withColumn("title", F.when(F.col("part_no") > 0, numbered).otherwise(F.col("title")))
     routed = route_requests(apply_defaults(measure_text(titled), cfg))
     path = storage_path(F.lit("AUDIO"), F.col("uri"), F.col("title"), F.col("created"))
     return routed.withColumn("storage_path", F.when(F.col("status") == "ACCEPTED", path)).drop("page_title")
 
 
 def process_payloads(
-    payloads: DataFrame, pages: DataFrame | None = None, payload: str = "payload", cfg: JobConfig = DEFAULTS
+    payloads: DataFrame,
+    pages: DataFrame | None = None,
+    documents: DataFrame | None = None,
+    payload: str = "payload",
+    cfg: JobConfig = DEFAULTS,
 ) -> DataFrame:
     """Landed payloads to outcomes, the rejected payloads among them as errors of their own.
 
@@ -48,11 +63,11 @@ def process_payloads(
     """
     keys = tuple(c for c in payloads.columns if c != payload)
     requests = normalize_requests(unpack_payloads(payloads, payload), keep=(*keys, payload, "pos"))
-    if pages is not None:
-        # The join reads them more than once: parse the payloads and draw the ids a single time.
+    if pages is not None or documents is not None:
+        # The joins read them more than once: parse the payloads and draw the ids a single time.
         requests = materialize(requests, "requests")
     malformed = F.col(payload).isNotNull()
-    return process_requests(requests, pages, cfg=cfg).withColumns(
+    return process_requests(requests, pages, documents=documents, cfg=cfg).withColumns(
         {
             "type": F.when(~malformed, F.col("type")),
             "route": F.when(~malformed, F.col("route")),

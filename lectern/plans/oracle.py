@@ -57,7 +57,7 @@ def _id(req_no: str) -> str:
 
 
 def _requests(source: str) -> str:
-    """From request rows to routed ones; `landed` holds page text and title per URI, or nothing."""
+    """From request rows to routed ones; `landed` holds text and title per URI and type, or nothing."""
     return f"""
 raw AS ({source}),
 norm AS (
@@ -77,11 +77,11 @@ classified AS (
  FROM stubbed),
 enriched AS (
  SELECT c.* EXCLUDE (text, title),
-  CASE WHEN c.type = 'TEXT' THEN coalesce(c.text, l.landed_text) ELSE c.text END AS text,
-  coalesce(c.title, CASE WHEN c.type = 'TEXT' AND c.text IS NULL AND strlen(l.page_title) > 3 THEN
+  coalesce(c.text, l.landed_text) AS text,
+  coalesce(c.title, CASE WHEN c.text IS NULL AND strlen(l.page_title) > 3 THEN
    {_graphic("CASE WHEN strlen(l.page_title) > 40 THEN substr(l.page_title, 1, 40) ELSE l.page_title END")}
    END) AS title_2
- FROM classified c LEFT JOIN landed l ON c.uri = l.uri),
+ FROM classified c LEFT JOIN landed l ON c.uri = l.uri AND c.type = l.kind),
 titled AS (
  SELECT * EXCLUDE (title_2),
   CASE WHEN type = 'YOUTUBE' AND strlen(title_2) > 3 THEN {_graphic("title_2")}
@@ -105,7 +105,7 @@ routed AS (
 
 
 _ROWS = inputs.REQUESTS_SQL.format(documents="documents")
-_NO_PAGES = "landed AS (SELECT NULL::VARCHAR AS uri, NULL::VARCHAR AS landed_text, NULL::VARCHAR AS page_title WHERE false)"
+_NO_PAGES = "landed AS (SELECT '' AS uri, '' AS kind, '' AS landed_text, '' AS page_title WHERE false)"
 _REQUESTS = f"WITH {_NO_PAGES}, {_requests(_ROWS)}"
 
 # Pages.
@@ -156,13 +156,21 @@ extracted AS (
 _PAGE_TITLE = "nullif(" + _unescape(r"regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title', 1)") + ", '')"
 _LANDED = f"""{_BLOCKS}, {_EXTRACTED},
 landed AS (
- SELECT e.url AS uri, nullif(e.text, '') AS landed_text, {_PAGE_TITLE} AS page_title
+ SELECT e.url AS uri, 'TEXT' AS kind, nullif(e.text, '') AS landed_text, {_PAGE_TITLE} AS page_title
  FROM extracted e JOIN pages p ON e.page_id = p.page_id
  QUALIFY row_number() OVER (PARTITION BY e.url ORDER BY e.page_id DESC) = 1)
 """
 _PAGE_ROWS = f"SELECT *, NULL::INTEGER AS words_per_minute FROM ({inputs.PAGE_REQUESTS_SQL.format(pages='pages')})"
 _PAGE_REQUESTS = f"WITH {_LANDED}, {_requests(_PAGE_ROWS)}"
 
+_PAPER_ROWS = f"""
+SELECT *, NULL::INTEGER AS words_per_minute FROM ({inputs.PAPER_REQUESTS_SQL.format(conversations="conversations")})"""
+_PAPERS = f"""
+WITH landed AS (
+ SELECT uri, 'PDF' AS kind, nullif(string_agg(text, '' ORDER BY page_no), '') AS landed_text, NULL::VARCHAR AS page_title
+ FROM ({inputs.PAPER_PAGES_SQL.format(conversations="conversations")}) WHERE text IS NOT NULL GROUP BY uri),
+{_requests(_PAPER_ROWS)}"""
+
 # Terms.
 
 _TERMS = r"""
@@ -292,6 +300,9 @@ FROM stubs""",
     "processed_requests": f"""{_PAGE_REQUESTS}
 SELECT req_no, type, title, text, length, length AS size, coalesce(words_per_minute, 350) AS words_per_minute,
  'f5' AS espeak_voice, status, reason, output_type, storage_path FROM routed""",
+    "processed_documents": f"""{_PAPERS}
+SELECT r.req_no, CASE WHEN l.uri IS NOT NULL THEN CAST(0 AS BIGINT) END AS part_no, r.type, r.title, r.text, r.length,
+ r.status, r.reason, r.storage_path FROM routed r LEFT JOIN landed l ON r.uri = l.uri""",
     # Extraction
     "html_blocks": f"WITH {_BLOCKS} SELECT page_id, pos, tag, text FROM page_blocks",
     "extract_text": f"WITH {_BLOCKS}, {_EXTRACTED} SELECT page_id, text, size, n_blocks FROM extracted",
