@@ -66,56 +66,92 @@ def landed_text(pages: DataFrame, uri: str, order_by: str, html: str = "html", c
     return read.groupBy("uri").agg(newest).select("uri", "page.landed_text", "page.page_title")
 
 
-def enrich_text(
+def _without_text() -> Column:
+    return F.coalesce(F.col("text"), F.lit("")) == ""
+
+
+def text_from_pages(
     requests: DataFrame,
     pages: DataFrame,
     request_key: str,
     uri: str = "url",
     order_by: str = "page_id",
-    needed: Column | None = None,
     cfg: JobConfig = DEFAULTS,
 ) -> DataFrame:
-    """Requests with the text of their landed page where they carry none (and `needed` holds).
+    """Text and `page_title` of the landed page for requests without text.
 
-    Requests with text never reach the join. The others join on the URI, salted, because one URI may
-    be asked for by a large share of them. When the URIs asked for are few, the pages are first cut
-    down to them, so that only those are parsed.
+    Joins on the URI, salted, because one URI may be asked for by a large share of the requests. When
+    the URIs asked for are few, the pages are first cut down to them, so that only those are parsed.
     """
-    needed = F.lit(True) if needed is None else F.coalesce(needed, F.lit(False))
-    reads = needed & (F.coalesce(F.col("text"), F.lit("")) == "")
-    without = requests.where(reads)
-    counts = count_keys(without, "uri")
+    counts = count_keys(requests, "uri")
     wanted = counts.small_keys(cfg.broadcast_bytes)
     if wanted is not None:
         pages = pages.join(wanted, pages[uri] == wanted["uri"], "left_semi")
     landed = landed_text(pages, uri, order_by, cfg=cfg)
-    found = salted_join(without, landed, "uri", [request_key], counts=counts).withColumn("text", F.col("landed_text"))
-    return (
-        requests.where(~reads)
-        .withColumn("page_title", F.lit(None).cast("string"))
-        .unionByName(found.drop("landed_text"))
-    )
+    found = salted_join(requests, landed, "uri", [request_key], counts=counts)
+    return found.withColumn("text", F.col("landed_text")).drop("landed_text")
 
 
-def attach_documents(
+def text_from_documents(
     requests: DataFrame,
     pages: DataFrame,
     request_key: str,
     uri: str = "uri",
     page_no: str = "page_no",
     text: str = "text",
-    needed: Column | None = None,
     cfg: JobConfig = DEFAULTS,
 ) -> DataFrame:
-    """Requests with the text of their paged document where they carry none (and `needed` holds).
+    """Text of the paged document, a page table keyed by URI, for requests without text.
 
-    `pages` is a page table keyed by URI. A request for a document of several parts becomes one row per
-    part, told apart by `part_no`; other requests stay one row.
+    A request for a document of several parts becomes one row per part, told apart by `part_no`.
     """
-    needed = F.lit(True) if needed is None else F.coalesce(needed, F.lit(False))
-    reads = needed & (F.coalesce(F.col("text"), F.lit("")) == "")
+    counts = count_keys(requests, "uri")
+    wanted = counts.small_keys(cfg.broadcast_bytes)
+    if wanted is not None:
+        pages = pages.join(wanted, pages[uri] == wanted["uri"], "left_semi")
     parts = assemble_pages(pages, uri, page_no, text, cfg).select(
         F.col(uri).alias("uri"), "part_no", F.nullif(F.col("text"), F.lit("")).alias("landed_text")
     )
-    found = salted_join(requests.where(reads), parts, "uri", [request_key]).withColumn("text", F.col("landed_text"))
-    return requests.where(~reads).withColumn("part_no", F.lit(None).cast("bigint")).unionByName(found.drop("landed_text"))
+    found = salted_join(requests, parts, "uri", [request_key], counts=counts)
+    return found.withColumn("text", F.col("landed_text")).drop("landed_text")
+
+
+def enrich_text(
+    requests: DataFrame,
+    pages: DataFrame,
+    request_key: str,
+    uri: str = "url",
+    order_by: str = "page_id",
+    cfg: JobConfig = DEFAULTS,
+) -> DataFrame:
+    """Requests with the text of their landed page where they carry none.
+
+    Requests with text never reach the join.
+    """
+    read = text_from_pages(requests.where(_without_text()), pages, request_key, uri, order_by, cfg)
+    return requests.where(~_without_text()).withColumn("page_title", F.lit(None).cast("string")).unionByName(read)
+
+
+def read_by_type(
+    requests: DataFrame,
+    pages: DataFrame | None,
+    documents: DataFrame | None,
+    request_key: str,
+    cfg: JobConfig = DEFAULTS,
+) -> DataFrame:
+    """Text-less TEXT requests read from web pages, PDF ones from paged documents, the others as they are.
+
+    Adds `page_title` and `part_no`. Each kind takes its own join, none sees the rows of another.
+    """
+    kind = F.when(_without_text(), F.col("type"))
+    from_pages = F.coalesce(kind == "TEXT", F.lit(False)) & F.lit(pages is not None)
+    from_documents = F.coalesce(kind == "PDF", F.lit(False)) & F.lit(documents is not None)
+    no_title, no_part = F.lit(None).cast("string"), F.lit(None).cast("bigint")
+    done = requests.where(~from_pages & ~from_documents).withColumns({"page_title": no_title, "part_no": no_part})
+    if pages is not None:
+        read = text_from_pages(requests.where(from_pages), pages, request_key, cfg=cfg)
+        done = done.unionByName(read.withColumn("part_no", no_part))
+    if documents is not None:
+        read = text_from_documents(requests.where(from_documents), documents, request_key, cfg=cfg)
+        done = done.unionByName(read.withColumn("page_title", no_title))
+    return done

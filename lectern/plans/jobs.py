@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lectern.config import DEFAULTS, JobConfig
 from lectern.functions.titles import storage_path
-from lectern.operators.extract import attach_documents, enrich_text
+from lectern.operators.extract import read_by_type
 from lectern.operators.requests import (
     apply_defaults,
     classify_requests,
@@ -34,17 +34,11 @@ def process_requests(
     `documents` the one of parsed document pages (uri, page_no, text) for PDF requests. The parts of a
     giant document are numbered in their titles.
     """
-    read = classify_requests(requests, cfg)
-    if pages is not None:
-        read = enrich_text(read, pages, request_key, needed=F.col("type") == "TEXT", cfg=cfg)
-    else:
-        read = read.withColumn("page_title", F.lit(None).cast("string"))
-    if documents is not None:
-        read = attach_documents(read, documents, request_key, needed=F.col("type") == "PDF", cfg=cfg)
+    read = read_by_type(classify_requests(requests, cfg), pages, documents, request_key, cfg)
     titled = title_of_video(title_from_text(title_from_page(read, cfg), cfg))
-    if documents is not None:
-        numbered = F.concat("title", F.lit(" part "), (F.col("part_no") + 1).cast("string"))
-        titled = titled.withColumn("title", F.when(F.col("part_no") > 0, numbered).otherwise(F.col("title")))
+    part = F.concat(F.lit(" part "), (F.col("part_no") + 1).cast("string"))
+    numbered = F.concat("title", F.when(F.col("part_no") > 0, part).otherwise(F.lit("")))
+    titled = titled.withColumn("title", numbered)
     routed = route_requests(apply_defaults(measure_text(titled), cfg))
     path = storage_path(F.lit("AUDIO"), F.col("uri"), F.col("title"), F.col("created"))
     return routed.withColumn("storage_path", F.when(F.col("status") == "ACCEPTED", path)).drop("page_title")
