@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 from lectern.session import checkpointed
 
 # A key is hot when it owns more than this share of the rows, so there are at most 1 / share of them,
-# and more rows than one task should work on.
-HOT_SHARE = 0.001
+# and more rows than one task should work on anyway.
+HOT_SHARE = 0.0001
 HOT_ROWS = 10_000
-SALTS = 64
 
 # Bytes a broadcast row takes besides its strings.
 ROW_BYTES = 32
@@ -40,11 +39,16 @@ class KeyCounts:
         return F.broadcast(self.table.where(F.col(self.key).isNotNull()).select(self.key))
 
     def hot_keys(self, share: float = HOT_SHARE, min_rows: int = HOT_ROWS) -> DataFrame | None:
-        """Keys with more than `share` of the rows: at most 1 / share of them; None without any."""
-        limit = max(share * self.rows, min_rows)
+        """(key, pieces) of the keys with more than `share` of the rows; None without any.
+
+        A piece is as large as a key may be without being hot, so there are at most 1 / share keys and
+        2 / share pieces.
+        """
+        limit = max(share * self.rows, min_rows, 1)
         if self.largest <= limit:
             return None
-        return self.table.where(F.col("n") > limit).select(self.key)
+        pieces = F.ceil(F.col("n") / F.lit(limit)).cast("int").alias("pieces")
+        return self.table.where(F.col("n") > limit).select(self.key, pieces)
 
 
 def count_keys(df: DataFrame, key: str) -> KeyCounts:
@@ -65,26 +69,27 @@ def salted_join(
     counts: KeyCounts | None = None,
     share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
-    """Equi join with `right` unique on `key`, hot keys of `left` spread over `salts` tasks.
+    """Equi join whose hot keys of `left` are cut into pieces that go to different tasks.
 
     The keys of `left` are counted first (or given as `counts`). Without a hot key this is the plain
-    join. Otherwise rows of a hot key get a salt from `spread_by`, and the one matching row of `right`
-    is repeated per salt; rows without a key match nothing and are spread as well. The list of hot
-    keys is short by construction and therefore broadcast.
+    join. Otherwise rows of a hot key get a piece number from `spread_by`, and what `right` has for
+    that key is repeated per piece; rows without a key match nothing and are spread as well. The list
+    of hot keys is short by construction and therefore broadcast.
     """
     counts = counts or count_keys(left, key)
     hot = counts.hot_keys(share, min_rows)
     if hot is None:
         return left.join(right, key, how)
-    hot = F.broadcast(hot.where(F.col(key).isNotNull()).withColumn("_hot", F.lit(True)))
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    spread = (
-        left.join(hot, key, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), salt).otherwise(F.lit(0)))
-        .drop("_hot")
+    hot = F.broadcast(hot.where(F.col(key).isNotNull()).withColumnRenamed("pieces", "_pieces"))
+    spread = F.xxhash64(*spread_by)
+    piece = (
+        F.when(F.col(key).isNull(), F.pmod(spread, F.lit(int(1 / share))))
+        .when(F.col("_pieces").isNotNull(), F.pmod(spread, F.col("_pieces")))
+        .otherwise(F.lit(0))
+        .cast("int")
     )
-    every_salt = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = right.join(hot, key, "left").withColumn("_salt", F.explode(every_salt)).drop("_hot")
-    return spread.join(repeated, [key, "_salt"], how).drop("_salt")
+    pieces = F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - 1)
+    salted = left.join(hot, key, "left").withColumn("_piece", piece).drop("_pieces")
+    repeated = right.join(hot, key, "left").withColumn("_piece", F.explode(pieces)).drop("_pieces")
+    return salted.join(repeated, [key, "_piece"], how).drop("_piece")

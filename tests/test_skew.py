@@ -26,7 +26,7 @@ def hot(spark):
 @pytest.fixture(autouse=True, scope="module")
 def everything_counts_as_big():
     """Small test tables must take the salted way, too."""
-    before, skew.salted_join.__defaults__ = skew.salted_join.__defaults__, ("left", None, skew.HOT_SHARE, 0, 8)
+    before, skew.salted_join.__defaults__ = skew.salted_join.__defaults__, ("left", None, 0.01, 0)
     yield
     skew.salted_join.__defaults__ = before
 
@@ -37,15 +37,18 @@ def test_salted_join_equals_join(spark, hot, how, min_rows):
     right = spark.createDataFrame([("hot", 1), ("unused", 2), *[(f"k{i}", i) for i in range(300)]], "key string, v int")
     salted = skew.salted_join(hot, right, "key", ["id"], how, min_rows=min_rows)
     plain = hot.join(right, "key", how)
-    assert ("_salt" in salted._jdf.queryExecution().optimizedPlan().toString()) == (min_rows == 0)
+    assert ("_piece" in salted._jdf.queryExecution().optimizedPlan().toString()) == (min_rows == 0)
     assert rows(salted.columns, salted.collect()) == rows(plain.columns, plain.collect())
 
 
 def test_key_counts(spark, hot):
     counts = skew.count_keys(hot, "key")
     assert (counts.rows, counts.largest) == (6000, 2000)
-    assert sorted(r["key"] or "" for r in counts.hot_keys(0.1, 0).collect()) == ["", "hot"]
-    assert counts.hot_keys(0.001, 0).count() <= 1000
+    hottest = {r["key"]: r["pieces"] for r in counts.hot_keys(0.1, 0).collect()}
+    assert hottest == {"hot": 4, None: 4}
+    for share in (0.1, 0.01, 0.001):
+        pieces = [r["pieces"] for r in counts.hot_keys(share, 0).collect()]
+        assert len(pieces) <= 1 / share and sum(pieces) <= 2 / share
     assert counts.hot_keys(0.5, 0) is None and counts.hot_keys() is None
     assert counts.small_keys(100) is None
     keys = counts.small_keys(10**6).collect()
@@ -54,9 +57,12 @@ def test_key_counts(spark, hot):
     assert (nothing.rows, nothing.largest, nothing.distinct_bytes) == (0, 0, 0)
 
 
-def test_hot_rows_are_spread(hot):
-    salts = hot.where("key = 'hot'").select(F.pmod(F.xxhash64("id"), F.lit(skew.SALTS)).alias("s"))
-    assert salts.distinct().count() == skew.SALTS
+def test_hot_rows_are_spread(spark, hot):
+    right = spark.createDataFrame([("hot", 1)], "key string, v int")
+    plan = skew.salted_join(hot, right, "key", ["id"], share=0.05, min_rows=0)._jdf.queryExecution().analyzed().toString()
+    assert "_piece" in plan
+    per_piece = hot.where("key = 'hot'").groupBy(F.pmod(F.xxhash64("id"), F.lit(7))).count().collect()
+    assert len(per_piece) == 7 and max(r["count"] for r in per_piece) < 2 * 2000 / 7
 
 
 def test_empty_left_side(spark, hot):
