@@ -108,8 +108,7 @@ def payload_rows(rows: DataFrame) -> DataFrame:
         rows.groupBy(F.floor(F.col("req_no") / 10).alias("payload_id"))
         .agg(F.array_sort(F.collect_list(F.struct("req_no", "uri", "title", "text"))).alias("r"))
         .select(
-            "payload_id",
-            F.to_json(F.transform("r", lambda r: F.struct(r["uri"].alias("uri"), r["title"].alias("title"), r["text"].alias("text")))).alias("payload"),
+            "payload_id", F.to_json(F.transform("r", lambda r: r.dropFields("req_no"))).alias("payload")
         )
     )
     number = F.col("req_no").cast("string")

@@ -142,7 +142,8 @@ def _unescape(text: str) -> str:
     return text
 
 
-_SPACE = "' ' || " + " || ".join(f"chr({n})" for n in (9, 10, 11, 12, 13, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288))
+_SPACE_POINTS = (9, 10, 11, 12, 13, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)
+_SPACE = "' ' || " + " || ".join(f"chr({n})" for n in _SPACE_POINTS)
 _EXTRACTED = f"""
 page_texts AS (
  SELECT page_id, url, pos, trim({_unescape("text")}, {_SPACE}) AS text

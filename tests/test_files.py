@@ -49,7 +49,8 @@ def test_content_sink_replaces_only_its_partitions(spark, tmp_path):
     sinks.write_content(stored(spark, [2]).withColumn("title", F.lit("?")), base)
     back = readers.read_content(spark, base)
     assert back.count() == 12
-    assert back.where("type = 'TEXT'").select("storage_path").orderBy("storage_path").first()[0] == "TEXT/1970/01/01/title_0_1.txt"
+    first = back.where("type = 'TEXT'").select("storage_path").orderBy("storage_path").first()
+    assert first["storage_path"] == "TEXT/1970/01/01/title_0_1.txt"
     chosen = back.where("type = 'AUDIO' and created_date = date'1970-01-02'")
     assert "PartitionFilters: [isnotnull(type" in chosen._jdf.queryExecution().executedPlan().toString()
     assert chosen.count() == 2

@@ -39,7 +39,8 @@ def test_latest_status_over_several_batches(spark, history, tmp_path):
 def counter_files(spark, folder, times):
     for at in times:
         df = spark.createDataFrame([(t, 2) for t in at], "t string, n_requests int")
-        df.select(F.col("t").cast("timestamp").alias("submitted_ts"), "n_requests").coalesce(1).write.mode("append").parquet(folder)
+        typed = df.select(F.col("t").cast("timestamp").alias("submitted_ts"), "n_requests")
+        typed.coalesce(1).write.mode("append").parquet(folder)
 
 
 TIMES = [
