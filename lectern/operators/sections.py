@@ -27,24 +27,30 @@ def parse_outline(lines: DataFrame, doc: str = "doc_id", line_no: str = "line_no
 def section_ranges(markers: DataFrame, doc: str = "doc_id", cfg: JobConfig = DEFAULTS) -> DataFrame:
     """Markers with `page_end`: the page before the next marker, or -1 for the last one.
 
-    Pages count from 1. The next marker is looked up inside chunks of line numbers, and across them
-    only between the first markers of the chunks, so a giant outline is never one window.
+    Pages count from 1. When an outline is longer than a chunk of lines, the next marker is looked up
+    inside chunks, and across them only between their first markers: a giant outline is never one window.
     """
-    chunk = F.floor(F.col("line_no") / F.lit(cfg.outline_chunk)).alias("_chunk")
-    starts = markers.select("*", chunk).withColumn("page_start", F.greatest("page_start", F.lit(1)))
-    inside = starts.withColumn(
-        "_next", F.lead("page_start").over(W.partitionBy(doc, "_chunk").orderBy("line_no"))
+    starts = markers.withColumn("page_start", F.greatest("page_start", F.lit(1)))
+    last_line = markers.agg(F.max("line_no")).first()[0]
+    if last_line is None or last_line < cfg.outline_chunk:
+        following = F.lead("page_start").over(W.partitionBy(doc).orderBy("line_no"))
+        ranges = starts.withColumn("_following", following)
+    else:
+        ranges = _following_in_chunks(starts, doc, cfg.outline_chunk)
+    return ranges.select(
+        doc, "line_no", "name", "page_start", F.coalesce(F.col("_following") - 1, F.lit(OPEN_END)).alias("page_end")
     )
-    firsts = starts.groupBy(doc, "_chunk").agg(F.min_by("page_start", "line_no").alias("_first"))
-    following = firsts.select(
-        doc, "_chunk", F.lead("_first").over(W.partitionBy(doc).orderBy("_chunk")).alias("_after")
-    )
-    return inside.join(following, [doc, "_chunk"]).select(
-        doc,
-        "line_no",
-        "name",
-        "page_start",
-        F.coalesce(F.coalesce("_next", "_after") - 1, F.lit(OPEN_END)).alias("page_end"),
+
+
+def _following_in_chunks(starts: DataFrame, doc: str, width: int) -> DataFrame:
+    chunks = starts.withColumn("_chunk", F.floor(F.col("line_no") / F.lit(width)))
+    inside = F.lead("page_start").over(W.partitionBy(doc, "_chunk").orderBy("line_no"))
+    firsts = chunks.groupBy(doc, "_chunk").agg(F.min_by("page_start", "line_no").alias("_first"))
+    after = F.lead("_first").over(W.partitionBy(doc).orderBy("_chunk"))
+    return (
+        chunks.withColumn("_inside", inside)
+        .join(firsts.select(doc, "_chunk", after.alias("_after")), [doc, "_chunk"])
+        .withColumn("_following", F.coalesce("_inside", "_after"))
     )
 
 

@@ -33,8 +33,12 @@ def write_batches(
     transform: Callable[[DataFrame], DataFrame] = lambda df: df,
     partition_by: tuple[str, ...] = (),
     mode: str = "append",
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Applies a batch transformation to every micro-batch and writes it to its own folder."""
+    """Applies a batch transformation to every micro-batch and writes it to its own folder.
+
+    Works off what has landed and stops, or runs on with a micro-batch `every` so often.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         writer = batch.transform(transform).write.mode("overwrite")
@@ -43,7 +47,7 @@ def write_batches(
     return (
         stream.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**({"processingTime": every} if every else {"availableNow": True}))
         .foreachBatch(write)
         .start()
     )
@@ -54,14 +58,18 @@ def read_batches(spark: SparkSession, out: str) -> DataFrame:
 
 
 def stream_requests(
-    stream: DataFrame, process: Callable[[DataFrame], DataFrame], out: str, checkpoint: str
+    stream: DataFrame,
+    process: Callable[[DataFrame], DataFrame],
+    out: str,
+    checkpoint: str,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Routes arriving requests with the batch functions; accepted and rejected rows part by folder.
 
     Both outcomes go out in one write, so a random id is drawn once, and a bad request only ends up
     on the other side.
     """
-    return write_batches(stream, out, checkpoint, process, partition_by=("status",))
+    return write_batches(stream, out, checkpoint, process, partition_by=("status",), every=every)
 
 
 def stream_accepted_counts(

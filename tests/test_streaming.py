@@ -107,3 +107,19 @@ def test_a_batch_that_runs_again_replaces_itself(spark, tmp_path):
         stream = jobs.stream_payloads(spark, str(folder))
         jobs.write_batches(stream, out, str(tmp_path / f"state{_}")).awaitTermination()
     assert jobs.read_batches(spark, out).count() == 1
+
+
+def test_a_running_stream_takes_up_new_files(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    (folder / "a.json").write_text('[{"uri":"http://h/lecture.mp3"}]\n')
+    stream = jobs.stream_payloads(spark, str(folder))
+    running = jobs.stream_requests(stream, process_payloads, out, str(tmp_path / "state"), every="1 second")
+    try:
+        running.processAllAvailable()
+        assert running.isActive and jobs.read_batches(spark, out).count() == 1
+        (folder / "b.json").write_text("{broken\n")
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    assert sorted(r["status"] for r in jobs.read_batches(spark, out).collect()) == ["ACCEPTED", "ERROR"]
