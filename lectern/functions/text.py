@@ -16,6 +16,8 @@ WHITE_SPACE = (
 
 _ENTITY_PARTS = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);|[^&]+|&"
 _NAMED = json.dumps({name: chr(point) for name, point in name2codepoint.items()} | {"apos": "'"})
+# Numbers 128 to 159 mean the characters of the Windows code page, where it has one.
+_WINDOWS = json.dumps({n: c for n in range(0x80, 0xA0) if (c := bytes([n]).decode("cp1252", "ignore"))})
 
 
 def fingerprint(text: Column) -> Column:
@@ -45,7 +47,9 @@ def trim_space(text: Column) -> Column:
 def _code_point(number: Column) -> Column:
     valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
     point = F.when(valid, number).otherwise(F.lit(0xFFFD))
-    return F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+    character = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+    windows = F.try_element_at(F.from_json(F.lit(_WINDOWS), "map<string,string>"), number.cast("string"))
+    return F.when((number >= 0x80) & (number < 0xA0), F.coalesce(windows, character)).otherwise(character)
 
 
 def _decode_part(part: Column) -> Column:

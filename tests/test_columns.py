@@ -109,12 +109,17 @@ def test_paths_refused(one):
 @pytest.mark.parametrize(
     "raw",
     ["a &amp; b", "&lt;&gt;&quot;&#39;", "&amp;lt;", "&copy;&middot;&nbsp;&eacute;&hellip;", "&#233;&#xE9;&#X1F600;",
-     "AT&T & co", "&unknown;", "&", "&&amp;&", "no entities", "&apos;", "&#65;&#066;"],
+     "AT&T & co", "&unknown;", "&", "&&amp;&", "no entities", "&apos;", "&#65;&#066;",
+     "&#128;&#150;&#x92;&#159;&#160;"],
 )
 def test_unescape(one, raw):
     assert one(tx.unescape_entities, raw) == html.unescape(raw)
 
 
+def test_unescape_keeps_control_characters(one):
+    assert one(tx.unescape_entities, "&#127;x&#x81;") == "\x7fx\x81"
+
+
 @pytest.mark.parametrize("raw", ["&#0;", "&#xD800;", "&#x110000;", "&#99999999999999999999999;", "&#xFFFFFFFFFFFFFFFFF;"])
 def test_unescape_invalid_number(one, raw):
     assert one(tx.unescape_entities, raw) == "�"
