@@ -28,13 +28,18 @@ def text_hash(text: Column) -> Column:
     return F.when(text.isNull(), F.lit("")).otherwise(F.md5(F.encode(text, "UTF-8")))
 
 
-def pieces_for(df: DataFrame, bytes_each: int, least: int) -> int:
-    """Number of pieces of about `bytes_each` bytes, by the size Catalyst estimates for the scan.
+def pieces_for(df: DataFrame, bytes_each: int, least: int, text_column: str = "text") -> int:
+    """Number of pieces of about `bytes_each` bytes of text, by one scan that sums the lengths.
 
     Only balance depends on it, never a result.
     """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(least, min(size, 1 << 60) // bytes_each + 1)
+    size = df.agg(F.sum(F.octet_length(text_column).cast("long") + 64)).first()[0] or 0
+    return max(least, size // bytes_each + 1)
+
+
+def pieces_of_rows(df: DataFrame, rows_each: int, least: int) -> int:
+    """Number of pieces of about `rows_each` rows of a written table."""
+    return max(least, df.count() // rows_each + 1)
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -68,6 +73,21 @@ def unpack_sorted(block: bytes) -> np.ndarray:
     return np.cumsum(unpack(block), dtype=np.uint64)
 
 
+def joined(*parts: bytes) -> bytes:
+    """Several blocks as one."""
+    return b"".join(len(p).to_bytes(4, "little") + p for p in parts)
+
+
+def parted(block: bytes) -> list[bytes]:
+    """The blocks that `joined` put together."""
+    out, at = [], 0
+    while at < len(block):
+        size = int.from_bytes(block[at : at + 4], "little")
+        out.append(block[at + 4 : at + 4 + size])
+        at += 4 + size
+    return out
+
+
 def rows_of(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
     """Values of the named columns, row by row."""
     for batch in batches:

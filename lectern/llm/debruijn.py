@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.chunks import Chunk, ask, by_shard, chunked, finish, shard_count, with_replies
-from lectern.llm.common import pack, pack_sorted, unpack, unpack_sorted
+from lectern.llm.common import joined, pack, pack_sorted, parted, unpack, unpack_sorted
+from lectern.llm.graph import components
 from lectern.session import materialize
 
 SPAN = "array<struct<start: bigint, length: bigint, source: bigint, path: bigint>>"
@@ -64,25 +65,16 @@ def _edge_question(k: int, shards: int):
         for shard, (a, b) in enumerate(zip(low.tolist(), high.tolist(), strict=True)):
             if b > a:
                 parts = (ids, pack_sorted(keys[a:b]), pack(first[a:b].astype(np.uint16)))
-                yield shard, b"".join(len(p).to_bytes(4, "little") + p for p in parts)
+                yield shard, joined(*parts)
 
     return question
 
 
-def _parts(block: bytes) -> list[bytes]:
-    out, at = [], 0
-    while at < len(block):
-        size = int.from_bytes(block[at : at + 4], "little")
-        out.append(block[at + 4 : at + 4 + size])
-        at += 4 + size
-    return out
-
-
 def _edge_answer(blocks: list[bytes]):
     """For each edge asked about: its first document, if that is before the asking chunk's first."""
     keys, firsts = [], []
     for block in blocks:
-        ids, own, first = _parts(block)
+        ids, own, first = parted(block)
         keys.append(unpack_sorted(own))
         firsts.append((unpack_sorted(ids) ^ np.uint64(1 << 63)).view(np.int64)[unpack(first)])
     every, first = np.concatenate(keys), np.concatenate(firsts)
@@ -98,7 +90,7 @@ def _edge_answer(blocks: list[bytes]):
         at += len(own)
         earlier = mine < own
         body = (pack(np.packbits(earlier)), pack(mine[earlier]))
-        replies.append(b"".join(len(p).to_bytes(4, "little") + p for p in body))
+        replies.append(joined(*body))
     return replies, len(heads), int((np.diff(np.append(heads, len(ranked))) > 1).sum())
 
 
@@ -119,7 +111,7 @@ def _finished(k: int, shards: int, with_text: bool):
         source = chunk.ids[first].copy()
         low, high = by_shard(keys, shards)
         for shard, reply in replies[0].items():
-            bits, found = map(unpack, _parts(reply))
+            bits, found = map(unpack, parted(reply))
             a, b = int(low[shard]), int(high[shard])
             earlier = np.flatnonzero(np.unpackbits(bits, count=b - a)) + a
             source[earlier] = found
@@ -211,25 +203,6 @@ def compact(spans: DataFrame, k: int = 13) -> DataFrame:
     single = links.groupBy("path").agg(F.count("*").alias("n"), F.first("next").alias("next")).where("n = 1")
     alone = links.groupBy("next").agg(F.count("*").alias("m")).where("m = 1").select("next")
     glue = single.join(alone, "next").select("path", "next")
-    labels = materialize(nodes.select("path", F.col("path").alias("joined")), "labels")
-    both = materialize(
-        glue.select(F.col("path").alias("a"), F.col("next").alias("b")).unionByName(
-            glue.select(F.col("next").alias("a"), F.col("path").alias("b"))
-        ),
-        "glue",
-    )
-    while True:
-        near = both.join(labels.withColumnRenamed("path", "b"), "b").groupBy("a").agg(F.min("joined").alias("j"))
-        step = labels.join(near, labels["path"] == near["a"], "left").select(
-            "path", F.least("joined", F.coalesce("j", "joined")).alias("joined"), (F.col("j") < F.col("joined")).alias("moved")
-        )
-        # The label of one's label: names travel twice as far in each round.
-        own = step.select(F.col("path").alias("_l"), F.col("joined").alias("_j"))
-        step = step.join(own, step["joined"] == own["_l"]).select(
-            "path", F.least("joined", "_j").alias("joined"), (F.coalesce("moved", F.lit(False)) | (F.col("_j") < F.col("joined"))).alias("moved")
-        )
-        step = materialize(step, "labels")
-        labels = step.select("path", "joined")
-        if step.where("moved").isEmpty():
-            break
-    return nodes.join(labels, "path")
+    labels = components(glue.select(F.col("path").alias("a"), F.col("next").alias("b")))
+    labels = labels.select(F.col("node").alias("path"), F.col("component").alias("joined"))
+    return nodes.join(labels, "path", "left").withColumn("joined", F.coalesce("joined", "path"))

@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import pieces_for
+from lectern.llm.common import pieces_of_rows
 from lectern.session import materialize
 
 # The separator's text and id in this vocabulary, and the id that ends a document.
@@ -158,7 +158,7 @@ def pack(documents: DataFrame, length: int = 2048, vocabulary: Vocabulary | None
     texts = documents.select("doc_id", "text")
     tokens = texts.mapInArrow(_tokenised(vocabulary), "row long, doc_id long, curve long, n long, ids binary")
     tokens = materialize(tokens, "tokens")
-    ranges = pieces_for(tokens.select("row", "n"), 8 << 20, 4)
+    ranges = pieces_of_rows(tokens, 100_000, 4)
     ordered = tokens.select("row", "n", "curve", "doc_id").repartitionByRange(ranges, "curve", "doc_id", "row")
     ordered = ordered.sortWithinPartitions("curve", "doc_id", "row").select("row", "n")
     placed = materialize(ordered.mapInArrow(_running, "row long, part int, before long, n long"), "order")

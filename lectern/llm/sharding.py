@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from lectern.llm.common import pieces_for, text_hash
+from lectern.llm.common import pieces_of_rows, text_hash
 from lectern.session import materialize
 
 # Bundles that small groups are gathered in; a group at least as large as a mean bundle is scheduled
@@ -57,12 +57,11 @@ def shard(rows: DataFrame, n_shards: int = 8, bundles: int = BUNDLES) -> DataFra
     put = rows.withColumn("_bundle", bundle).join(F.broadcast(alone), "group", "left")
     put = put.join(F.broadcast(together), "_bundle", "left")
     put = put.withColumn("shard", F.coalesce("_own", "_shared")).drop("_own", "_shared", "_bundle")
-    return numbered(put)
+    return numbered(put, pieces_of_rows(rows, 50_000, 16))
 
 
-def numbered(rows: DataFrame) -> DataFrame:
+def numbered(rows: DataFrame, bins: int) -> DataFrame:
     """Adds `slot`: 0, 1, 2 ... within each `shard`, counted over bins of rows rather than whole shards."""
-    bins = pieces_for(rows, 64 << 20, 64)
     binned = rows.withColumn("_bin", F.pmod(F.xxhash64("order", "group"), F.lit(bins)))
     counts = binned.groupBy("shard", "_bin").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("shard").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
