@@ -14,12 +14,12 @@ ORACLE = {
             SELECT s, list_sort(s) AS k, min(doc_id) OVER (PARTITION BY list_sort(s)) AS rep, doc_id, len(s) AS n FROM sets
         ), grams AS (
             SELECT rep, n, unnest(s) AS g FROM classes WHERE doc_id = rep
-        ), both AS (
+        ), pairs AS (
             SELECT a.rep AS a, b.rep AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c
             FROM grams a JOIN grams b ON a.g = b.g AND a.rep < b.rep
                 AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY 1, 2
         ), links AS (
-            SELECT a, b FROM both WHERE 100 * c >= 80 * (na + nb - c)
+            SELECT a, b FROM pairs WHERE 100 * c >= 80 * (na + nb - c)
         ), around AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
         ), reach(node, c) AS (
             SELECT DISTINCT a, a FROM around UNION SELECT e.b, r.c FROM reach r JOIN around e ON e.a = r.node
