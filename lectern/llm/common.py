@@ -55,22 +55,16 @@ def unpack(block: bytes) -> np.ndarray:
 
 
 def pack_sorted(values: np.ndarray) -> bytes:
-    """A rising array of unsigned 64-bit integers, as differences."""
-    if len(values) == 0:
-        return pack(values.astype("<u8"))
-    steps = np.diff(values, prepend=np.uint64(0))
-    if len(steps) > 1 and steps[1:].max() < 1 << 32:
-        return pack(steps[:1]) + b"|||" + pack(steps[1:].astype("<u4"))
-    return pack(steps)
+    """A rising array of unsigned 64-bit integers: the first one and the differences, narrow where they can be."""
+    steps = np.diff(values.astype("<u8"))
+    if len(steps) and steps.max() < 1 << 32:
+        steps = steps.astype("<u4")
+    return joined(pack(values[:1].astype("<u8")), pack(steps))
 
 
 def unpack_sorted(block: bytes) -> np.ndarray:
-    block = bytes(block)
-    cut = block.find(b"|||", 0, 64)
-    first = unpack(block[:cut]) if cut > 0 else None
-    if first is not None and len(first) == 1:
-        return np.cumsum(np.concatenate([first, unpack(block[cut + 3 :]).astype("<u8")]), dtype=np.uint64)
-    return np.cumsum(unpack(block), dtype=np.uint64)
+    first, steps = map(unpack, parted(block))
+    return np.cumsum(np.concatenate([first, steps.astype("<u8")]), dtype=np.uint64)
 
 
 def joined(*parts: bytes) -> bytes:

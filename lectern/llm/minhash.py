@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import rows_of, text_hash
+from lectern.llm.common import pieces_of_rows, rows_of, text_hash
 from lectern.llm.graph import components
 from lectern.session import materialize
 
@@ -19,6 +19,7 @@ HASHES = BANDS * ROWS
 BATCH = 24  # Hashes compared before each decision.
 MISS = 1e-4  # Probability, at each decision, of pruning a pair that is similar enough.
 REMEMBERED = 200_000
+PIECE = 2_000  # Members of a bucket that one task compares with its strangers.
 
 _random = np.random.default_rng(5)
 FACTORS = _random.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -144,6 +145,34 @@ def _confirmed(k: int, percent: int):
     return run
 
 
+def _across(percent: int):
+    """Per bucket piece: which of its strangers may be similar to which members of other components."""
+    limits = least_matches(percent)
+
+    def run(group: pa.Table) -> pa.Table:
+        column = lambda c: group.column(c).to_numpy()
+        key, piece, node, part, stranger = (column(c) for c in ("key", "piece", "node", "c", "stranger"))
+        bits = np.frombuffer(b"".join(group.column("bits").to_pylist()), np.uint8).reshape(-1, HASHES)
+        order = np.lexsort((piece, key))
+        edge = np.flatnonzero((np.diff(key[order]) != 0) | (np.diff(piece[order]) != 0)) + 1
+        found = set()
+        for rows in np.split(order, edge):
+            members = rows[~stranger[rows]]
+            for x in rows[stranger[rows]].tolist():
+                alive = members[part[members] != part[x]]
+                matches = np.zeros(len(alive), np.int64)
+                for n, least in limits.items():
+                    block = slice(n - BATCH, n)
+                    matches += (bits[alive, block] == bits[x, block]).sum(axis=1)
+                    good = matches >= least
+                    alive, matches = alive[good], matches[good]
+                found.update((min(node[x], node[y]), max(node[x], node[y])) for y in alive.tolist())
+        pairs = sorted(found)
+        return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
+
+    return run
+
+
 class _Verifier:
     """Prunes and verifies candidate pairs of classes."""
 
@@ -152,10 +181,16 @@ class _Verifier:
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that are similar enough, exactly."""
+        return self.confirmed(self.plausible(pairs))
+
+    def plausible(self, pairs: DataFrame) -> DataFrame:
         bits = self.classes.select("node", "bits")
         signed = pairs.join(bits.toDF("a", "bits_a"), "a").join(bits.toDF("b", "bits_b"), "b")
         signed = signed.select("a", "b", "bits_a", "bits_b")
-        alive = materialize(signed.mapInArrow(_plausible(self.percent), "a long, b long"), "plausible")
+        return signed.mapInArrow(_plausible(self.percent), "a long, b long")
+
+    def confirmed(self, alive: DataFrame) -> DataFrame:
+        alive = materialize(alive, "plausible")
         if alive.isEmpty():
             return alive
         nodes = alive.select(F.col("a").alias("node")).unionByName(alive.select(F.col("b").alias("node"))).distinct()
@@ -173,6 +208,16 @@ def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
     return members.join(labels, "node", "left").withColumn("c", F.coalesce("c", "node"))
 
 
+def _mixed(labels: DataFrame) -> DataFrame:
+    """Rows of buckets with several components, with the bucket's largest and in how many pieces to cut it."""
+    sizes = labels.groupBy("key", "c").agg(F.count("*").alias("n"))
+    buckets = sizes.groupBy("key").agg(
+        F.max_by("c", F.struct("n", "c")).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("n")
+    )
+    pieces = (F.floor(F.col("n") / PIECE) + 1).cast("int").alias("pieces")
+    return labels.join(buckets.where("parts > 1").select("key", "main", pieces), "key")
+
+
 def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, text_key, n_shingles, component_id, kept) of (doc_id, text), a row for each.
 
@@ -184,8 +229,9 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
 
     Equal sets are one class. Classes that share a band are candidates, but a bucket's pairs are never
     all made: first each class is compared with one leader of its buckets, then with the others not
-    connected yet, and then, in buckets that still hold several components, the members outside the
-    largest with the members of other components. Whatever is in one component needs no further comparing.
+    connected yet, then with some more leaders, and last, in buckets that still hold several components,
+    the members outside the largest (strangers) with the members of other components, signature by
+    signature within pieces of the bucket. Whatever is in one component needs no further comparing.
     """
     keyed = documents.select("doc_id", "text").withColumn("text_key", text_hash(F.col("text")))
     sketches = keyed.mapInArrow(
@@ -213,17 +259,31 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     rest = stars.select("a", "b").join(best, ["a", "b"], "left_anti")
     rest = rest.join(of_node.toDF("a", "ca"), "a").join(of_node.toDF("b", "cb"), "b").where("ca <> cb").select("a", "b")
     links = materialize(links.unionByName(verifier.links(rest)), "links")
-    # Then whatever buckets still hold apart.
-    labels = materialize(_labelled(members.select("key", "node"), links), "labelled")
-    sizes = labels.groupBy("key", "c").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("main"), F.count("*").alias("parts"))
-    apart = labels.join(mixed.where("parts > 1").select("key", "main"), "key")
-    apart = materialize(apart, "apart")
-    outside = apart.where("c <> main").select("key", F.col("node").alias("x"), F.col("c").alias("cx"))
-    pairs = outside.join(apart.select("key", F.col("node").alias("y"), F.col("c").alias("cy")), "key").where("cx <> cy")
-    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    # Then other leaders, while that connects what a bucket still holds apart.
+    for turn in range(3):
+        apart = _mixed(_labelled(members.select("key", "node"), links))
+        other = F.min_by(F.struct("node", "c"), F.xxhash64("node", F.lit(turn))).alias("l")
+        leaders = apart.where("c = main").groupBy("key").agg(other).select("key", F.col("l.node").alias("x"), F.col("l.c").alias("cx"))
+        pairs = apart.join(leaders, "key").where("c <> cx")
+        pairs = pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+        pairs = pairs.join(stars, ["a", "b"], "left_anti")
+        links = materialize(links.unionByName(verifier.links(pairs)), "links")
+    # Then, with all that is still apart, each stranger of a bucket against all of it.
+    apart = materialize(_mixed(_labelled(members.select("key", "node"), links)), "apart")
+    apart = apart.join(classes.select("node", "bits"), "node").withColumn(
+        "own", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int")
+    )
+    columns = ["key", "node", "c", "bits"]
+    every = apart.select(*columns, F.col("own").alias("piece"), F.lit(False).alias("stranger"))
+    strangers = apart.where("c <> main").select(
+        *columns, F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), F.lit(True).alias("stranger")
+    )
+    dealt = every.unionByName(strangers)
+    groups = pieces_of_rows(apart, 20_000, 8)
+    dealt = dealt.withColumn("deal", F.pmod(F.xxhash64("key", "piece"), F.lit(groups)))
+    pairs = dealt.groupBy("deal").applyInArrow(_across(percent), "a long, b long").distinct()
     pairs = pairs.join(stars, ["a", "b"], "left_anti")
-    links = materialize(links.unionByName(verifier.links(pairs)), "links")
+    links = materialize(links.unionByName(verifier.confirmed(pairs)), "links")
     found = classes.select("node", "set_id", "rep").join(components(links), "node", "left")
     found = found.withColumn("component", F.coalesce("component", "node"))
     least = found.groupBy("component").agg(F.min("rep").alias("component_id"))

@@ -264,7 +264,8 @@ def without_repeats(documents: DataFrame, length: int = 100, with_text: bool = T
     `length` is between ANCHOR and 4096.
     """
     chunks = chunked(documents)
-    shards = shard_count(chunks)
+    # A shard unfolds its stretches into windows, many times their size, so shards are smaller than chunks.
+    shards = 4 * shard_count(chunks)
     shared = ask(chunks, _anchor_question(length, shards), _anchor_answer, "anchors")
     asked = with_replies(chunks, shared)
     repeats = ask(asked, _stretch_question(length, shards), _stretch_answer(length), "stretches")
