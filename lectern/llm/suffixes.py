@@ -21,6 +21,7 @@ from lectern.llm.common import joined, pack, pack_sorted, parted, unpack, unpack
 
 ANCHOR = 32
 BLOCK = 1 << 19
+RANGE = 200_000  # Windows of a shard looked at together.
 TABLE = np.random.default_rng(11).integers(0, 1 << 64, 256, dtype=np.uint64)
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 
@@ -195,6 +196,17 @@ def _windows(data: bytes, count: np.ndarray, offset: np.ndarray, anchors: np.nda
     return _mixed(hashes[begin[stretch] + within] + salt), stretch, within
 
 
+def _ranges(anchors: list[np.ndarray], counts: list[np.ndarray]) -> list[tuple[np.uint64, np.uint64]]:
+    """Ranges of anchors (both ends included) with about RANGE windows each."""
+    every, windows = np.concatenate(anchors), np.concatenate(counts)
+    order = np.argsort(every, kind="stable")
+    every, piece = every[order], np.cumsum(windows[order]) // RANGE
+    last = np.flatnonzero(np.concatenate([every[1:] != every[:-1], [True]]))
+    cut = last[np.flatnonzero(np.concatenate([np.diff(piece[last]) > 0, [True]]))]
+    lows = np.concatenate([[0], cut[:-1] + 1])
+    return list(zip(every[lows], every[cut], strict=True))
+
+
 def _stretch_answer(length: int):
     def answer(blocks: list[bytes]):
         parts = []
@@ -208,16 +220,25 @@ def _stretch_answer(length: int):
         ids, starts = (np.concatenate([p[i] for p in parts]) for i in (3, 4))
         rank = np.empty(len(ids), np.int64)
         rank[np.lexsort((starts, ids))] = np.arange(len(ids))
-        family, at = LevelFamily(), 0
-        asked = []
-        for anchors, count, offset, _, _, raw in parts:
-            keys, stretch, within = _windows(raw, count, offset, anchors, length)
-            mine = rank[at + stretch] * 65536 + within
-            at += len(count)
-            family.add(keys, mine)
-            asked.append((keys, mine))
-        replies = [pack(np.packbits(family.first(keys) < mine)) for keys, mine in asked]
-        return replies, int(sum(len(k) for k, _ in asked)), len(family.levels)
+        at = np.cumsum([0, *(len(p[0]) for p in parts)])
+        bits = [[] for _ in parts]
+        windows = 0
+        # Equal windows have one anchor, so a shard is gone through in ranges of anchors.
+        for low, high in _ranges([p[0] for p in parts], [p[1] for p in parts]):
+            family, asked = LevelFamily(), []
+            for part, (anchors, count, offset, _, _, raw) in enumerate(parts):
+                a, b = np.searchsorted(anchors, low), np.searchsorted(anchors, high, side="right")
+                sizes = count + length - 1
+                start, size = int(sizes[:a].sum()), int(sizes[a:b].sum())
+                keys, stretch, within = _windows(raw[start : start + size], count[a:b], offset[a:b], anchors[a:b], length)
+                mine = rank[at[part] + a + stretch] * 65536 + within
+                family.add(keys, mine)
+                asked.append((keys, mine))
+            for own, (keys, mine) in zip(bits, asked, strict=True):
+                own.append(family.first(keys) < mine)
+                windows += len(keys)
+        replies = [pack(np.packbits(np.concatenate(own))) for own in bits]
+        return replies, windows, 0
 
     return answer
 
