@@ -54,7 +54,7 @@ def _code_point(number: Column) -> Column:
 
 def _decode_part(part: Column) -> Column:
     name = F.substring_index(F.substring(part, 2, 64), ";", 1)
-    digits = F.substring_index(F.substring(part, 3, 64), ";", 1).try_cast("bigint")
+    digits = F.regexp_extract(part, "^&#0*([0-9]{1,18});$", 1).try_cast("bigint")
     hexadecimal = F.conv(F.regexp_extract(part, "^&#[xX]0*([0-9a-fA-F]{1,8});$", 1), 16, 10).cast("bigint")
     names = F.from_json(F.lit(_NAMED), "map<string,string>")
     return (

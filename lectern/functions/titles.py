@@ -46,8 +46,9 @@ def type_ext(content_type: Column, uri: Column) -> Column:
 
 
 def created_date(created: Column) -> Column:
-    """UTC date of an epoch second, whatever the session time zone."""
-    return F.date_add(F.lit("1970-01-01").cast("date"), F.floor(created / F.lit(86400)).cast("int"))
+    """UTC date of an epoch second, whatever the session time zone; NULL outside the years 1 to 9999."""
+    days = F.when(created.between(-62_135_596_800, 253_402_300_799), F.floor(created / F.lit(86400)))
+    return F.date_add(F.lit("1970-01-01").cast("date"), days.cast("int"))
 
 
 def work_path(content_type: Column, uri: Column, title: Column, created: Column) -> Column:

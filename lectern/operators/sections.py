@@ -14,13 +14,17 @@ OPEN_END = -1
 
 
 def parse_outline(lines: DataFrame, doc: str = "doc_id", line_no: str = "line_no", line: str = "line") -> DataFrame:
-    """(doc, line_no, name, page_start) of the lines that hold a page and a quoted name."""
+    """(doc, line_no, name, page_start) of the lines that hold a page and a quoted name.
+
+    A page number beyond 64 bits makes no marker.
+    """
     text = F.col(line)
-    return lines.where(text.rlike(PAGE_MARK) & text.rlike(NAME_MARK)).select(
+    page = F.regexp_extract(text, PAGE_MARK, 1).try_cast("bigint")
+    return lines.where(text.rlike(PAGE_MARK) & text.rlike(NAME_MARK) & page.isNotNull()).select(
         doc,
         line_no,
         F.regexp_extract(text, NAME_MARK, 1).alias("name"),
-        F.regexp_extract(text, PAGE_MARK, 1).cast("bigint").alias("page_start"),
+        page.alias("page_start"),
     )
 
 
