@@ -79,7 +79,7 @@ def _count_features(batches):
 
 
 def choose_features(
-    sample: DataFrame, n_features: int, min_documents: int, least_z: float = 4.0
+    sample: DataFrame, n_features: int, min_documents: int, least_z: float = 3.0
 ) -> list[tuple[str, float]]:
     """The features that tell the classes apart best, with their smoothed log odds.
 

@@ -220,15 +220,15 @@ def test_personal_data_by_pattern(documents, rows):
 
 
 def test_terms_that_disclose(spark):
-    texts = [f"{a} {b} Zaphod writes from zz@planet.example.com about {b} {a}" for a, b in ("ab", "cd", "ef", "gh")]
-    texts = [t.replace(" a ", " apples ").replace(" b ", " bridges ") for t in texts]
+    pairs = ("apples bridges", "candles dragons", "engines forests", "gardens hammers")
+    texts = [f"{p} Zaphod writes from zz@planet.example.com about {p}" for p in pairs]
     texts += ["many people write from home about apples"] * 40 + ["someone writes about nothing"] * 40
     df = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
     spans = by_id(disclosure.span_digest(disclosure.find_spans(df)))
-    assert "term:4:10" in spans[0].spans and "email:23:45" in spans[0].spans
+    assert spans[0].spans == "term:15:21,email:34:55"
     assert all("term" not in spans[i].spans for i in range(4, 84))
     masked = by_id(disclosure.sanitise(df))
-    assert masked[0].text.startswith("a b [TERM] writes from [EMAIL]") and masked[10].text == texts[10]
+    assert masked[0].text == "apples bridges [TERM] writes from [EMAIL] about apples bridges" and masked[10].text == texts[10]
 
 
 def test_near_duplicates(documents, rows):
