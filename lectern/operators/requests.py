@@ -44,14 +44,18 @@ def parse_payloads(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     """Adds `items`, the parsed array of inputs: NULL for a payload that must be rejected.
 
     A payload is rejected whole when it is no JSON array (a bare object counts as none) or when one
-    of its numbers is not a whole number.
+    of its numbers is no whole number, negative, or too large for its field.
     """
     items = F.when(
         F.json_array_length(F.col(payload)).isNotNull(), F.from_json(F.col(payload), INPUT_ARRAY, {"mode": "PERMISSIVE"})
     )
 
     def wrong_number(item: Column) -> Column:
-        checks = [item[n].isNotNull() & item[n].try_cast("bigint").isNull() for n in INPUT_NUMBERS]
+        checks = []
+        for name in INPUT_NUMBERS:
+            kind = REQUEST_SCHEMA[name].dataType.simpleString()
+            number = item[name].try_cast("bigint").try_cast(kind)
+            checks.append(item[name].isNotNull() & F.coalesce(number < 0, F.lit(True)))
         return reduce(lambda a, b: a | b, checks)
 
     parsed = with_computed(payloads, {"items": items})
