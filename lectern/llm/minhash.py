@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,7 @@ BATCH = 24  # Hashes compared before each decision.
 MISS = 1e-4  # Probability, at each decision, of pruning a pair that is similar enough.
 REMEMBERED = 200_000
 PIECE = 2_000  # Members of a bucket that one task compares with its strangers.
+MEMBERS, STRANGERS, SHINGLES = 1_000, 500, 1_000_000  # About what a tile holds when pairs are verified.
 
 _random = np.random.default_rng(5)
 FACTORS = _random.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -146,28 +148,73 @@ def _confirmed(k: int, percent: int):
 
 
 def _across(percent: int):
-    """Per bucket piece: which of its strangers may be similar to which members of other components."""
+    """Per bucket piece: which of its strangers may be similar to which members of other components.
+
+    A row per stranger and block of members: (x, block, ys).
+    """
     limits = least_matches(percent)
 
     def run(group: pa.Table) -> pa.Table:
         column = lambda c: group.column(c).to_numpy()
-        key, piece, node, part, stranger = (column(c) for c in ("key", "piece", "node", "c", "stranger"))
+        key, piece, node, part, main, block, stranger = (
+            column(c) for c in ("key", "piece", "node", "c", "main", "block", "stranger")
+        )
         bits = np.frombuffer(b"".join(group.column("bits").to_pylist()), np.uint8).reshape(-1, HASHES)
         order = np.lexsort((piece, key))
         edge = np.flatnonzero((np.diff(key[order]) != 0) | (np.diff(piece[order]) != 0)) + 1
-        found = set()
+        found = defaultdict(set)
         for rows in np.split(order, edge):
             members = rows[~stranger[rows]]
             for x in rows[stranger[rows]].tolist():
-                alive = members[part[members] != part[x]]
+                # Two strangers visit each other's pieces: the larger node compares.
+                due = (part[members] != part[x]) & ((part[members] == main[members]) | (node[members] < node[x]))
+                alive = members[due]
                 matches = np.zeros(len(alive), np.int64)
                 for n, least in limits.items():
-                    block = slice(n - BATCH, n)
-                    matches += (bits[alive, block] == bits[x, block]).sum(axis=1)
+                    span = slice(n - BATCH, n)
+                    matches += (bits[alive, span] == bits[x, span]).sum(axis=1)
                     good = matches >= least
                     alive, matches = alive[good], matches[good]
-                found.update((min(node[x], node[y]), max(node[x], node[y])) for y in alive.tolist())
-        pairs = sorted(found)
+                for where in np.unique(block[alive]).tolist():
+                    found[int(node[x]), where].update(node[alive[block[alive] == where]].tolist())
+        return pa.table(
+            {
+                "x": pa.array([x for x, _ in found], pa.int64()),
+                "block": pa.array([where for _, where in found], pa.int64()),
+                "ys": pa.array([sorted(ys) for ys in found.values()], pa.list_(pa.int64())),
+            }
+        )
+
+    return run
+
+
+def _confirmed_in_tiles(k: int, percent: int):
+    """Exactly similar pairs of the strangers and the block of each tile: one link per stranger and component."""
+
+    def run(group: pa.Table) -> pa.Table:
+        known, links = _Hashes(), set()
+        columns = (group.column(c).to_pylist() for c in ("block", "part", "node", "c", "ys", "text"))
+        tiles = defaultdict(lambda: ({}, []))
+        for block, part, node, c, ys, text in zip(*columns, strict=True):
+            sets, strangers = tiles[block, part]
+            if ys is None:
+                sets[node] = (c, shingles(text, k, known))
+            else:
+                strangers.append((node, ys, text))
+        for sets, strangers in tiles.values():
+            for x, ys, text in strangers:
+                own, joined = shingles(text, k, known), set()
+                for y in ys:
+                    c, theirs = sets[y]
+                    # Bounded by the sizes before the sets are looked through.
+                    if c in joined or 100 * min(len(own), len(theirs)) < percent * max(len(own), len(theirs)):
+                        continue
+                    at = np.minimum(np.searchsorted(own, theirs), len(own) - 1)
+                    both = int((own[at] == theirs).sum())
+                    if 100 * both >= percent * (len(own) + len(theirs) - both):
+                        joined.add(c)
+                        links.add((min(x, y), max(x, y)))
+        pairs = sorted(links)
         return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
 
     return run
@@ -194,13 +241,63 @@ class _Verifier:
         if alive.isEmpty():
             return alive
         nodes = alive.select(F.col("a").alias("node")).unionByName(alive.select(F.col("b").alias("node"))).distinct()
-        keys = self.classes.select("node", "text_key").join(nodes, "node", "left_semi")
-        texts = self.documents.join(keys, "text_key").groupBy("node").agg(F.first("text").alias("text"))
-        texts = materialize(texts, "candidates")
+        texts = self.texts(nodes)
         full = alive.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
         full = full.select("a", "b", "text_a", "text_b")
         return materialize(full.mapInArrow(_confirmed(self.k, self.percent), "a long, b long"), "links")
 
+    def texts(self, nodes: DataFrame) -> DataFrame:
+        """(node, text) of the classes in `nodes`."""
+        keys = self.classes.select("node", "text_key").join(nodes, "node", "left_semi")
+        texts = self.documents.join(keys, "text_key").groupBy("node").agg(F.first("text").alias("text"))
+        return materialize(texts, "candidates")
+
+    def across(self, apart: DataFrame) -> DataFrame:
+        """Links (a, b) between the components that buckets still hold, of `apart` as `_mixed` gives it.
+
+        Plausible pairs are never rows of their own: a stranger has one row per block of members it may be
+        similar to. A block is a part of the nodes whose least bucket is the same, so that a group's
+        members meet in few blocks; a tile is a block with some of its strangers, and holds about a million shingles.
+        """
+        nodes = apart.groupBy("node").agg(F.min("key").alias("home"), F.first("c").alias("c"))
+        nodes = materialize(nodes.join(self.classes.select("node", "bits", "n"), "node"), "nodes")
+        homes = nodes.groupBy("home").agg(self._cuts(MEMBERS).alias("cuts"))
+        block = F.xxhash64("home", F.pmod(F.xxhash64("node"), "cuts"))
+        nodes = nodes.join(homes, "home").select("node", "c", "bits", "n", block.alias("block"))
+        rows = apart.join(nodes.select("node", "bits", "block"), "node")
+        own = F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int")
+        columns = ["key", "node", "c", "main", "bits", "block"]
+        every = rows.select(*columns, own.alias("piece"), F.lit(False).alias("stranger"))
+        strangers = rows.where("c <> main").select(
+            *columns, F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), F.lit(True).alias("stranger")
+        )
+        groups = pieces_of_rows(apart, 20_000, 8)
+        dealt = every.unionByName(strangers).withColumn("deal", F.pmod(F.xxhash64("key", "piece"), F.lit(groups)))
+        found = dealt.groupBy("deal").applyInArrow(_across(self.percent), "x long, block long, ys array<long>")
+        found = found.groupBy("x", "block").agg(F.array_distinct(F.flatten(F.collect_list("ys"))).alias("ys"))
+        found = materialize(found, "plausible")
+        asked = found.select("block").distinct()
+        blocks = nodes.join(asked, "block", "left_semi")
+        texts = self.texts(found.select(F.col("x").alias("node")).unionByName(blocks.select("node")).distinct())
+        sized = found.join(nodes.select(F.col("node").alias("x"), "n", "c"), "x")
+        parts = sized.groupBy("block").agg(self._cuts(STRANGERS).cast("int").alias("parts"))
+        part = F.pmod(F.xxhash64("x"), F.col("parts")).cast("int")
+        columns = ["block", "part", "node", "c", "ys", "text"]
+        asking = sized.join(parts, "block").withColumn("part", part).withColumnRenamed("x", "node")
+        asking = asking.join(texts, "node").select(*columns)
+        none = F.lit(None).cast("array<bigint>")
+        answering = blocks.join(parts, "block").join(texts, "node").withColumn("ys", none)
+        answering = answering.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(*columns)
+        tiles = pieces_of_rows(found, 1_000, 8)
+        deal = F.pmod(F.xxhash64("block", "part"), F.lit(tiles))
+        tiled = asking.unionByName(answering).withColumn("deal", deal).groupBy("deal")
+        return materialize(tiled.applyInArrow(_confirmed_in_tiles(self.k, self.percent), "a long, b long"), "links")
+
+    @staticmethod
+    def _cuts(rows: int):
+        """In how many parts to cut a group of rows with `n` shingles each."""
+        return F.floor(F.count("*") / rows + F.sum("n") / SHINGLES) + 1
+
 
 def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
     """`members` (key, node) with their component so far."""
@@ -229,9 +326,9 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
 
     Equal sets are one class. Classes that share a band are candidates, but a bucket's pairs are never
     all made: first each class is compared with one leader of its buckets, then with the others not
-    connected yet, then with some more leaders, and last, in buckets that still hold several components,
-    the members outside the largest (strangers) with the members of other components, signature by
-    signature within pieces of the bucket. Whatever is in one component needs no further comparing.
+    connected yet, and last, in buckets that still hold several components, the members outside the
+    largest (strangers) with the members of other components, signature by signature within pieces of
+    the bucket; what is plausible is verified in tiles. Whatever is in one component needs no further comparing.
     """
     keyed = documents.select("doc_id", "text").withColumn("text_key", text_hash(F.col("text")))
     sketches = keyed.mapInArrow(
@@ -239,7 +336,7 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     )
     sketches = materialize(sketches, "sketches")
     some = sketches.where("n > 0").groupBy("set_id").agg(
-        F.min("doc_id").alias("rep"), F.first(F.struct("text_key", "bands", "bits")).alias("s")
+        F.min("doc_id").alias("rep"), F.first(F.struct("text_key", "bands", "bits", "n")).alias("s")
     )
     classes = some.select(F.monotonically_increasing_id().alias("node"), "set_id", "rep", "s.*")
     classes = materialize(classes, "classes")
@@ -259,31 +356,10 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     rest = stars.select("a", "b").join(best, ["a", "b"], "left_anti")
     rest = rest.join(of_node.toDF("a", "ca"), "a").join(of_node.toDF("b", "cb"), "b").where("ca <> cb").select("a", "b")
     links = materialize(links.unionByName(verifier.links(rest)), "links")
-    # Then other leaders, while that connects what a bucket still holds apart.
-    for turn in range(3):
-        apart = _mixed(_labelled(members.select("key", "node"), links))
-        other = F.min_by(F.struct("node", "c"), F.xxhash64("node", F.lit(turn))).alias("l")
-        leaders = apart.where("c = main").groupBy("key").agg(other).select("key", F.col("l.node").alias("x"), F.col("l.c").alias("cx"))
-        pairs = apart.join(leaders, "key").where("c <> cx")
-        pairs = pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-        pairs = pairs.join(stars, ["a", "b"], "left_anti")
-        links = materialize(links.unionByName(verifier.links(pairs)), "links")
     # Then, with all that is still apart, each stranger of a bucket against all of it.
     apart = materialize(_mixed(_labelled(members.select("key", "node"), links)), "apart")
-    apart = apart.join(classes.select("node", "bits"), "node").withColumn(
-        "own", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int")
-    )
-    columns = ["key", "node", "c", "bits"]
-    every = apart.select(*columns, F.col("own").alias("piece"), F.lit(False).alias("stranger"))
-    strangers = apart.where("c <> main").select(
-        *columns, F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), F.lit(True).alias("stranger")
-    )
-    dealt = every.unionByName(strangers)
-    groups = pieces_of_rows(apart, 20_000, 8)
-    dealt = dealt.withColumn("deal", F.pmod(F.xxhash64("key", "piece"), F.lit(groups)))
-    pairs = dealt.groupBy("deal").applyInArrow(_across(percent), "a long, b long").distinct()
-    pairs = pairs.join(stars, ["a", "b"], "left_anti")
-    links = materialize(links.unionByName(verifier.confirmed(pairs)), "links")
+    if not apart.isEmpty():
+        links = materialize(links.unionByName(verifier.across(apart)), "links")
     found = classes.select("node", "set_id", "rep").join(components(links), "node", "left")
     found = found.withColumn("component", F.coalesce("component", "node"))
     least = found.groupBy("component").agg(F.min("rep").alias("component_id"))
