@@ -31,30 +31,24 @@ def parse_outline(lines: DataFrame, doc: str = "doc_id", line_no: str = "line_no
 def section_ranges(markers: DataFrame, doc: str = "doc_id", cfg: JobConfig = DEFAULTS) -> DataFrame:
     """Markers with `page_end`: the page before the next marker, or -1 for the last one.
 
-    Pages count from 1. When an outline is longer than a chunk of lines, the next marker is looked up
-    inside chunks, and across them only between their first markers: a giant outline is never one window.
+    Pages count from 1. The next marker is looked up inside chunks of lines, and across them only
+    between their first markers: a giant outline is never one window. Markers without a document or
+    line number are kept; those without a document make one outline, those without a number come first.
     """
     starts = markers.withColumn("page_start", F.greatest("page_start", F.lit(1)))
-    last_line = markers.agg(F.max("line_no")).first()[0]
-    if last_line is None or last_line < cfg.outline_chunk:
-        following = F.lead("page_start").over(W.partitionBy(doc).orderBy("line_no"))
-        ranges = starts.withColumn("_following", following)
-    else:
-        ranges = _following_in_chunks(starts, doc, cfg.outline_chunk)
-    return ranges.select(
-        doc, "line_no", "name", "page_start", F.coalesce(F.col("_following") - 1, F.lit(OPEN_END)).alias("page_end")
-    )
-
-
-def _following_in_chunks(starts: DataFrame, doc: str, width: int) -> DataFrame:
-    chunks = starts.withColumn("_chunk", F.floor(F.col("line_no") / F.lit(width)))
+    chunks = starts.withColumn("_chunk", F.floor(F.col("line_no") / F.lit(cfg.outline_chunk)))
     inside = F.lead("page_start").over(W.partitionBy(doc, "_chunk").orderBy("line_no"))
-    firsts = chunks.groupBy(doc, "_chunk").agg(F.min_by("page_start", "line_no").alias("_first"))
+    # A struct, as min_by leaves out rows without an order.
+    first = F.min(F.struct("line_no", "page_start"))["page_start"]
     after = F.lead("_first").over(W.partitionBy(doc).orderBy("_chunk"))
+    firsts = chunks.groupBy(doc, "_chunk").agg(first.alias("_first"))
+    firsts = firsts.select(F.col(doc).alias("_doc"), F.col("_chunk").alias("_of"), after.alias("_after"))
+    same = F.col(doc).eqNullSafe(F.col("_doc")) & F.col("_chunk").eqNullSafe(F.col("_of"))
+    following = F.coalesce("_inside", "_after")
     return (
         chunks.withColumn("_inside", inside)
-        .join(firsts.select(doc, "_chunk", after.alias("_after")), [doc, "_chunk"])
-        .withColumn("_following", F.coalesce("_inside", "_after"))
+        .join(firsts, same)
+        .select(doc, "line_no", "name", "page_start", F.coalesce(following - 1, F.lit(OPEN_END)).alias("page_end"))
     )
 
 

@@ -113,10 +113,13 @@ def file_manifest(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def storage_layout(spark: SparkSession, folder: str) -> DataFrame:
     path = run_folder(spark, "content")
-    sinks.write_content(_titled(spark, folder), path)
+    items = _titled(spark, folder)
+    # Two runs over the same days: the second adds to what the first has stored.
+    sinks.write_content(items.where("req_no % 2 = 0"), path, "run-1")
+    sinks.write_content(items.where("req_no % 2 = 1"), path, "run-2")
     stored = readers.read_content(spark, path)
     return stored.groupBy("type", F.col("created_date").cast("string").alias("created_date")).agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct("storage_path").alias("n_paths")
+        F.count(F.lit(1)).alias("n"), F.countDistinct("storage_path").alias("n_paths"), F.sum("req_no").alias("winners")
     )
 
 

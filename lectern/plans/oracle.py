@@ -239,8 +239,11 @@ FROM raw WHERE req_no % 50 IN (0, 1, 2)""",
 SELECT CAST(doc_id AS VARCHAR) AS doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS lang,
  coalesce(source, '') AS source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents""",
     "storage_layout": f"""{_REQUESTS}
-SELECT type, {_date("created", "%Y-%m-%d")} AS created_date, count(*) AS n, count(DISTINCT {_file("type")}) AS n_paths
-FROM titled WHERE length({_clean("title")}) >= 2 AND ({_file("type")}) IS NOT NULL GROUP BY 1, 2""",
+SELECT type, created_date, count(*) AS n, count(DISTINCT path) AS n_paths, CAST(sum(req_no) AS BIGINT) AS winners
+FROM (SELECT type, {_date("created", "%Y-%m-%d")} AS created_date, {_file("type")} AS path, req_no FROM titled
+ WHERE length({_clean("title")}) >= 2 AND ({_file("type")}) IS NOT NULL
+ QUALIFY row_number() OVER (PARTITION BY type, {_date("created", "%Y-%m-%d")}, {_file("type")}
+  ORDER BY req_no % 2 DESC, created DESC, request_hash DESC) = 1) GROUP BY 1, 2""",
     "flat_export_winners": f"""{_REQUESTS}
 SELECT {_clean("title")} || '.mp3' AS basename, request_hash, created, storage_path,
  count(*) OVER (PARTITION BY {_clean("title")}) AS n_writers

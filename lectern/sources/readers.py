@@ -1,5 +1,7 @@
 """Scans."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,5 +56,15 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_content(spark: SparkSession, base: str) -> DataFrame:
-    """Table written by write_content; filters on type and created_date prune its folders."""
-    return spark.read.option("basePath", base).parquet(base)
+    """Table written by write_content, the last writer of each storage path only.
+
+    That is the latest run, in it the newest item, and of those the one with the largest id. Filters on
+    type and created_date prune the folders. The winners are found on the key columns alone.
+    """
+    keys = ["type", "created_date", "storage_path"]
+    stored = spark.read.option("basePath", base).parquet(base)
+    order = ["run", *[c for c in ("created", "request_hash") if c in stored.columns]]
+    winners = stored.groupBy(*keys).agg(F.max(F.struct(*order)).alias("_last"))
+    winners = winners.select(*[F.col(c).alias(f"_{c}") for c in keys], "_last")
+    same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_{c}") for c in keys])
+    return stored.join(winners, same & F.struct(*order).eqNullSafe(F.col("_last")), "left_semi").drop("run")

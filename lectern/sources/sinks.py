@@ -1,5 +1,8 @@
 """Sinks."""
 
+import uuid
+from datetime import UTC, datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,17 +16,21 @@ def with_layout(df: DataFrame) -> DataFrame:
     return with_computed(df, {"storage_path": path, "created_date": created_date(F.col("created"))})
 
 
-def write_content(df: DataFrame, base: str) -> None:
-    """Stores items by type and creation date; items without a storage path are refused.
+def write_content(df: DataFrame, base: str, run: str | None = None) -> None:
+    """Adds items by type and creation date; items without a storage path are refused.
 
-    Only the partitions present in `df` are replaced, so a repeated run gives the same table. The
-    rebalance hint gathers the rows of a partition into few files and splits a hot partition.
+    Every run writes its own folder inside the partitions and never touches those of other runs. A
+    repeated run, of the same `run` name and the same items, replaces its own. Run names rise with time, so that
+    `readers.read_content` knows the last writer of a storage path; by default they are the time of the call.
+    The rebalance hint gathers the rows of a partition into few files and splits a hot partition.
     """
+    run = run or f"{datetime.now(UTC):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
     (
         with_layout(df)
         .where(F.col("storage_path").isNotNull())
+        .withColumn("run", F.lit(run))
         .hint("rebalance", "type", "created_date")
-        .write.partitionBy("type", "created_date")
+        .write.partitionBy("type", "created_date", "run")
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
         .parquet(base)

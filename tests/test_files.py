@@ -42,11 +42,15 @@ def stored(spark, days):
     return df.withColumn("uri", F.lit("http://h/x"))
 
 
-def test_content_sink_replaces_only_its_partitions(spark, tmp_path):
+def test_content_sink_adds_and_the_last_writer_of_a_path_wins(spark, tmp_path):
     base = str(tmp_path / "content")
-    sinks.write_content(stored(spark, [0, 1]), base)
-    sinks.write_content(stored(spark, [1, 2]), base)
+    first = stored(spark, [0, 1])
+    sinks.write_content(first.where("title LIKE '% 1'"), base)
+    sinks.write_content(first.where("title NOT LIKE '% 1'"), base)
+    sinks.write_content(stored(spark, [1, 2]).withColumn("text", F.lit("new")), base, "9")
+    sinks.write_content(stored(spark, [1, 2]).withColumn("text", F.lit("new")), base, "9")
     sinks.write_content(stored(spark, [2]).withColumn("title", F.lit("?")), base)
+    assert readers.read_content(spark, base).where("text = 'new'").count() == 8
     back = readers.read_content(spark, base)
     assert back.count() == 12
     first = back.where("type = 'TEXT'").select("storage_path").orderBy("storage_path").first()

@@ -193,3 +193,12 @@ def test_flat_export_and_duplicates(spark):
     copies = spark.createDataFrame([(i, "copy" if i % 3 == 0 else f"t{i}") for i in range(30)], "doc_id int, text string")
     groups = state.duplicate_groups(copies).collect()
     assert [(g["n"], g["first_id"]) for g in groups] == [(10, 0)]
+
+
+def test_section_ranges_keep_rows_without_document_or_line(spark):
+    rows = [(None, 0, "a", 1), (None, 5, "b", 4), (None, 9, "c", 7), (1, None, "d", 1), (1, 4, "e", 3), (1, 5, "f", 9)]
+    markers = spark.createDataFrame(rows, "doc_id long, line_no long, name string, page_start long")
+    wanted = [("a", 3), ("b", 6), ("c", -1), ("d", 2), ("e", 8), ("f", -1)]
+    for chunk in (1, 3, 10_000):
+        ranges = sections.section_ranges(markers, cfg=JobConfig(outline_chunk=chunk)).collect()
+        assert sorted((r["name"], r["page_end"]) for r in ranges) == wanted
