@@ -65,6 +65,8 @@ def process_payloads(
         {
             "type": F.when(~malformed, F.col("type")),
             "route": F.when(~malformed, F.col("route")),
+            "status": F.when(malformed, "ERROR").otherwise(F.col("status")),
+            "output_type": F.when(~malformed, F.col("output_type")),
             "reason": F.when(malformed, "malformed payload").otherwise(F.col("reason")),
         }
     )
