@@ -20,8 +20,6 @@ class JobConfig:
 
     # Code points of the text that stand in for a missing title.
     text_title_chars: int = 64
-    # Pages joined into one output string; a longer document gives several parts.
-    pages_per_part: int = 10_000
     # Width of the page buckets that section ranges are joined on.
     page_bucket: int = 64
     # Outline lines ranked together before the cross-chunk step.

@@ -18,9 +18,13 @@ def convert_by_route(df: DataFrame, converters: Mapping[str, Converter], route:
     """Each route's rows through its converter; rows of other routes pass unchanged.
 
     The branches read `df` once each: hand in a stored table (best partitioned by route) when its
-    plan is expensive. All converters must return the same columns.
+    plan is expensive. All converters must return the same columns, or a ValueError names those
+    that some leave out; rows that no converter takes have NULL in columns that converters add.
     """
     handled = F.coalesce(F.col(route).isin(*converters), F.lit(False))
     parts = [df.where(F.col(route) == name).transform(convert) for name, convert in converters.items()]
+    columns = [set(part.columns) for part in parts]
+    if columns and (odd := set.union(*columns) - set.intersection(*columns)):
+        raise ValueError(f"converters differ in columns: {', '.join(sorted(odd))}")
     rest = df.where(~handled)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [*parts, rest])

@@ -32,22 +32,19 @@ def page_titles(pages: DataFrame, key: str = "page_id", html: str = "html") -> D
 
 
 def assemble_pages(
-    pages: DataFrame, doc: str = "doc_id", page_no: str = "page_no", text: str = "text", cfg: JobConfig = DEFAULTS
+    pages: DataFrame, doc: str = "doc_id", page_no: str = "page_no", text: str = "text"
 ) -> DataFrame:
     """Page texts of each document joined in page order; unreadable (NULL) pages are skipped.
 
-    A document of more than `cfg.pages_per_part` pages comes out as several parts, so that no task
-    ever holds a whole giant document. Every page is in exactly one part.
+    One row per document, however many pages it has: its text is one record.
     """
-    part = F.floor(F.col(page_no) / F.lit(cfg.pages_per_part)).cast("bigint")
     in_order = F.array_sort(F.collect_list(F.struct(F.col(page_no).alias("no"), F.col(text).alias("text"))))
     return (
         pages.where(F.col(text).isNotNull())
-        .groupBy(doc, part.alias("part_no"))
+        .groupBy(doc)
         .agg(in_order.alias("pages"))
         .select(
             doc,
-            "part_no",
             F.size("pages").cast("bigint").alias("n_pages"),
             F.array_join(F.transform("pages", lambda p: p["text"]), "").alias("text"),
         )
@@ -101,18 +98,15 @@ def text_from_documents(
     text: str = "text",
     cfg: JobConfig = DEFAULTS,
 ) -> DataFrame:
-    """Text of the paged document, a page table keyed by URI, for requests without text.
-
-    A request for a document of several parts becomes one row per part, told apart by `part_no`.
-    """
+    """Text of the paged document, a page table keyed by URI, for requests without text."""
     counts = count_keys(requests, "uri")
     wanted = counts.small_keys(cfg.broadcast_bytes)
     if wanted is not None:
         pages = pages.join(wanted, pages[uri] == wanted["uri"], "left_semi")
-    parts = assemble_pages(pages, uri, page_no, text, cfg).select(
-        F.col(uri).alias("uri"), "part_no", F.nullif(F.col("text"), F.lit("")).alias("landed_text")
+    whole = assemble_pages(pages, uri, page_no, text).select(
+        F.col(uri).alias("uri"), F.nullif(F.col("text"), F.lit("")).alias("landed_text")
     )
-    found = salted_join(requests, parts, "uri", [request_key], counts=counts)
+    found = salted_join(requests, whole, "uri", [request_key], counts=counts)
     return found.withColumn("text", F.col("landed_text")).drop("landed_text")
 
 
@@ -141,16 +135,16 @@ def read_by_type(
 ) -> DataFrame:
     """Text-less TEXT requests read from web pages, PDF ones from paged documents, the others as they are.
 
-    Adds `page_title` and `part_no`. Each kind takes its own join, none sees the rows of another.
+    Adds `page_title`. Each kind takes its own join, none sees the rows of another.
     """
     kind = F.when(_without_text(), F.col("type"))
     from_pages = F.coalesce(kind == "TEXT", F.lit(False)) & F.lit(pages is not None)
     from_documents = F.coalesce(kind == "PDF", F.lit(False)) & F.lit(documents is not None)
-    no_title, no_part = F.lit(None).cast("string"), F.lit(None).cast("bigint")
-    done = requests.where(~from_pages & ~from_documents).withColumns({"page_title": no_title, "part_no": no_part})
+    no_title = F.lit(None).cast("string")
+    done = requests.where(~from_pages & ~from_documents).withColumn("page_title", no_title)
     if pages is not None:
         read = text_from_pages(requests.where(from_pages), pages, request_key, cfg=cfg)
-        done = done.unionByName(read.withColumn("part_no", no_part))
+        done = done.unionByName(read)
     if documents is not None:
         read = text_from_documents(requests.where(from_documents), documents, request_key, cfg=cfg)
         done = done.unionByName(read.withColumn("page_title", no_title))

@@ -62,11 +62,21 @@ def parse_payloads(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     return with_computed(parsed, {"items": F.when(~F.exists("items", wrong_number), F.col("items"))})
 
 
+def batch_outcomes(payloads: DataFrame, payload: str = "payload") -> DataFrame:
+    """One row per payload, empty batches included: its other columns, `accepted` and `n_requests`."""
+    keys = [c for c in payloads.columns if c != payload]
+    return parse_payloads(payloads, payload).select(
+        *keys,
+        F.col("items").isNotNull().alias("accepted"),
+        F.coalesce(F.array_size("items"), F.lit(0)).cast("bigint").alias("n_requests"),
+    )
+
+
 def unpack_payloads(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     """One row per element of each JSON array, and one row per payload that was rejected.
 
-    The payload itself stays only with a rejected one; its other columns are NULL then. One pass, each
-    payload is parsed once.
+    The payload itself stays only with a rejected one; its other columns are NULL then. An empty batch
+    holds no request; `batch_outcomes` counts it. One pass, each payload is parsed once.
     """
     parsed = parse_payloads(payloads, payload).where(F.col("items").isNull() | (F.size("items") > 0))
     keys = [c for c in payloads.columns if c != payload]

@@ -1,6 +1,6 @@
 """Outlines: markers, page ranges and the pages of each section."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -12,6 +12,9 @@ PAGE_MARK = r"#([0-9]+),[0-9]+,[0-9]+"
 NAME_MARK = r'"([^"]*)"'
 OPEN_END = -1
 
+# A tree over the buckets of pages, 64 children a node and as high as page numbers can ask for.
+TREE_BITS, TREE_LEVELS = 6, 10
+
 
 def parse_outline(lines: DataFrame, doc: str = "doc_id", line_no: str = "line_no", line: str = "line") -> DataFrame:
     """(doc, line_no, name, page_start) of the lines that hold a page and a quoted name.
@@ -52,6 +55,31 @@ def section_ranges(markers: DataFrame, doc: str = "doc_id", cfg: JobConfig = DEF
     )
 
 
+def _cover(first: Column, last: Column) -> Column:
+    """Nodes (_level, _node) of the tree over buckets that hold first..last, each bucket in one of them.
+
+    On every level the nodes that lie inside the range while their parents do not: 126 at most.
+    """
+
+    def inside(level: int) -> tuple[Column, Column]:
+        return F.shiftright(first + ((1 << TREE_BITS * level) - 1), TREE_BITS * level), F.shiftright(
+            last + 1, TREE_BITS * level
+        )
+
+    def run(level: int, start: Column, end: Column) -> Column:
+        numbers = F.when(start < end, F.sequence(start, end - 1)).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(numbers, lambda n: F.struct(F.lit(level).alias("_level"), n.alias("_node")))
+
+    runs = []
+    for level in range(TREE_LEVELS):
+        start, end = inside(level)
+        parent, parent_end = inside(min(level + 1, TREE_LEVELS - 1))
+        has_parents = (parent < parent_end) & F.lit(level + 1 < TREE_LEVELS)
+        runs.append(run(level, start, F.when(has_parents, parent * (1 << TREE_BITS)).otherwise(end)))
+        runs.append(run(level, F.when(has_parents, parent_end * (1 << TREE_BITS)).otherwise(end), end))
+    return F.concat(*runs)
+
+
 def slice_sections(
     sections: DataFrame,
     pages: DataFrame,
@@ -63,7 +91,9 @@ def slice_sections(
     """Pages of each section as rows (doc, line_no, name, page_no, text).
 
     A range join on (doc, bucket of pages): a section is repeated per bucket it covers and meets the
-    pages of those buckets only, so neither a giant document nor a giant section is one group.
+    pages of those buckets only, so neither a giant document nor a giant section is one group. The
+    buckets are those that have pages, found through a tree, so that a stray page number far off
+    costs a section some nodes and not a row per bucket in between.
     """
     width = F.lit(cfg.page_bucket)
     content = pages.select(
@@ -78,29 +108,33 @@ def slice_sections(
         )
         .where(F.col("_end") >= F.col("page_start"))
     )
-    covering = closed.withColumn(
-        "_bucket", F.explode(F.sequence(F.floor(F.col("page_start") / width), F.floor(F.col("_end") / width)))
+    cover = _cover(F.floor(F.col("page_start") / width), F.floor(F.col("_end") / width))
+    nodes = (
+        content.select(doc, "_bucket")
+        .distinct()
+        .withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(TREE_LEVELS - 1))))
+        .withColumn("_node", F.expr(f"shiftright(_bucket, {TREE_BITS} * _level)"))
     )
     return (
-        covering.join(content, [doc, "_bucket"])
+        closed.select("*", F.inline(cover))
+        .join(nodes, [doc, "_level", "_node"])
+        .join(content, [doc, "_bucket"])
         .where(F.col("page_no").between(F.col("page_start"), F.col("_end")))
         .select(doc, "line_no", "name", "page_start", "page_no", "text")
     )
 
 
-def section_texts(slices: DataFrame, doc: str = "doc_id", cfg: JobConfig = DEFAULTS) -> DataFrame:
-    """Text of each section, its pages joined in order; a giant section comes out in parts."""
-    part = F.floor((F.col("page_no") - F.col("page_start")) / F.lit(cfg.pages_per_part)).cast("bigint")
+def section_texts(slices: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """Text of each section, its pages joined in order: one row per section."""
     in_order = F.array_sort(F.collect_list(F.struct("page_no", "text")))
     return (
         slices.where(F.col("text").isNotNull())
-        .groupBy(doc, "line_no", "name", part.alias("part_no"))
+        .groupBy(doc, "line_no", "name")
         .agg(in_order.alias("pages"))
         .select(
             doc,
             "line_no",
             "name",
-            "part_no",
             F.size("pages").cast("bigint").alias("n_pages"),
             F.array_join(F.transform("pages", lambda p: p["text"]), "").alias("text"),
         )

@@ -106,8 +106,12 @@ def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def file_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    files = readers.file_manifest(spark, folder, "*.parquet")
-    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "size")
+    path = run_folder(spark, "files")
+    docs = _documents(spark, folder).select(F.coalesce("text", F.lit("")), F.coalesce("source", F.lit("none")).alias("source"))
+    docs.write.partitionBy("source").text(path)
+    files = readers.file_manifest(spark, path, "*.txt")
+    source = F.url_decode(F.regexp_extract("path", "/source=([^/]+)/", 1)).alias("source")
+    return files.groupBy(source).agg(F.sum("size").alias("n_bytes"))
 
 
 @query
@@ -265,7 +269,7 @@ def processed_documents(spark: SparkSession, folder: str) -> DataFrame:
     papers = normalized(derive(turns, inputs.PAPER_REQUESTS_SQL, "conversations"))
     leaves = derive(turns, inputs.PAPER_PAGES_SQL, "conversations")
     done = process_requests(papers, request_key="req_no", documents=leaves)
-    return done.select("req_no", "part_no", "type", "title", "text", "length", "status", "reason", "storage_path")
+    return done.select("req_no", "type", "title", "text", "length", "status", "reason", "storage_path")
 
 
 # Extraction
@@ -332,6 +336,14 @@ def accepted_counts(spark: SparkSession, folder: str) -> DataFrame:
     return metrics.accepted_counts(batches).select(_hour("window_start"), "n_batches", "n_requests")
 
 
+@query
+def accepted_payloads(spark: SparkSession, folder: str) -> DataFrame:
+    payloads = inputs.payload_rows(_rows(spark, folder))
+    submitted = F.timestamp_seconds(1704067200 + F.abs("payload_id") * 97).alias("submitted_ts")
+    batches = requests.batch_outcomes(payloads).where("accepted").select("*", submitted)
+    return metrics.accepted_counts(batches).select(_hour("window_start"), "n_batches", "n_requests")
+
+
 @query
 def route_census(spark: SparkSession, folder: str) -> DataFrame:
     routed = _outcomes(spark, folder).withColumn("host", uri.uri_host(F.col("uri")))

@@ -43,21 +43,22 @@ FROM {conversations}
 """
 
 DOCUMENT_PAGES_SQL = """
-SELECT conv_id AS doc_id, turn AS page_no, CASE WHEN turn % 5 = 4 THEN NULL ELSE text END AS text
-FROM {conversations}
+SELECT conv_id AS doc_id, turn AS page_no, text FROM {conversations}
+UNION ALL SELECT conv_id, turn + 100000, NULL FROM {conversations} WHERE turn % 5 = 4
 """
 
 PAPER_REQUESTS_SQL = """
-SELECT DISTINCT conv_id AS req_no, concat('http://papers.example.org/paper_', conv_id, '.pdf') AS uri,
+SELECT conv_id AS req_no, concat('http://papers.example.org/paper_', conv_id, '.pdf') AS uri,
  '' AS text, CASE WHEN conv_id % 2 = 0 THEN concat('Paper ', conv_id) ELSE '' END AS title,
  CAST(1704067200 + conv_id * 97 AS BIGINT) AS submitted_at
-FROM {conversations}
+FROM (SELECT conv_id FROM {conversations} UNION SELECT conv_id + 1000000 FROM {conversations} WHERE conv_id % 7 = 3) AS asked
 """
 
 PAPER_PAGES_SQL = """
-SELECT concat('http://papers.example.org/paper_', conv_id, '.pdf') AS uri, turn AS page_no,
- CASE WHEN turn % 5 = 4 THEN NULL ELSE text END AS text
-FROM {conversations} WHERE conv_id % 7 <> 3
+SELECT concat('http://papers.example.org/paper_', conv_id, '.pdf') AS uri, turn AS page_no, text
+FROM {conversations}
+UNION ALL SELECT concat('http://papers.example.org/paper_', conv_id, '.pdf'), turn + 100000, NULL
+FROM {conversations} WHERE turn % 5 = 4
 """
 
 BATCHES_SQL = """
@@ -103,7 +104,7 @@ def lookup_rows(rows: DataFrame) -> DataFrame:
 
 
 def payload_rows(rows: DataFrame) -> DataFrame:
-    """Ten requests per payload, plus malformed texts and bare objects that must be rejected."""
+    """Ten requests per payload, plus empty batches and malformed ones that must be rejected."""
     packed = (
         rows.groupBy(F.floor(F.col("req_no") / 10).alias("payload_id"))
         .agg(F.array_sort(F.collect_list(F.struct("req_no", "uri", "title", "text"))).alias("r"))
@@ -116,6 +117,9 @@ def payload_rows(rows: DataFrame) -> DataFrame:
         F.when(F.col("req_no") % 50 == 0, F.concat(F.lit("{not json "), number))
         .when(F.col("req_no") % 50 == 1, F.concat(F.lit('{"uri":"'), number, F.lit('"}')))
         .when(F.col("req_no") % 50 == 2, F.concat(F.lit('[{"words_per_minute":"many '), number, F.lit('"}]')))
+        .when(F.col("req_no") % 50 == 3, F.lit("[]"))
+        .when(F.col("req_no") % 50 == 4, F.concat(F.lit('[{"words_per_minute":50000000000'), number, F.lit("}]")))
+        .when(F.col("req_no") % 50 == 5, F.concat(F.lit('[{"words_per_minute":-5'), number, F.lit("}]")))
     )
     bad = rows.select((-1 - F.col("req_no")).alias("payload_id"), broken.alias("payload"))
     return packed.unionByName(bad.where(F.col("payload").isNotNull()))

@@ -31,14 +31,11 @@ def process_requests(
     """Normalized requests to outcomes: classified, read, titled, measured, routed and placed.
 
     `pages` is the table of landed web pages (page_id, url, html) that TEXT requests are read from,
-    `documents` the one of parsed document pages (uri, page_no, text) for PDF requests. The parts of a
-    giant document are numbered in their titles.
+    `documents` the one of parsed document pages (uri, page_no, text) for PDF requests. Every request
+    gives one outcome.
     """
     read = read_by_type(classify_requests(requests, cfg), pages, documents, request_key, cfg)
     titled = title_of_video(title_from_text(title_from_page(read, cfg), cfg))
-    part = F.concat(F.lit(" part "), (F.col("part_no") + 1).cast("string"))
-    numbered = F.concat("title", F.when(F.col("part_no") > 0, part).otherwise(F.lit("")))
-    titled = titled.withColumn("title", numbered)
     routed = route_requests(apply_defaults(measure_text(titled), cfg))
     path = storage_path(F.lit("AUDIO"), F.col("uri"), F.col("title"), F.col("created"))
     return routed.withColumn("storage_path", F.when(F.col("status") == "ACCEPTED", path)).drop("page_title")
@@ -75,4 +72,4 @@ def process_payloads(
 def split_by_outline(lines: DataFrame, pages: DataFrame, doc: str = "doc_id", cfg: JobConfig = DEFAULTS) -> DataFrame:
     """Outline lines and pages to the text of each section."""
     ranges = section_ranges(parse_outline(lines, doc), doc, cfg)
-    return section_texts(slice_sections(ranges, pages, doc, cfg=cfg), doc, cfg)
+    return section_texts(slice_sections(ranges, pages, doc, cfg=cfg), doc)

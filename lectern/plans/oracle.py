@@ -232,8 +232,13 @@ SELECT req_no // 10 AS payload_id, row_number() OVER (PARTITION BY req_no // 10
     "request_batch_rejects": f"""
 WITH raw AS ({_ROWS})
 SELECT -1 - req_no AS payload_id, CASE req_no % 50 WHEN 0 THEN concat('{{not json ', req_no)
- WHEN 1 THEN concat('{{"uri":"', req_no, '"}}') ELSE concat('[{{"words_per_minute":"many ', req_no, '"}}]') END AS payload
-FROM raw WHERE req_no % 50 IN (0, 1, 2)""",
+ WHEN 1 THEN concat('{{"uri":"', req_no, '"}}') WHEN 2 THEN concat('[{{"words_per_minute":"many ', req_no, '"}}]')
+ WHEN 4 THEN concat('[{{"words_per_minute":50000000000', req_no, '}}]') WHEN 5 THEN concat('[{{"words_per_minute":-5', req_no, '}}]')
+ END AS payload
+FROM raw WHERE req_no % 50 IN (0, 1, 2, 4, 5)""",
+    "file_manifest": """
+SELECT coalesce(source, 'none') AS source, CAST(sum(strlen(coalesce(text, '')) + 1) AS BIGINT) AS n_bytes
+FROM documents GROUP BY 1""",
     "content_scan": "SELECT coalesce(text, '') AS text FROM documents",
     "csv_scan": """
 SELECT CAST(doc_id AS VARCHAR) AS doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS lang,
@@ -305,16 +310,15 @@ FROM stubs""",
 SELECT req_no, type, title, text, length, length AS size, coalesce(words_per_minute, 350) AS words_per_minute,
  'f5' AS espeak_voice, status, reason, output_type, storage_path FROM routed""",
     "processed_documents": f"""{_PAPERS}
-SELECT r.req_no, CASE WHEN l.uri IS NOT NULL THEN CAST(0 AS BIGINT) END AS part_no, r.type, r.title, r.text, r.length,
- r.status, r.reason, r.storage_path FROM routed r LEFT JOIN landed l ON r.uri = l.uri""",
+SELECT req_no, type, title, text, length, status, reason, storage_path FROM routed""",
     # Extraction
     "html_blocks": f"WITH {_BLOCKS} SELECT page_id, pos, tag, text FROM page_blocks",
     "extract_text": f"WITH {_BLOCKS}, {_EXTRACTED} SELECT page_id, text, size, n_blocks FROM extracted",
     "page_title": f"SELECT page_id, {_PAGE_TITLE} AS title FROM pages",
     "assemble_pages": f"""
 WITH doc_pages AS ({inputs.DOCUMENT_PAGES_SQL.format(conversations="conversations")})
-SELECT doc_id, page_no // 10000 AS part_no, count(*) AS n_pages, string_agg(text, '' ORDER BY page_no) AS text
-FROM doc_pages WHERE text IS NOT NULL GROUP BY 1, 2""",
+SELECT doc_id, count(*) AS n_pages, string_agg(text, '' ORDER BY page_no) AS text
+FROM doc_pages WHERE text IS NOT NULL GROUP BY 1""",
     "enrich_text": f"""
 WITH {_LANDED}, raw AS ({_PAGE_ROWS})
 SELECT r.req_no, r.uri, coalesce(nullif(r.text, ''), l.landed_text) AS text,
@@ -332,6 +336,14 @@ FROM scored QUALIFY rank <= 10""",
 SELECT (SELECT count(*) FROM documents) AS n_docs, count(*) AS n_terms, CAST(sum(df) AS BIGINT) AS n_postings
 FROM vocabulary""",
     "accepted_counts": _COUNTS,
+    "accepted_payloads": f"""
+WITH raw AS ({_ROWS}),
+batches AS (
+ SELECT req_no // 10 AS payload_id, count(*) AS n_requests FROM raw GROUP BY 1
+ UNION ALL SELECT -1 - req_no, 0 FROM raw WHERE req_no % 50 = 3)
+SELECT strftime(date_trunc('hour', make_timestamp((1704067200 + abs(payload_id) * 97) * 1000000)), '%Y-%m-%d %H:%M:%S')
+ AS window_start, count(*) AS n_batches, CAST(sum(n_requests) AS BIGINT) AS n_requests
+FROM batches GROUP BY 1""",
     "route_census": rf"""{_REQUESTS}
 SELECT type, status, nullif(lower(regexp_extract(uri, '^[a-z]+://([^/?#:]*)', 1)), '') AS host, count(*) AS n
 FROM routed GROUP BY 1, 2, 3""",
@@ -343,8 +355,8 @@ SELECT source, lang, count(*) AS n_docs, CAST(sum({_WORDS}) AS BIGINT) AS words,
     "section_ranges": f"{_SECTIONS} SELECT doc_id, line_no, name, page_start, page_end FROM ranges",
     "section_slices": f"{_SECTIONS} SELECT doc_id, line_no, name, page_start, page_no, text FROM slices",
     "section_texts": f"""{_SECTIONS}
-SELECT doc_id, line_no, name, (page_no - page_start) // 10000 AS part_no, count(*) AS n_pages,
- string_agg(text, '' ORDER BY page_no) AS text FROM slices WHERE text IS NOT NULL GROUP BY 1, 2, 3, 4""",
+SELECT doc_id, line_no, name, count(*) AS n_pages, string_agg(text, '' ORDER BY page_no) AS text
+FROM slices WHERE text IS NOT NULL GROUP BY 1, 2, 3""",
     "latest_status": _LATEST,
     "status_lookup": f"""{_HISTORY}
 SELECT i.req_no, l.step, l.type, l.created, l.req_no IS NOT NULL AS found

@@ -31,7 +31,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     folder = tempfile.mkdtemp(prefix="lectern-")
     spark.sparkContext.setCheckpointDir(folder)

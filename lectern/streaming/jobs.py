@@ -1,7 +1,8 @@
 """Streaming ingest, accepted counter and latest status.
 
-Each micro-batch is written to its own folder, batch_id=<n>, in overwrite mode: a batch that runs
-again after a failure replaces its own output. Readers fold the folders into the current table.
+Each micro-batch is written to its own folder, query=<id>/batch_id=<n>, in overwrite mode: a batch that
+runs again after a failure replaces its own output and nothing else, as the id stays with the checkpoint.
+Readers fold the folders into the current table.
 """
 
 from collections.abc import Callable
@@ -41,8 +42,11 @@ def write_batches(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         writer = batch.transform(transform).write.mode("overwrite")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{out}/batch_id={batch_id}")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(
+            f"{out}/query={query}/batch_id={batch_id}"
+        )
 
     return (
         stream.writeStream.outputMode(mode)
@@ -80,9 +84,15 @@ def stream_accepted_counts(
 
 
 def fold_counts(log: DataFrame) -> DataFrame:
-    """Current counter from the updates of all micro-batches: the last update of a window holds."""
+    """Current counter from the updates of all micro-batches: a query's last update of a window holds.
+
+    Queries with checkpoints of their own count their own inputs, so their counters add up.
+    """
     newest = F.max_by(F.struct("n_batches", "n_requests"), "batch_id").alias("row")
-    return log.groupBy("window_start").agg(newest).select("window_start", "row.*")
+    counters = log.groupBy("window_start", "query").agg(newest).select("window_start", "row.*")
+    return counters.groupBy("window_start").agg(
+        F.sum("n_batches").alias("n_batches"), F.sum("n_requests").alias("n_requests")
+    )
 
 
 def stream_latest_status(stream: DataFrame, key: str, order_by: tuple[str, ...]) -> DataFrame:
@@ -92,4 +102,4 @@ def stream_latest_status(stream: DataFrame, key: str, order_by: tuple[str, ...])
 
 def fold_status(log: DataFrame, key: str, order_by: tuple[str, ...]) -> DataFrame:
     """Current status table from the updates of all micro-batches."""
-    return latest_status(log.drop("batch_id"), key, order_by)
+    return latest_status(log.drop("query", "batch_id"), key, order_by)

@@ -42,6 +42,11 @@ def test_a_converter_may_use_pandas(routed):
     assert done[1] == "1 meti" and done[2] == "item 2" and isinstance(done, pd.Series)
 
 
+def test_converters_must_agree_on_columns(routed):
+    with pytest.raises(ValueError, match="extra"):
+        convert_by_route(routed, {"TEXT": lambda df: df.withColumn("extra", F.lit(1)), "AUDIO": lambda df: df})
+
+
 def test_no_converters(routed):
     assert convert_by_route(routed, {}).count() == 20
 

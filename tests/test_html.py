@@ -101,13 +101,13 @@ def test_page_title(one):
     assert one(html.page_title, "<p>none") is None
 
 
-def test_assembled_parts_hold_every_page_once(spark):
+def test_assembled_documents_hold_every_page_once(spark):
     rng = random.Random(3)
-    pages = [(d, n, None if rng.random() < 0.1 else f"[{d}:{n}]") for d in range(5) for n in range(1, 60 * d + 2)]
+    pages = [(9, n, "x" if n % 3 else None) for n in range(30_000)]
+    pages += [(d, n, None if rng.random() < 0.1 else f"[{d}:{n}]") for d in range(5) for n in range(1, 60 * d + 2)]
     shuffled = rng.sample(pages, len(pages))
     df = spark.createDataFrame(shuffled, "doc_id int, page_no int, text string")
-    rows = assemble_pages(df, cfg=JobConfig(pages_per_part=25)).orderBy("doc_id", "part_no").collect()
-    assert max(r["n_pages"] for r in rows) <= 25
-    for doc in range(5):
-        whole = "".join(r["text"] for r in rows if r["doc_id"] == doc)
-        assert whole == "".join(t for d, n, t in pages if d == doc and t is not None)
+    rows = {r["doc_id"]: (r["n_pages"], r["text"]) for r in assemble_pages(df).collect()}
+    for doc in (0, 1, 2, 3, 4, 9):
+        texts = [t for d, n, t in pages if d == doc and t is not None]
+        assert rows[doc] == (len(texts), "".join(texts))

@@ -178,23 +178,26 @@ def test_requests_from_uris(spark):
     assert row["submitted_at"] == 5
 
 
-@pytest.mark.parametrize("per_part", [10_000, 10])
-def test_documents_of_pdf_requests(spark, per_part):
+def test_documents_of_pdf_requests(spark):
     sent = [(f"http://h/paper{i}.pdf", "own text" if i == 1 else None, None) for i in range(4)] + [("http://h/page", None, None)]
     raw = spark.createDataFrame(sent, "uri string, text string, title string")
     requests = rq.normalize_requests(raw, F.lit(0))
     leaves = [(f"http://h/paper{i}.pdf", n, f"<{i}.{n}>") for i in (1, 2, 3) for n in range(1, 5 if i == 2 else 26)]
     pages = spark.createDataFrame(leaves, "uri string, page_no int, text string")
-    cfg = JobConfig(pages_per_part=per_part)
-    done = process_requests(requests, documents=pages, cfg=cfg).orderBy("uri", "part_no").collect()
+    done = process_requests(requests, documents=pages).collect()
     texts = {}
     for r in done:
         texts.setdefault(r["uri"], []).append(r["text"])
     assert texts["http://h/page"] == [None] and texts["http://h/paper0.pdf"] == [None]
     assert texts["http://h/paper1.pdf"] == ["own text"]
     assert len(texts["http://h/paper2.pdf"]) == 1
-    assert "".join(texts["http://h/paper3.pdf"]) == "".join(f"<3.{n}>" for n in range(1, 26))
-    assert len(texts["http://h/paper3.pdf"]) == (1 if per_part > 25 else 3)
+    assert texts["http://h/paper3.pdf"] == ["".join(f"<3.{n}>" for n in range(1, 26))]
     paths = [r["storage_path"] for r in done if r["status"] == "ACCEPTED"]
     assert len(paths) == len(set(paths)) and "AUDIO/1970/01/01/paper3.mp3" in paths
-    assert ("AUDIO/1970/01/01/paper3_part_2.mp3" in paths) == (per_part == 10)
+
+
+def test_empty_batches_are_counted(spark):
+    payloads = [(1, "[]"), (2, '[{"uri":"u"},{"uri":"v"}]'), (3, "{}"), (4, None), (5, '[{"words_per_minute":5000000000}]')]
+    df = spark.createDataFrame(payloads, "id int, payload string")
+    got = sorted(tuple(r) for r in rq.batch_outcomes(df).collect())
+    assert got == [(1, True, 0), (2, True, 2), (3, False, 0), (4, False, 0), (5, False, 0)]

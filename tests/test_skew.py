@@ -12,7 +12,7 @@ from lectern.config import JobConfig
 from lectern.operators import keywords, sections, skew, state
 from lectern.operators.extract import enrich_text
 
-TINY = JobConfig(broadcast_bytes=0, page_bucket=4, outline_chunk=3, pages_per_part=5)
+TINY = JobConfig(broadcast_bytes=0, page_bucket=4, outline_chunk=3)
 
 
 @pytest.fixture(scope="module")
@@ -129,16 +129,25 @@ def test_sections_against_brute_force(spark, cfg):
     ]
     assert sorted(tuple(r) for r in slices.collect()) == sorted(expected)
 
-    texts = sections.section_texts(slices, cfg=cfg).orderBy("doc_id", "line_no", "part_no").collect()
-    whole = {}
-    for r in texts:
-        whole[(r["doc_id"], r["line_no"])] = whole.get((r["doc_id"], r["line_no"]), "") + r["text"]
-    assert whole == {
+    texts = sections.section_texts(slices).collect()
+    whole = {(r["doc_id"], r["line_no"]): r["text"] for r in texts}
+    assert len(texts) == len(whole) and whole == {
         key: "".join(t for d, ln, _, _, n, t in sorted(expected) if (d, ln) == key)
         for key in {(e[0], e[1]) for e in expected}
     }
-    if cfg is TINY:
-        assert max(r["n_pages"] for r in texts) <= cfg.pages_per_part
+
+
+@pytest.mark.parametrize("last", [4, 1000, 70_000, 2**40, 2**62])
+def test_stray_page_numbers(spark, last):
+    rng = random.Random(last)
+    numbers = sorted({1, 2, 3, last, *[rng.randint(1, last) for _ in range(200)]})
+    pages = spark.createDataFrame([(1, n, str(n)) for n in numbers], "doc_id bigint, page_no bigint, text string")
+    ranges = [(1, i, "s", *sorted(rng.choices(numbers, k=2))) for i in range(40)] + [(1, 40, "s", 2, -1)]
+    df = spark.createDataFrame(ranges, "doc_id bigint, line_no bigint, name string, page_start bigint, page_end bigint")
+    got = sorted((r["line_no"], r["page_no"]) for r in sections.slice_sections(df, pages, cfg=JobConfig()).collect())
+    assert got == sorted(
+        (line, n) for _, line, _, start, end in ranges for n in numbers if n >= start and (end == -1 or n <= end)
+    )
 
 
 def test_rising_sections_cover_each_page_once(spark):

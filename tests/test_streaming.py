@@ -98,15 +98,22 @@ def test_payload_stream_equals_batch_and_resumes(spark, tmp_path):
 
 
 def test_a_batch_that_runs_again_replaces_itself(spark, tmp_path):
-    out = str(tmp_path / "out")
-    for _ in range(2):
-        folder = tmp_path / "in"
-        folder.mkdir(exist_ok=True)
-        (folder / "a.txt").write_text("[]\n")
-        # A new state folder makes the stream start over at batch 0.
+    out, folder = str(tmp_path / "out"), tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.txt").write_text("[]\n")
+
+    def run(state):
         stream = jobs.stream_payloads(spark, str(folder))
-        jobs.write_batches(stream, out, str(tmp_path / f"state{_}")).awaitTermination()
-    assert jobs.read_batches(spark, out).count() == 1
+        jobs.write_batches(stream, out, str(tmp_path / state)).awaitTermination()
+        return jobs.read_batches(spark, out).count()
+
+    assert run("first") == 1
+    # Without its commit, batch 0 counts as failed and runs again.
+    for name in ("0", ".0.crc"):
+        (tmp_path / "first" / "commits" / name).unlink()
+    assert run("first") == 1
+    # Another checkpoint is another query: it adds to the output.
+    assert run("second") == 2
 
 
 def test_a_running_stream_takes_up_new_files(spark, tmp_path):
