@@ -43,9 +43,12 @@ def _field(df: DataFrame, name: str, value: Column) -> Column:
 def parse_payloads(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     """Adds `items`, the parsed array of inputs: NULL for a payload that must be rejected.
 
-    A payload is rejected whole when it is no JSON array (a bare object counts as none) or when one
-    of its numbers is no whole number, negative, or too large for its field.
+    A payload is rejected whole when it is no JSON array of objects (a bare object counts as none), when
+    one of its fields has a value of another JSON type, or when one of its numbers is no whole number,
+    negative, or too large for its field. JSON types are known of payloads that a variant can hold; one
+    that is too large for it, or that repeats a field, is judged by its values alone.
     """
+    sent = F.try_parse_json(F.col(payload)).try_cast("array<variant>")
     items = F.when(
         F.json_array_length(F.col(payload)).isNotNull(), F.from_json(F.col(payload), INPUT_ARRAY, {"mode": "PERMISSIVE"})
     )
@@ -58,7 +61,15 @@ def parse_payloads(payloads: DataFrame, payload: str = "payload") -> DataFrame:
             checks.append(item[name].isNotNull() & F.coalesce(number < 0, F.lit(True)))
         return reduce(lambda a, b: a | b, checks)
 
-    parsed = with_computed(payloads, {"items": items})
+    def wrong_type(item: Column) -> Column:
+        no_object = item.try_cast("map<string,variant>").isNull() & ~F.is_variant_null(item)
+        fields = [(n, "STRING") for n in INPUT_STRINGS] + [(n, "BIGINT") for n in INPUT_NUMBERS]
+        kinds = [(F.schema_of_variant(F.try_variant_get(item, f"$.{n}", "variant")), kind) for n, kind in fields]
+        checks = [F.coalesce(~found.isin(kind, "VOID"), F.lit(False)) for found, kind in kinds]
+        return reduce(lambda a, b: a | b, checks, no_object)
+
+    wrong = F.coalesce(F.exists(sent, wrong_type), F.lit(False))
+    parsed = with_computed(payloads, {"items": F.when(~wrong, items)})
     return with_computed(parsed, {"items": F.when(~F.exists("items", wrong_number), F.col("items"))})
 
 

@@ -120,6 +120,8 @@ def payload_rows(rows: DataFrame) -> DataFrame:
         .when(F.col("req_no") % 50 == 3, F.lit("[]"))
         .when(F.col("req_no") % 50 == 4, F.concat(F.lit('[{"words_per_minute":50000000000'), number, F.lit("}]")))
         .when(F.col("req_no") % 50 == 5, F.concat(F.lit('[{"words_per_minute":-5'), number, F.lit("}]")))
+        .when(F.col("req_no") % 50 == 6, F.concat(F.lit('[{"uri":'), number, F.lit("}]")))
+        .when(F.col("req_no") % 50 == 7, F.concat(F.lit('[{"uri":"u","words_per_minute":"'), number, F.lit('"}]')))
     )
     bad = rows.select((-1 - F.col("req_no")).alias("payload_id"), broken.alias("payload"))
     return packed.unionByName(bad.where(F.col("payload").isNotNull()))

@@ -234,8 +234,9 @@ WITH raw AS ({_ROWS})
 SELECT -1 - req_no AS payload_id, CASE req_no % 50 WHEN 0 THEN concat('{{not json ', req_no)
  WHEN 1 THEN concat('{{"uri":"', req_no, '"}}') WHEN 2 THEN concat('[{{"words_per_minute":"many ', req_no, '"}}]')
  WHEN 4 THEN concat('[{{"words_per_minute":50000000000', req_no, '}}]') WHEN 5 THEN concat('[{{"words_per_minute":-5', req_no, '}}]')
+ WHEN 6 THEN concat('[{{"uri":', req_no, '}}]') ELSE concat('[{{"uri":"u","words_per_minute":"', req_no, '"}}]')
  END AS payload
-FROM raw WHERE req_no % 50 IN (0, 1, 2, 4, 5)""",
+FROM raw WHERE req_no % 50 IN (0, 1, 2, 4, 5, 6, 7)""",
     "file_manifest": """
 SELECT coalesce(source, 'none') AS source, CAST(sum(strlen(coalesce(text, '')) + 1) AS BIGINT) AS n_bytes
 FROM documents GROUP BY 1""",

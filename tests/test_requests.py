@@ -196,6 +196,15 @@ def test_documents_of_pdf_requests(spark):
     assert len(paths) == len(set(paths)) and "AUDIO/1970/01/01/paper3.mp3" in paths
 
 
+def test_json_types_of_payloads(spark):
+    good = ["[]", "[{}]", "[null]", '[{"uri":null,"words_per_minute":null}]', '[{"uri":"5","words_per_minute":5,"other":[1]}]']
+    bad = ['[{"uri":5}]', '[{"uri":{"a":1}}]', '[{"title":["t"]}]', '[{"text":true}]', '[{"words_per_minute":"200"}]',
+           '[{"uri":"u"},{"uri":1.5}]', "[1]", '["u"]', '[{"words_per_minute":1.5}]', "[[]]"]
+    df = spark.createDataFrame([(p,) for p in good + bad], "payload string")
+    got = {r["payload"]: r["items"] is not None for r in rq.parse_payloads(df).collect()}
+    assert got == {p: p in good for p in good + bad}
+
+
 def test_empty_batches_are_counted(spark):
     payloads = [(1, "[]"), (2, '[{"uri":"u"},{"uri":"v"}]'), (3, "{}"), (4, None), (5, '[{"words_per_minute":5000000000}]')]
     df = spark.createDataFrame(payloads, "id int, payload string")
