@@ -9,8 +9,8 @@ from lectern.functions.text import term_counts, tokens
 from lectern.operators.skew import ROW_BYTES, row_bytes
 from lectern.session import materialize
 
-# Longer terms are never broadcast as frequent ones.
-FREQUENT_TERM_BYTES = 128
+# Terms of so many bytes or more are broadcast as a digest, which is as long.
+DIGEST_BYTES = 32
 
 
 def term_frequency(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -48,26 +48,30 @@ def keywords(
 ) -> DataFrame:
     """The k terms of each document with the highest tf * idf: (key, term, tf, score, rank).
 
-    The vocabulary is written once and measured. If it fits, it is broadcast whole. Otherwise the
-    most frequent terms are: they settle nearly all postings without a shuffle and take the hot keys
-    out of the shuffle join that is left for the rare terms. Either way the rank is cut to k per
-    document before rows move.
+    The texts are read once: term counts are written, and the vocabulary comes from them. It is
+    measured, and if it fits, broadcast whole. Otherwise the most frequent terms are, however long:
+    they settle nearly all postings without a shuffle and take the hot keys out of the shuffle join
+    that is left for the rare terms. Either way the rank is cut to k per document before rows move.
     """
-    vocabulary = materialize(idf(docs, text), "idf")
+    tf = materialize(term_frequency(docs, key, text), "tf")
+    n_docs = docs.agg(F.count(F.lit(1))).scalar()
+    weights = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    vocabulary = materialize(weights.withColumn("idf", F.log(n_docs / F.col("df"))), "idf")
     size = vocabulary.agg(F.sum("df").alias("postings"), F.sum(row_bytes("term")).alias("bytes")).first()
-    tf = term_frequency(docs, key, text)
     if (size["bytes"] or 0) <= cfg.broadcast_bytes:
         weighted = tf.join(F.broadcast(vocabulary), "term")
     else:
         # No more than postings / limit terms reach the limit, so `frequent` fits the budget.
-        rows = cfg.broadcast_bytes // (FREQUENT_TERM_BYTES + ROW_BYTES)
+        rows = max(cfg.broadcast_bytes // (DIGEST_BYTES + ROW_BYTES), 1)
         limit = size["postings"] // rows + 1
-        is_frequent = (F.col("df") >= limit) & (F.octet_length("term") <= FREQUENT_TERM_BYTES)
-        frequent = F.broadcast(vocabulary.where(is_frequent))
-        rare = vocabulary.where(~is_frequent).hint("shuffle_merge")
-        weighted = tf.join(frequent, "term").unionByName(
-            tf.join(frequent.select("term"), "term", "left_anti").join(rare, "term")
-        )
+        short = F.octet_length("term") < DIGEST_BYTES
+        code = F.when(short, F.col("term")).otherwise(F.md5(F.encode("term", "UTF-8"))).alias("_code")
+        frequent = F.broadcast(vocabulary.where(F.col("df") >= limit).select(code, "idf"))
+        rare = vocabulary.where(F.col("df") < limit).select("term", "idf").hint("shuffle_merge")
+        coded = tf.select("*", code)
+        settled = coded.join(frequent, "_code").drop("_code")
+        others = coded.join(frequent.select("_code"), "_code", "left_anti").drop("_code")
+        weighted = settled.unionByName(others.join(rare, "term"))
     scored = weighted.select(key, "term", "tf", F.round(F.col("tf") * F.col("idf"), 6).alias("score"))
     best_first = W.partitionBy(key).orderBy(F.desc("score"), F.asc("term"))
     return (

@@ -83,7 +83,7 @@ def test_keywords_with_and_without_broadcast(spark):
         scored = [(round(n * math.log(len(texts) / df[t]), 6), t, n) for t, n in tf.items()]
         for rank, (score, term, n) in enumerate(sorted(scored, key=lambda s: (-s[0], s[1]))[:4], 1):
             wanted[(doc, rank, score, term, n)] += 1
-    for budget in (10**9, 10 * (keywords.FREQUENT_TERM_BYTES + skew.ROW_BYTES)):
+    for budget in (10**9, 10 * (keywords.DIGEST_BYTES + skew.ROW_BYTES)):
         got = keywords.keywords(docs, 4, cfg=JobConfig(broadcast_bytes=budget))
         assert rows(got.columns, got.collect()) == wanted
 
