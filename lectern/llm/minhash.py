@@ -316,13 +316,14 @@ def _mixed(labels: DataFrame) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, text_key, n_shingles, component_id, kept) of (doc_id, text), a row for each.
+    """(doc_id, text_key, n_shingles, component_id, kept, component) of (doc_id, text), a row for each.
 
     A document's set: the distinct runs of `k` of its words (lower case, A-Z only); with fewer words all
     of them as one; without words empty, and linked with nothing. Documents whose sets have
     100 * intersection >= percent * union are linked, confirmed on full sets; component_id is the
     smallest doc_id of all that can be reached, kept tells the row that has it. A NULL text has no words, NULL ids
-    count as larger than all others (a component of them only has a NULL component_id and its rows are kept).
+    count as larger than all others (a component of them only has a NULL component_id and its rows are kept). Ids need not be
+    unique, so component_id does not identify a component: component does, a number of this run (NULL without words).
 
     Equal sets are one class. Classes that share a band are candidates, but a bucket's pairs are never
     all made: first each class is compared with one leader of its buckets, then with the others not
@@ -363,25 +364,28 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     found = classes.select("node", "set_id", "rep").join(components(links), "node", "left")
     found = found.withColumn("component", F.coalesce("component", "node"))
     least = found.groupBy("component").agg(F.min("rep").alias("component_id"))
-    by_set = found.join(least, "component").select("set_id", "component_id")
+    by_set = found.join(least, "component").select("set_id", "component_id", "component")
     rows = sketches.select("doc_id", "text_key", "set_id", F.col("n").alias("n_shingles")).join(by_set, "set_id", "left")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return rows.select("doc_id", "text_key", "n_shingles", own.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
-    )
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    rows = rows.select("doc_id", "text_key", "n_shingles", own.alias("component_id"), "component")
+    return rows.select("doc_id", "text_key", "n_shingles", "component_id", kept, "component")
 
 
 def deduplicate(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """`documents` with one row of each component of `near_duplicates`; other columns stay as they are.
 
-    Rows without words are all kept. Of rows that are equal in id and text one stays.
+    It is the row with the smallest doc_id (NULL last) and then text key. Rows without words are all
+    kept. Of rows that are equal in id and text one stays.
     """
     found = near_duplicates(documents.select("doc_id", "text"), k, percent)
     found = materialize(found, "near")
-    kept = found.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("n_shingles").alias("_n"), F.col("component_id").alias("_c"))
-    # A component's row: of several with the smallest id, the one with the smallest text key.
-    one = kept.groupBy("_c", F.when(F.col("_n") == 0, F.col("_key"))).agg(F.min("_key").alias("_key"), F.count("*").alias("_times"))
-    one = one.select(F.col("_c").alias("_id"), "_key", "_times")
+    # A component's least row always counts as kept.
+    kept = found.where("kept").groupBy("component", "doc_id", "text_key").agg(F.count("*").alias("_times"))
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_times")
+    kept = kept.select("component", row.alias("row"))
+    one = kept.where("component IS NOT NULL").groupBy("component").agg(F.min("row").alias("row"))
+    one = one.unionByName(kept.where("component IS NULL")).select("row.*").drop("none")
     keyed = documents.withColumn("_own", text_hash(F.col("text")))
     match = keyed["doc_id"].eqNullSafe(one["_id"]) & (keyed["_own"] == one["_key"])
     rows = keyed.join(one, match).drop("_id", "_key")

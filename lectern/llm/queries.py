@@ -46,7 +46,7 @@ def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_minhash(spark: SparkSession, folder: str) -> DataFrame:
-    return minhash.near_duplicates(_documents(spark, folder), k=2, percent=80).drop("text_key")
+    return minhash.near_duplicates(_documents(spark, folder), k=2, percent=80).drop("text_key", "component")
 
 
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:

@@ -262,6 +262,17 @@ def test_deduplicate_keeps_one_row(spark):
     assert sorted(tuple(r) for r in minhash.deduplicate(df).collect()) == [(1, "a b c", 1), (3, None, 3)]
 
 
+def test_deduplicate_tells_components_of_one_id_apart(spark):
+    given = [
+        (None, "an alpha text without id"), (None, "some beta words without id"), (None, "some beta words without id"),
+        (1, "gamma text under one id"), (1, "other delta words with it"), (2, "other delta words with it"),
+        (None, "gamma text under one id"), (None, None), (4, ""),
+    ]
+    kept = minhash.deduplicate(spark.createDataFrame(given, SCHEMA)).collect()
+    expected = [given[i] for i in (0, 1, 3, 4, 7, 8)]
+    assert Counter(map(tuple, kept)) == Counter(expected)
+
+
 def test_packing(documents, rows):
     pieces = packing.pack(documents).collect()
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
