@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.common import rows_of
+from lectern.session import materialize
 
 WORDS = re.compile(r"[^\W\d_]+").findall
 
@@ -55,16 +56,21 @@ class _Scores(dict):
 
 
 def _bounded_sample(labels: DataFrame, rows_per_class: int) -> tuple[DataFrame, dict[bool, float]]:
-    """At most `rows_per_class` labelled ids of either class by hash order, and how many rows each stands for."""
+    """At most `rows_per_class` labelled ids of either class by hash order, and how many rows each stands for.
+
+    Labels that are a sample themselves say in `weight` how many rows each of them stands for.
+    """
     toxic = F.coalesce(F.col("grade") > 0, F.lit(False))
-    known = labels.where("doc_id IS NOT NULL AND grade IS NOT NULL").select("doc_id", "grade")
-    known = known.groupBy("doc_id").agg(F.max("grade").alias("grade"))
-    totals = {r["t"]: r["n"] for r in known.groupBy(toxic.alias("t")).agg(F.count("*").alias("n")).collect()}
+    weight = F.col("weight") if "weight" in labels.columns else F.lit(1.0)
+    known = labels.where("doc_id IS NOT NULL AND grade IS NOT NULL").select("doc_id", "grade", weight.alias("weight"))
+    known = known.groupBy("doc_id").agg(F.max("grade").alias("grade"), F.max("weight").alias("weight"))
+    sums = known.groupBy(toxic.alias("t")).agg(F.count("*").alias("n"), F.sum("weight").alias("all")).collect()
+    weights = {r["t"]: r["all"] / min(r["n"], rows_per_class) for r in sums}
     parts = [
         known.where(toxic if t else ~toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows_per_class)
         for t in (True, False)
     ]
-    return parts[0].unionByName(parts[1]), {t: totals.get(t, 0) / rows_per_class for t in (True, False)}
+    return parts[0].unionByName(parts[1]).select("doc_id", "grade"), weights
 
 
 def _count_features(batches):
@@ -168,32 +174,42 @@ def fit(
     steps: int = 300,
     ridge: float = 1e-4,
 ) -> OrdinalModel:
-    """Fits on labelled documents: `labels` (doc_id, grade 0 .. n_grades - 1).
+    """Fits on labelled documents: `labels` (doc_id, grade 0 .. n_grades - 1[, weight: rows it stands for]).
 
     The sample is bounded: at most `rows_per_class` rows with grade 0 and as many above, chosen by a
-    hash of the id and weighted back to the share of their class. Several grades for an id: the
+    hash of the id and weighted back to the share of their class. The model is the mean of
+    one on all of the sample and two with the features of one half and the weights of the other. Several grades for an id: the
     highest counts. NULL ids, NULL grades and ids without a document do not count. Without rows of
     both classes every document gets grade 0.
     """
     sample, weights = _bounded_sample(labels, rows_per_class)
     texts = documents.select(F.col("doc_id"), F.col("text")).join(F.broadcast(sample), "doc_id")
-    chosen = choose_features(texts, n_features, min_documents)
-    if not chosen:
+    texts = materialize(texts.withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2))), "labelled")
+    halves = [texts.where(F.col("half") == h) for h in (0, 1)]
+    models = []
+    # What is only chance in the rows that choose the features looks certain there; rows that did not choose weigh it low.
+    for share, choosing, fitting in ((0.5, texts, texts), (0.25, *halves), (0.25, *halves[::-1])):
+        names = [f for f, _ in choose_features(choosing, n_features, min_documents)]
+        rows = fitting.mapInArrow(_rates(names), "grade int, at array<int>, rate array<double>").collect() if names else []
+        if len({r["grade"] > 0 for r in rows}) == 2:
+            models.append((share, names, *_fit(rows, weights, len(names), n_grades, steps, ridge)))
+    if not models:
         return OrdinalModel({}, tuple(30.0 + k for k in range(n_grades - 1)))
-    names = [f for f, _ in chosen]
-    rows = texts.mapInArrow(_rates(names), "grade int, at array<int>, rate array<double>").collect()
-    beta, cuts = _fit(rows, weights, len(names), n_grades, steps, ridge)
-    return OrdinalModel({f: float(b) for f, b in zip(names, beta, strict=True)}, tuple(map(float, cuts)))
+    whole, mean, cuts = sum(m[0] for m in models), Counter(), np.zeros(n_grades - 1)
+    for share, names, beta, own in models:
+        mean.update({f: float(b) * share / whole for f, b in zip(names, beta, strict=True)})
+        cuts += np.array(own) * share / whole
+    return OrdinalModel(dict(mean), tuple(map(float, cuts)))
 
 
 def grade_labels(documents: DataFrame, labels: DataFrame, rows_per_class: int = 4_000) -> DataFrame:
-    """(doc_id, grade) from labels that only say toxic or not.
+    """(doc_id, grade, weight) from labels that only say toxic or not; weight is how many labels a row stands for.
 
     Grade 0: not toxic. A toxic document has grade 1, or 2 when its rate of words that occur in toxic
     documents of the (bounded) sample mostly is above the median of the toxic documents.
     """
     plain = labels.select("doc_id", F.col("toxic").cast("int").alias("grade"))
-    sample, _ = _bounded_sample(plain, rows_per_class)
+    sample, weights = _bounded_sample(plain, rows_per_class)
     texts = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     marked = {f for f, odds in choose_features(texts, 2_000, 5) if odds > 3 and f[0] != "~"}
 
@@ -211,7 +227,10 @@ def grade_labels(documents: DataFrame, labels: DataFrame, rows_per_class: int =
     middle = toxic.agg(F.percentile_approx("rate", 0.5).alias("m")).first()["m"]
     severe = toxic.where(F.col("rate") > F.lit(middle)).select("doc_id").distinct().withColumn("severe", F.lit(1))
     graded = sample.join(F.broadcast(severe), "doc_id", "left")
-    return graded.select("doc_id", F.when(F.col("severe") == 1, 2).otherwise(F.col("grade")).alias("grade"))
+    weight = F.when(F.col("grade") > 0, weights.get(True, 0.0)).otherwise(weights.get(False, 0.0))
+    return graded.select(
+        "doc_id", F.when(F.col("severe") == 1, 2).otherwise(F.col("grade")).alias("grade"), weight.alias("weight")
+    )
 
 
 def score(documents: DataFrame, model: OrdinalModel, threshold: float = 0.5) -> DataFrame:

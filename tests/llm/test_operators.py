@@ -388,6 +388,19 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(a < b for a, b in zip(model.cuts, model.cuts[1:], strict=False))
 
 
+@pytest.mark.parametrize("rows_per_class", [50, 100, 1000])
+def test_prior_does_not_depend_on_the_sample(spark, rows_per_class):
+    """The mean probability is the share of toxic labels, whether classes are cut or not."""
+    toxic = [(i, f"{'bad' if i % 10 < 6 else 'good'} words number {chr(97 + i % 7) * 3}") for i in range(80)]
+    clean = [(i, f"{'bad' if i % 10 < 2 else 'good'} words number {chr(97 + i % 7) * 3}") for i in range(80, 400)]
+    documents = spark.createDataFrame(toxic + clean, SCHEMA)
+    labels = documents.select("doc_id", (F.col("doc_id") < 80).cast("int").alias("toxic"))
+    model = toxicity.fit(documents, toxicity.grade_labels(documents, labels, rows_per_class), rows_per_class=rows_per_class)
+    assert model.weights
+    mean = toxicity.score(documents, model).agg(F.avg("p_toxic")).first()[0]
+    assert abs(mean - 80 / 400) < 0.04
+
+
 def test_pipeline(spark, small):
     docs = table(spark, small, "documents")
     for _, stage in corpus_pipeline.STAGES[:-1]:
