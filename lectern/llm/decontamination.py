@@ -2,7 +2,6 @@
 
 import re
 from collections import defaultdict
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,51 +22,76 @@ UNITS = frozenset(
     "kilometer kilometers kilometre kilometres mph kmh watt watts volt volts".split()
 )
 
-LITERAL, NUMBER, NAME, UNIT = 0, 1, 2, 3
+LITERAL, NUMBER, NAME, UNIT, MARK = range(5)
 
+# Tokens a task remembers; beyond, it starts afresh. No result depends on it.
+REMEMBERED = 300_000
+MIX = np.uint64(0x9E3779B97F4A7C15)
+FILTER = np.uint64((1 << 20) - 1)
+TEXTS = 64  # Gone through at a time.
 
-@lru_cache(maxsize=300_000)
-def _token(token: str, opens: bool) -> tuple[int, int, int]:
-    """(code in the template, kind, code of the slot's value)."""
-    low = token.lower()
-    value = xxhash.xxh64_intdigest(low)
-    if token[0].isdigit():
-        return NUMBER, NUMBER, value
-    if low in UNITS:
-        return UNIT, UNIT, value
-    if len(token) > 1 and token[0].isupper() and not opens:
-        return NAME, NAME, value
-    return value | 4, LITERAL, 0
 
+class _Tokens(dict):
+    """Per token the hash of its lower case, and in the last three bits its kind where nothing opens before it."""
 
-def canonical(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Template of a text: per token its code (a placeholder's or the word's), its kind, its value.
+    def __missing__(self, token: str) -> int:
+        low = token.lower()
+        if token in ".!?:\n":
+            kind = MARK
+        elif token[0].isdigit():
+            kind = NUMBER
+        elif low in UNITS:
+            kind = UNIT
+        else:
+            kind = NAME if len(token) > 1 and token[0].isupper() else LITERAL
+        self[token] = value = xxhash.xxh64_intdigest(low) & ~7 | kind
+        return value
+
+
+class Canonical:
+    """Templates of texts, one after the other: per token its kind, value, code, and how many tokens are left in its text.
 
     Numbers, units and names become placeholders. A name is a capitalised word of two letters or more
     that does not open the text, a line or a sentence. Case and punctuation do not count otherwise.
+    `plain` has a name's code as a word: what a window's first token counts as whatever stands before it.
     """
-    out, opens = [], True
-    for token in TOKENS(text):
-        if token in ".!?:\n":
-            opens = True
-        else:
-            out.append(_token(token, opens))
-            opens = False
-    if not out:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, np.uint64)
-    codes, kinds, values = zip(*out, strict=True)
-    return np.array(codes, np.uint64), np.array(kinds, np.int8), np.array(values, np.uint64)
 
-
-def window_hashes(codes: np.ndarray, width: int) -> np.ndarray:
-    count = len(codes) - width + 1
-    if count <= 0:
-        return np.zeros(0, np.uint64)
-    out = np.zeros(count, np.uint64)
-    for j in range(width):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + codes[j : j + count]
-        out ^= out >> np.uint64(29)
-    return out
+    def __init__(self, texts: list[str], known: dict):
+        if len(known) > REMEMBERED:
+            known.clear()
+        found = [TOKENS(t or "") for t in texts]
+        packed = np.fromiter((known[t] for tokens in found for t in tokens), np.uint64, sum(map(len, found)))
+        text = np.repeat(np.arange(len(found)), [len(tokens) for tokens in found])
+        kinds = (packed & np.uint64(7)).astype(np.int8)
+        opens = np.ones(len(kinds), bool)
+        opens[1:] = (kinds[:-1] == MARK) | (text[1:] != text[:-1])
+        kinds[opens & (kinds == NAME)] = LITERAL
+        words = kinds != MARK
+        self.text, self.kinds, self.values = text[words], kinds[words], packed[words] & ~np.uint64(7)
+        word = self.values | np.uint64(4)
+        self.codes = np.where(self.kinds == LITERAL, word, self.kinds.astype(np.uint64))
+        self.plain = np.where(self.kinds == NAME, word, self.codes)
+        self.sizes = np.bincount(self.text, minlength=len(found))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.left = (self.starts + self.sizes)[self.text] - np.arange(len(self.text))
+
+    def windows(self, widths: list[int]):
+        """(width, family, starts, hashes) of all windows. Families: exact ones, templates, and templates that
+        begin with a name, its word in place of it."""
+        for family, first, codes in (("exact", self.values, self.values), ("template", self.codes, self.codes), ("template", self.plain, self.codes)):
+            out = np.zeros(len(codes), np.uint64)
+            for j in range(max(widths, default=0)):
+                size = len(codes) - j
+                if size <= 0:
+                    break
+                out = out[:size] * MIX + (first if j == 0 else codes[j:])
+                out ^= out >> np.uint64(29)
+                if j + 1 in widths:
+                    whole = self.left[:size] > j
+                    if first is self.plain:
+                        whole &= self.kinds[:size] == NAME
+                    at = np.flatnonzero(whole)
+                    yield j + 1, family, at, out[at]
 
 
 def consistent(kinds: np.ndarray, ours: np.ndarray, theirs: np.ndarray) -> bool:
@@ -80,40 +104,63 @@ def consistent(kinds: np.ndarray, ours: np.ndarray, theirs: np.ndarray) -> bool:
 
 
 class Templates:
-    """Windows of benchmark items by hash; small enough to be sent to every task."""
+    """Windows of benchmark items by hash, exact and as templates; small enough to be sent to every task."""
 
     def __init__(self, items: list[tuple[int, str]], width: int, least_literals: int):
-        self.width, self.items, self.windows = width, {}, defaultdict(lambda: defaultdict(list))
-        for item_id, text in items:
-            codes, kinds, values = canonical(text)
-            own = min(width, len(codes))
-            if not own or own < least_literals:
+        self.ids = [item_id for item_id, _ in items]
+        self.items = Canonical([text for _, text in items], _Tokens())
+        own = np.minimum(width, self.items.sizes)
+        self.widths = sorted(set(own[own > 0].tolist()))
+        literal = np.concatenate([[0], np.cumsum(self.items.kinds == LITERAL)])
+        found = defaultdict(list)
+        for n, family, at, hashes in self.items.windows(self.widths):
+            asked = own[self.items.text[at]] == n
+            if family == "template":
+                # A name that counts as a word is one more.
+                named = (self.items.kinds[at] == NAME) if (n, family) in found else 0
+                asked &= literal[at + n] - literal[at] + named >= least_literals
+            found[n, family].append((hashes[asked], at[asked]))
+        self.tables, self.filters = {}, {}
+        for key, parts in found.items():
+            hashes, at = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+            if len(hashes):
+                order = np.argsort(hashes, kind="stable")
+                self.tables[key] = hashes[order], at[order]
+                self.filters[key] = np.zeros(int(FILTER) + 1, bool)
+                self.filters[key][hashes & FILTER] = True
+
+    def matches(self, texts: list[str], known: dict) -> dict[tuple[int, int], set]:
+        """Per (text, item) its windows (text start, item start, width, whether all slots are the same), if consistent."""
+        given, items, out = Canonical(texts, known), self.items, defaultdict(set)
+        for n, family, at, hashes in given.windows(self.widths):
+            if (n, family) not in self.tables:
                 continue
-            key = len(self.items)
-            self.items[key] = (item_id, codes, kinds, values)
-            for start, code in enumerate(window_hashes(codes, own).tolist()):
-                if (kinds[start : start + own] == LITERAL).sum() >= least_literals:
-                    self.windows[own][code].append((key, start))
-        self.windows = {own: dict(found) for own, found in self.windows.items()}
-        self.filters = {}
-        for own, found in self.windows.items():
-            bits = np.zeros(1 << 20, bool)
-            bits[np.fromiter(found, np.uint64, len(found)) & np.uint64((1 << 20) - 1)] = True
-            self.filters[own] = bits
-
-    def matches(self, text: str):
-        """(item key, item start, text start, width) of every window whose slots are consistent."""
-        codes, kinds, values = canonical(text)
-        for own, found in self.windows.items():
-            hashes = window_hashes(codes, own)
-            for start in np.flatnonzero(self.filters[own][hashes & np.uint64((1 << 20) - 1)]).tolist():
-                for key, at in found.get(int(hashes[start]), ()):
-                    _, item_codes, item_kinds, item_values = self.items[key]
-                    mine, other = slice(start, start + own), slice(at, at + own)
-                    if np.array_equal(codes[mine], item_codes[other]) and consistent(
-                        item_kinds[other], item_values[other], values[mine]
-                    ):
-                        yield key, at, start, own
+            maybe = self.filters[n, family][hashes & FILTER]
+            at, hashes = at[maybe], hashes[maybe]
+            table, places = self.tables[n, family]
+            low, high = (np.searchsorted(table, hashes, side) for side in ("left", "right"))
+            for start, a, b in zip(at.tolist(), low.tolist(), high.tolist(), strict=True):
+                mine = slice(start, start + n)
+                for place in places[a:b].tolist():
+                    other = slice(place, place + n)
+                    same = np.array_equal(given.values[mine], items.values[other])
+                    if not same and (family == "exact" or not self._alike(given, mine, other)):
+                        continue
+                    text, item = int(given.text[start]), int(items.text[place])
+                    out[text, item].add((start - int(given.starts[text]), place - int(items.starts[item]), n, same))
+        return out
+
+    def _alike(self, given: Canonical, mine: slice, other: slice) -> bool:
+        items, first, place = self.items, mine.start, other.start
+        kinds = items.kinds[other].copy()
+        if given.codes[first] != items.codes[place]:
+            if given.plain[first] != items.plain[place]:
+                return False
+            kinds[0] = NAME  # The same word, a name in one of them.
+        rest = slice(first + 1, mine.stop), slice(place + 1, other.stop)
+        return np.array_equal(given.codes[rest[0]], items.codes[rest[1]]) and consistent(
+            kinds, items.values[other], given.values[mine]
+        )
 
 
 def _find(templates: Templates):
@@ -121,18 +168,15 @@ def _find(templates: Templates):
     kinds = [pa.int64()] * 5 + [pa.bool_()]
 
     def run(batches):
+        known = _Tokens()
         for batch in batches:
             out = []
-            for doc_id, text in rows_of([batch], "doc_id", "text"):
-                spans = {}
-                values = None
-                for key, at, start, own in templates.matches(text or ""):
-                    if values is None:
-                        values = canonical(text)[2]
-                    same = np.array_equal(values[start : start + own], templates.items[key][3][at : at + own])
-                    n, low, high, exact = spans.get(key, (0, start, 0, True))
-                    spans[key] = (n + 1, min(low, start), max(high, start + own), exact and same)
-                out += [(doc_id, templates.items[k][0], *span) for k, span in spans.items()]
+            for at in range(0, batch.num_rows, TEXTS):
+                ids, texts = zip(*rows_of([batch.slice(at, TEXTS)], "doc_id", "text"), strict=True)
+                for (text, item), windows in templates.matches(texts, known).items():
+                    starts, _, widths, same = zip(*windows, strict=True)
+                    end = max(map(sum, zip(starts, widths, strict=True)))
+                    out.append((ids[text], templates.ids[item], len(windows), min(starts), end, all(same)))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names)
 
     return run
@@ -152,10 +196,12 @@ def leaks(
     """(doc_id, item_id, n_windows, first_word, end_word, exact): which documents hold benchmark items.
 
     Takes (doc_id, text) and (item_id, text). A document holds an item if a window of `width` tokens
-    (the whole item, if shorter) has the same template and its slots are consistent: equal numbers,
+    (the whole item, if shorter) has the same words and numbers, case and punctuation aside. It also
+    does if such a window has the same template and its slots are consistent: equal numbers,
     names or units stand for equal ones, in both directions. So a question whose numbers or names were
     changed is found, one with the roles mixed up is not. exact: all slots are the same, too.
-    Windows with fewer than `least_literals` plain words are not looked for. NULL and empty texts hold
+    Templates with fewer than `least_literals` plain words are only looked for as they are. A window's
+    first word is compared as a word, and as a name where both texts have one there. NULL and empty texts hold
     nothing; repeated rows give repeated rows. A benchmark beyond `block_bytes` is gone through in
     blocks of that size, one scan each; words are counted from 0, ends are exclusive.
     """
@@ -180,9 +226,12 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, **options) -> Data
         )
 
         def clean(batches, templates=templates):
+            known = _Tokens()
             for batch in batches:
-                mask = [next(templates.matches(t or ""), None) is None for t in batch.column(texts).to_pylist()]
-                yield batch.filter(pa.array(mask, pa.bool_()))
+                for at in range(0, batch.num_rows, TEXTS):
+                    some = batch.slice(at, TEXTS)
+                    held = {text for text, _ in templates.matches(some.column(texts).to_pylist(), known)}
+                    yield some.filter(pa.array([i not in held for i in range(some.num_rows)], pa.bool_()))
 
         kept = kept.mapInArrow(clean, schema)
     return kept

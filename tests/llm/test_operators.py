@@ -388,6 +388,34 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(a < b for a, b in zip(model.cuts, model.cuts[1:], strict=False))
 
 
+def test_copies_are_found_whatever_they_are_made_of(spark):
+    items = {
+        1: "What is the capital city of France",
+        2: "Yes or no",
+        3: "Boil 3 kg, 4 kg, 5 kg, 6 kg and 7 kg for 8 minutes, 9 minutes and 10 minutes",
+        4: "Anna gave Ben and Clara and Dora and Emil one of the apples that Fritz had picked",
+        5: "",
+    }
+    asked = {
+        11: ("we asked What is the capital city of France and", {1}),
+        12: ("we asked What is the capital city of Spain and", {1}),
+        13: ("we asked Where is the capital city of France and", set()),
+        14: ("they said YES OR NO to it", {2}),
+        15: (f"so {items[3]} at least", {3}),
+        16: (items[4].upper(), {4}),
+        17: (items[4].lower(), {4}),
+        18: ("yes and no", set()),
+        19: (None, set()),
+    }
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in asked.items()], SCHEMA)
+    benchmark = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    found = decontamination.leaks(docs, benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(i, k) for i, (_, own) in asked.items() for k in own}
+    assert {r.doc_id for r in found if not r.exact} == {12}
+    kept = {r.doc_id for r in decontamination.decontaminate(docs, benchmark).collect()}
+    assert kept == {i for i, (_, own) in asked.items() if not own}
+
+
 @pytest.mark.parametrize("rows_per_class", [50, 100, 1000])
 def test_prior_does_not_depend_on_the_sample(spark, rows_per_class):
     """The mean probability is the share of toxic labels, whether classes are cut or not."""
