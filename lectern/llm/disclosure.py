@@ -26,9 +26,10 @@ PATTERNS = {
 }
 NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 
-# Terms: runs of letters; the context of a value is so many code points to either side.
+# Terms: runs of letters.
 TERM = r"\p{L}{3,}"
-CONTEXT = 60
+# So many disclosing terms at most are sent to every task; more are joined by shuffle, skewed partitions cut by Spark.
+SENT = 100_000
 BLOCK = 256
 
 
@@ -118,75 +119,105 @@ def written(spans: Column) -> Column:
     )
 
 
+def _apart(spans: Column) -> Column:
+    """`spans` by start without those that begin inside an earlier one, the longer of two with one start."""
+    kind = "array<struct<start: bigint, end: bigint, kind: int>>"
+    return F.aggregate(
+        F.array_sort(
+            F.transform(spans, lambda s: F.struct(s["start"], (-s["end"]).alias("back"), s["kind"].alias("kind")))
+        ),
+        F.array().cast(kind),
+        lambda acc, s: F.when(
+            (F.size(acc) == 0) | (F.get(acc["end"], F.size(acc) - 1) <= s["start"]),
+            F.concat(acc, F.array(F.struct(s["start"].alias("start"), (-s["back"]).alias("end"), s["kind"].alias("kind")))),
+        ).otherwise(acc),
+    )
+
+
 def find_patterns(documents: DataFrame) -> DataFrame:
-    """(doc_id, text_key, spans, contexts) of (doc_id, text): values by pattern, and the terms around each.
+    """(doc_id, text_key, spans, values, terms) of (doc_id, text): data by pattern, the distinct values of it
+    whatever their case, and the distinct terms outside it.
 
     The text itself is not carried along.
     """
     documents = documents.withColumn("text", F.coalesce("text", F.lit("")))
     found = with_computed(documents, {"spans": base_spans(F.col("text"))})
 
-    def context(s: Column) -> Column:
-        before = F.greatest(s["start"] - CONTEXT, F.lit(0))
-        left = F.substring("text", (before + 1).cast("int"), (s["start"] - before).cast("int"))
-        right = F.substring("text", (s["end"] + 1).cast("int"), F.lit(CONTEXT))
-        words = F.regexp_extract_all(F.lower(F.concat_ws(" | ", left, right)), F.lit(TERM), 0)
-        return F.struct(F.xxhash64(s["match"]).alias("value"), F.array_distinct(words).alias("terms"))
+    def between(s: Column) -> Column:
+        before = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(s["end"], i - 1))
+        parts = F.transform(
+            s, lambda x, i: F.substring("text", (before(i) + 1).cast("int"), F.greatest(x["start"] - before(i), F.lit(0)).cast("int"))
+        )
+        last = F.substring("text", (F.get(s["end"], F.size(s) - 1) + 1).cast("int"), F.char_length("text"))
+        return F.concat(F.array_join(parts, " | "), F.lit(" | "), last)
 
+    outside = F.when(F.size("spans") == 0, F.col("text")).otherwise(let(_apart(F.col("spans")), between))
     return found.select(
-        "doc_id", text_hash(F.col("text")).alias("text_key"), "spans", F.transform("spans", context).alias("contexts")
+        "doc_id",
+        text_hash(F.col("text")).alias("text_key"),
+        "spans",
+        F.array_distinct(F.transform("spans", lambda s: F.xxhash64(F.lower(s["match"])))).alias("values"),
+        F.array_distinct(F.regexp_extract_all(F.lower(outside), F.lit(TERM), 0)).alias("terms"),
     )
 
 
-def disclosing_terms(
-    documents: DataFrame, found: DataFrame, threshold: float = 0.9, min_contexts: int = 3
-) -> DataFrame:
-    """(value, term) pairs where the term gives the value away.
+def disclosing_terms(found: DataFrame, threshold: float = 0.9, min_contexts: int = 3) -> DataFrame:
+    """(value, term) pairs of `find_patterns` where the term gives the value away.
+
+    With N documents, p(v) = documents with v / N, p(t) = documents with t outside all values / N and
+    p(v, t) = documents with both / N, the term discloses v if PMI(v; t) >= threshold * IC(v), where
+    IC(v) = -log p(v): with threshold 1 the term occurs beside v only. At least `min_contexts` different
+    texts must have both, so that copies of one text do not make a pattern. All documents count.
 
-    With N terms in the corpus, p(v) = windows of v / N, p(t) = occurrences of t / N and p(v, t) =
-    windows of v with t / N, the term discloses v if PMI(v; t) >= threshold * IC(v), where IC(v) =
-    -log p(v): with threshold 1 the term occurs beside v only. At least `min_contexts` different
-    windows must have both, so that copies of one text do not make a pattern. All documents count.
+    As both occur together no more often than the value does, a term in more than
+    n_value ** threshold * N ** (1 - threshold) documents cannot disclose it: such pairs are not made.
     """
-    windows = found.select(F.explode("contexts").alias("c")).select("c.value", "c.terms")
-    by_value = windows.groupBy("value").agg(F.count("*").alias("n_value"))
-    seen = windows.groupBy("value", F.xxhash64("terms").alias("window")).agg(
-        F.count("*").alias("n"), F.first("terms").alias("terms")
+    held = found.select("text_key", F.explode("values").alias("value")).groupBy("text_key", "value")
+    held = materialize(held.agg(F.count("*").alias("n")), "held")
+    values = held.groupBy("value").agg(F.sum("n").alias("n_value"), F.count("*").alias("texts"))
+    total = found.count()
+    most = F.pow(F.col("n_value"), threshold) * float(total) ** (1 - threshold) * (1 + 1e-9)
+    values = values.where(F.col("texts") >= min_contexts).select("value", "n_value", most.alias("most"))
+    held = materialize(held.join(values, "value"), "holders")
+    corpus = found.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    top = held.agg(F.max("most")).first()[0] or 0.0
+    corpus = corpus.where((F.col("n_term") >= min_contexts) & (F.col("n_term") <= top))
+    texts = found.select("text_key", "terms").join(held.select("text_key").distinct(), "text_key", "left_semi")
+    # Copies share a key; one of them is enough.
+    texts = texts.groupBy("text_key").agg(F.first("terms").alias("terms"))
+    beside = texts.select("text_key", F.explode("terms").alias("term")).join(corpus, "term").join(held, "text_key")
+    pairs = beside.where("n_term <= most").groupBy("value", "term").agg(
+        F.sum("n").alias("n_both"),
+        F.count("*").alias("n_texts"),
+        F.first("n_value").alias("n_value"),
+        F.first("n_term").alias("n_term"),
     )
-    pairs = seen.select("value", "n", F.explode("terms").alias("term")).groupBy("value", "term")
-    pairs = pairs.agg(F.sum("n").alias("n_both"), F.count("*").alias("n_windows"))
-    pairs = materialize(pairs.where(F.col("n_windows") >= min_contexts).join(by_value, "value"), "pairs")
-    words = documents.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TERM), 0)).alias("term"))
-    corpus = materialize(words.groupBy("term").agg(F.count("*").alias("n_term")), "terms")
-    total = F.broadcast(corpus.agg(F.sum("n_term").alias("total")))
-    scored = pairs.join(corpus, "term").join(total)
-    n = F.col("total").cast("double")
-    information = -F.log(F.least(F.col("n_value") / n, F.lit(1.0)))
-    mutual = F.log(F.col("n_both") * n / (F.col("n_value") * F.col("n_term").cast("double")))
-    return scored.where(mutual >= threshold * information).select("value", "term")
+    information = -F.log(F.least(F.col("n_value") / float(total or 1), F.lit(1.0)))
+    mutual = F.log(F.col("n_both") * float(total) / (F.col("n_value") * F.col("n_term").cast("double")))
+    # A hair of slack for the rounding of logarithms.
+    enough = (F.col("n_texts") >= min_contexts) & (mutual >= threshold * information - 1e-9)
+    return pairs.where(enough).select("value", "term")
 
 
 def find_spans(documents: DataFrame, threshold: float = 0.9, min_contexts: int = 3) -> DataFrame:
     """(doc_id, text_key, spans) of (doc_id, text): patterns and disclosing terms, by start and then kind.
 
-    A term is a span of kind 4 wherever it occurs in a document that holds the value it gives away,
-    outside the spans by pattern. NULL texts count as empty and have no spans. Equal rows have equal
-    spans; every row is kept.
+    A term is a span of kind 4 wherever it occurs in any document, whether or not that holds the value it
+    gives away, outside the spans by pattern. NULL texts count as empty and have no spans. Equal rows have
+    equal spans; every row is kept.
     """
     found = materialize(find_patterns(documents), "patterns")
-    pairs = materialize(disclosing_terms(documents, found, threshold, min_contexts), "disclosing")
-    values = pairs.select("value").distinct()
-    held = found.select("text_key", F.explode(F.array_distinct(F.transform("contexts", lambda c: c["value"]))).alias("value"))
-    held = held.distinct().join(values, "value", "left_semi")
-    holders = materialize(held, "holders")
+    wanted = materialize(disclosing_terms(found, threshold, min_contexts).select("term").distinct(), "disclosing")
+    wanted = F.broadcast(wanted) if wanted.count() <= SENT else wanted
+    holders = found.select("text_key", F.explode("terms").alias("term")).join(wanted, "term", "left_semi")
+    holders = materialize(holders.select("text_key").distinct(), "holders")
     documents = documents.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("text_key", text_hash(F.col("text")))
-    texts = documents.select("text_key", "text").join(holders.select("text_key").distinct(), "text_key", "left_semi")
+    texts = documents.select("text_key", "text").join(holders, "text_key", "left_semi")
     # Copies share a key; one of them is enough.
     texts = texts.groupBy("text_key").agg(F.first("text").alias("text"))
     terms = with_computed(texts, {"terms": matches(F.col("text"), TERM)}).select("text_key", F.explode("terms").alias("t"))
     terms = terms.select("text_key", F.lower("t.match").alias("term"), "t.start", "t.end")
-    wanted = holders.join(pairs, "value").select("text_key", "term").distinct()
-    hits = terms.join(wanted, ["text_key", "term"], "left_semi").groupBy("text_key").agg(
+    hits = terms.join(wanted, "term", "left_semi").groupBy("text_key").agg(
         F.collect_list(
             F.struct("start", F.lit(len(KINDS)).alias("kind"), "end", F.lit("").alias("match"))
         ).alias("more")
@@ -212,16 +243,6 @@ def sanitise(documents: DataFrame, threshold: float = 0.9, min_contexts: int = 3
     spans = spans.where(F.size("spans") > 0).groupBy("text_key").agg(F.first("spans").alias("_spans"))
     keyed = documents.withColumn("_key", text_hash(F.coalesce("text", F.lit(""))))
     joined = keyed.join(spans.withColumnRenamed("text_key", "_key"), "_key", "left")
-    apart = F.aggregate(
-        F.array_sort(
-            F.transform("_spans", lambda s: F.struct(s["start"], (-s["end"]).alias("back"), s["kind"].alias("kind")))
-        ),
-        F.array().cast("array<struct<start: bigint, end: bigint, kind: int>>"),
-        lambda acc, s: F.when(
-            (F.size(acc) == 0) | (F.get(acc["end"], F.size(acc) - 1) <= s["start"]),
-            F.concat(acc, F.array(F.struct(s["start"].alias("start"), (-s["back"]).alias("end"), s["kind"].alias("kind")))),
-        ).otherwise(acc),
-    )
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS], F.lit("[TERM]"))
 
     def rewritten(s: Column) -> Column:
@@ -239,7 +260,7 @@ def sanitise(documents: DataFrame, threshold: float = 0.9, min_contexts: int = 3
         rest = F.substring("text", (F.get(s["end"], F.size(s) - 1) + 1).cast("int"), F.char_length("text"))
         return F.concat(F.array_join(parts, ""), rest)
 
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(let(apart, rewritten))
+    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(let(_apart(F.col("_spans")), rewritten))
     return joined.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in columns])
 
 

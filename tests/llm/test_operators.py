@@ -231,6 +231,17 @@ def test_terms_that_disclose(spark):
     assert masked[0].text == "apples bridges [TERM] writes from [EMAIL] about apples bridges" and masked[10].text == texts[10]
 
 
+def test_terms_disclose_in_all_documents(spark):
+    """Also far from the value, in whatever case it is spelt, and where it is not."""
+    filler = "many people write from home about apples " * 5
+    texts = [f"Zaphod says {c} {filler} {a}" for c in "xy" for a in ("Zz@Planet.example.com", "zz@planet.example.COM")]
+    texts += ["so Zaphod left"] + [f"{filler} says {i}" for i in range(80)]
+    df = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    masked = by_id(disclosure.sanitise(df))
+    assert masked[0].text == f"[TERM] says x {filler} [EMAIL]" and masked[4].text == "so [TERM] left"
+    assert all(masked[i].text == texts[i] for i in range(5, 85))
+
+
 def test_near_duplicates(documents, rows):
     found = by_id(minhash.near_duplicates(documents, 2).where("doc_id IS NOT NULL"))
     sets = {}
