@@ -284,6 +284,34 @@ def test_deduplicate_tells_components_of_one_id_apart(spark):
     assert Counter(map(tuple, kept)) == Counter(expected)
 
 
+def test_near_duplicate_stage_by_brute_force(spark, documents, small):
+    """One row of each component of five-word sets, with repeated and missing ids."""
+    more = [(None, "no id and so many other words here"), (None, "no id but a text of its own"), (3, "the id of another text")]
+    df = documents.unionByName(spark.createDataFrame(more, SCHEMA))
+    given = sorted(set(map(tuple, df.collect())), key=lambda r: (r[0] is None, r[0] or 0, sha((r[1] or "").encode())))
+    sets = []
+    for _, text in given:
+        w = (text or "").encode().lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    group = list(range(len(given)))
+    for a in range(len(given)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 80 * len(sets[a] | sets[b]):
+                old, new = group[a], group[b]
+                group = [new if g == old else g for g in group]
+    names = {}
+    kept = Counter((r.doc_id, r.text) for r in corpus_pipeline.without_near_duplicates(spark, df, small).collect())
+    assert max(kept.values()) == 1
+    for n, row in enumerate(given):
+        names.setdefault(group[n], []).append(row)
+    assert sum(kept.values()) == len(names)
+    for rows_ in names.values():
+        own = [r for r in rows_ if r in kept]
+        least = rows_[0][0]
+        assert len(own) == 1 and own[0][0] == least
+
+
 def test_packing(documents, rows):
     pieces = packing.pack(documents).collect()
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
