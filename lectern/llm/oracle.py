@@ -3,7 +3,51 @@
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+
+def _vector_codes(rounds: int) -> str:
+    """Plain k-means over every part and entry."""
+    steps = ["""kept AS (
+            SELECT vec_id, label, len(embedding) // 16 AS w,
+                list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+        ), part AS (
+            SELECT vec_id, label, p, v[p * w + 1:p * w + w] AS x FROM kept, range(16) AS t(p)
+        ), book0 AS (
+            SELECT p, e, x FROM (SELECT p, x, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e FROM part) WHERE e < 64
+        )"""]
+    for i in range(rounds + 1):
+        steps.append(f"""far{i} AS (
+            SELECT vec_id, label, p, e, part.x AS x,
+                list_sum(list_transform(range(1, len(part.x) + 1), lambda i: (part.x[i] - b.x[i]) * (part.x[i] - b.x[i]))) AS d
+            FROM part JOIN book{i} b USING (p)
+        ), near{i} AS (
+            SELECT vec_id, label, p, x, min(d) AS d, arg_min(e, d * 64 + e) AS e FROM far{i} GROUP BY ALL
+        )""")
+        if i < rounds:
+            steps.append(f"""cell{i} AS (
+            SELECT p, e, unnest(range(1, len(x) + 1)) AS i, unnest(x) AS c FROM near{i}
+        ), mean{i} AS (
+            SELECT p, e, list(c ORDER BY i) AS x
+            FROM (SELECT p, e, i, CAST(floor(CAST(sum(c) AS DOUBLE) / count(*)) AS BIGINT) AS c FROM cell{i} GROUP BY 1, 2, 3)
+            GROUP BY 1, 2
+        ), book{i + 1} AS (
+            SELECT b.p AS p, b.e AS e, coalesce(m.x, b.x) AS x FROM book{i} b LEFT JOIN mean{i} m ON m.p = b.p AND m.e = b.e
+        )""")
+    return f"""
+        WITH {", ".join(steps)}, coded AS (
+            SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+            FROM near{rounds} GROUP BY 1, 2
+        )
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+            (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+        FROM coded"""
+
+
 ORACLE = {
+    "op13_vector_codes": _vector_codes(rounds=2),
     "op5_minhash": rf"""
         WITH RECURSIVE words AS (
             SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents

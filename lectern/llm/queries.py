@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm import (
+    alignment,
     debruijn,
     decontamination,
     disclosure,
+    metric_trees,
     minhash,
     ngrams,
     packing,
+    quality,
     sharding,
     suffixes,
     toxicity,
@@ -81,6 +84,23 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """How the tokens of two vocabularies share groups of bytes in every document, and how usual its links are."""
+    return alignment.align(_documents(spark, folder))
+
+
+def op12_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """How likely every document is of good quality, learnt from four fifths of the labels."""
+    documents, labels = _documents(spark, folder), table(spark, folder, "labels")
+    scored = quality.score(documents, quality.fit(documents, labels), threshold=0.3)
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Code and quantisation error of every vector: 16 parts, 64 entries, 2 rounds."""
+    return metric_trees.compress(table(spark, folder, "embeddings"), parts=16, entries=64, rounds=2)
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -94,5 +114,8 @@ QUERIES: dict[str, Query] = {
         op8_suffix_dedup,
         op9_decontamination,
         op10_substring_dedup,
+        op11_alignment,
+        op12_quality,
+        op13_vector_codes,
     )
 }
