@@ -1,8 +1,9 @@
 """Requests: batches in, normalized, titled, measured, routed and projected rows out."""
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.config import CONTENT_TYPES, DEFAULTS, JobConfig
@@ -10,7 +11,7 @@ from lectern.functions.binding import let, with_computed
 from lectern.functions.titles import clean_title, cut_title, drop_non_graphic, type_ext
 from lectern.functions.text import byte_length
 from lectern.functions.uri import classify, uri_title
-from lectern.schema import INPUT_ARRAY, INPUT_NUMBERS, INPUT_STRINGS, PUBLIC_COLUMNS, REQUEST_SCHEMA
+from lectern.schema import INPUT_NUMBERS, INPUT_STRINGS, PUBLIC_COLUMNS, REQUEST_SCHEMA
 
 # Contract patterns of a content type and of a request id.
 TYPE_PATTERN = f"^({'|'.join(CONTENT_TYPES)})$"
@@ -40,36 +41,57 @@ def _field(df: DataFrame, name: str, value: Column) -> Column:
     return (value if name in df.columns else F.lit(None)).cast(kind).alias(name)
 
 
+def _number_type(name: str) -> str:
+    """The SQL type that holds all values of an input number."""
+    return "decimal(20,0)" if INPUT_NUMBERS[name][1] >= 2**63 else "bigint"
+
+
 def parse_payloads(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     """Adds `items`, the parsed array of inputs: NULL for a payload that must be rejected.
 
     A payload is rejected whole when it is no JSON array of objects (a bare object counts as none), when
-    one of its fields has a value of another JSON type, or when one of its numbers is no whole number,
-    negative, or too large for its field. JSON types are known of payloads that a variant can hold; one
-    that is too large for it, or that repeats a field, is judged by its values alone.
+    one of its fields has a value of another JSON type, or when one of its numbers is no whole number or
+    outside the range of its field. The case of keys does not matter; of several spellings the last counts. JSON types are
+    known of payloads that a variant can hold; one that is too large for it, or that repeats a field, is judged by
+    its values alone.
     """
     sent = F.try_parse_json(F.col(payload)).try_cast("array<variant>")
-    items = F.when(
-        F.json_array_length(F.col(payload)).isNotNull(), F.from_json(F.col(payload), INPUT_ARRAY, {"mode": "PERMISSIVE"})
+    # All keys as they are spelt, repeated ones too; values as text.
+    loose = F.when(
+        F.json_array_length(F.col(payload)).isNotNull(),
+        F.from_json(F.col(payload), "array<map<string,string>>", {"mode": "PERMISSIVE"}),
     )
 
+    def folded(item: Column) -> Column:
+        def field(entries: Column, name: str) -> Column:
+            own = F.filter(entries, lambda e: F.lower(e["key"]) == name)
+            return let(own, lambda found: F.get(found, F.size(found) - 1)["value"]).alias(name)
+
+        names = [*INPUT_STRINGS, *INPUT_NUMBERS]
+        return let(F.map_entries(item), lambda entries: F.struct(*[field(entries, n) for n in names]))
+
     def wrong_number(item: Column) -> Column:
         checks = []
-        for name in INPUT_NUMBERS:
-            kind = REQUEST_SCHEMA[name].dataType.simpleString()
-            number = item[name].try_cast("bigint").try_cast(kind)
-            checks.append(item[name].isNotNull() & F.coalesce(number < 0, F.lit(True)))
+        for name, (least, most) in INPUT_NUMBERS.items():
+            number = item[name].try_cast("decimal(38,0)")
+            whole = item[name].rlike("^-?[0-9]+$" if least < 0 else "^[0-9]+$")
+            bounds = [F.lit(str(n)).cast("decimal(38,0)") for n in (least, most)]
+            fits = whole & F.coalesce(number.between(*bounds), F.lit(False))
+            checks.append(item[name].isNotNull() & ~fits)
         return reduce(lambda a, b: a | b, checks)
 
     def wrong_type(item: Column) -> Column:
-        no_object = item.try_cast("map<string,variant>").isNull() & ~F.is_variant_null(item)
-        fields = [(n, "STRING") for n in INPUT_STRINGS] + [(n, "BIGINT") for n in INPUT_NUMBERS]
-        kinds = [(F.schema_of_variant(F.try_variant_get(item, f"$.{n}", "variant")), kind) for n, kind in fields]
-        checks = [F.coalesce(~found.isin(kind, "VOID"), F.lit(False)) for found, kind in kinds]
-        return reduce(lambda a, b: a | b, checks, no_object)
+        def odd(entry: Column) -> Column:
+            key, kind = F.lower(entry["key"]), F.coalesce(F.schema_of_variant(entry["value"]), F.lit("VOID"))
+            number = key.isin(*INPUT_NUMBERS) & ~kind.rlike(r"^(BIGINT|DECIMAL\([0-9]+,0\)|VOID)$")
+            return number | (key.isin(*INPUT_STRINGS) & ~kind.isin("STRING", "VOID"))
+
+        fields = item.try_cast("map<string,variant>")
+        no_object = fields.isNull() & ~F.is_variant_null(item)
+        return no_object | F.coalesce(F.exists(F.map_entries(fields), odd), F.lit(False))
 
     wrong = F.coalesce(F.exists(sent, wrong_type), F.lit(False))
-    parsed = with_computed(payloads, {"items": F.when(~wrong, items)})
+    parsed = with_computed(payloads, {"items": F.when(~wrong, F.transform(loose, folded))})
     return with_computed(parsed, {"items": F.when(~F.exists("items", wrong_number), F.col("items"))})
 
 
@@ -98,7 +120,7 @@ def unpack_payloads(payloads: DataFrame, payload: str = "payload") -> DataFrame:
         payload,
         F.col("pos").cast("bigint").alias("pos"),
         *[F.col(f"item.{n}").alias(n) for n in INPUT_STRINGS],
-        *[F.col(f"item.{n}").cast("bigint").alias(n) for n in INPUT_NUMBERS],
+        *[F.col(f"item.{n}").cast(_number_type(n)).alias(n) for n in INPUT_NUMBERS],
     )
 
 
@@ -133,7 +155,7 @@ def normalize_requests(
         elif field.name in ("text", "title", "uri", "submitted_by", "espeak_voice", "atempo"):
             columns.append(_field(raw, field.name, _given(field.name)))
         elif field.name == "words_per_minute":
-            columns.append(_field(raw, field.name, _positive(field.name, "int")))
+            columns.append(_field(raw, field.name, _positive(field.name, "bigint")))
         else:
             columns.append(F.lit(None).cast(field.dataType).alias(field.name))
     return raw.select(*columns)
@@ -251,14 +273,37 @@ def list_requests(df: DataFrame, submitted_default: int | None = 0) -> DataFrame
     return df.where(F.col("request_hash").isNotNull()).select(*view)
 
 
-def contract_violations(df: DataFrame, type_column: str = "type", id_column: str = "request_hash") -> DataFrame:
-    """Rows that break each declared rule: (rule, n), one row per rule. One pass, no row copies."""
+def _rules(df: DataFrame, type_column: str, id_column: str) -> dict[str, Column]:
+    """When a row breaks each declared rule."""
     rules = {"uri_required": F.col("uri").isNull() | (F.col("uri") == "")}
     rules["type_pattern"] = F.col(type_column).isNotNull() & ~F.col(type_column).rlike(TYPE_PATTERN)
     rules["request_id_pattern"] = F.col(id_column).isNotNull() & ~F.col(id_column).rlike(REQUEST_ID_PATTERN)
     for name in UNSIGNED_COLUMNS:
         if name in df.columns:
             rules[f"{name}_unsigned"] = F.col(name) < 0
+    return rules
+
+
+def contract_violations(df: DataFrame, type_column: str = "type", id_column: str = "request_hash") -> DataFrame:
+    """Rows that break each declared rule: (rule, n), one row per rule. One pass, no row copies."""
+    rules = _rules(df, type_column, id_column)
     counts = df.agg(*[F.count_if(broken).alias(rule) for rule, broken in rules.items()])
     pairs = F.array(*[F.struct(F.lit(rule).alias("rule"), F.col(rule).alias("n")) for rule in rules])
     return counts.select(F.inline(pairs))
+
+
+def observe_contract(
+    df: DataFrame, type_column: str = "type", id_column: str = "request_hash"
+) -> tuple[DataFrame, Observation]:
+    """`df`, and what `contract_violations` would say of it, counted by the first action that reads it.
+
+    The write itself takes the counts: there is no second scan.
+    """
+    seen = Observation(f"contract {uuid.uuid4().hex}")
+    rules = _rules(df, type_column, id_column)
+    return df.observe(seen, *[F.count_if(broken).alias(rule) for rule, broken in rules.items()]), seen
+
+
+def observed_violations(spark: SparkSession, seen: Observation) -> DataFrame:
+    """(rule, n) of an observation whose action has run."""
+    return spark.createDataFrame(list(seen.get.items()), "rule string, n long")

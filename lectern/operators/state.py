@@ -1,6 +1,6 @@
 """Latest state of requests, lookups by id, duplicates and export winners."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.config import DEFAULTS, JobConfig
@@ -59,6 +59,33 @@ def lookup_result(
     return salted_join(typed, every_id, key, others, "inner").select(*typed.columns)
 
 
+def lookup_points(stored: DataFrame, ids: DataFrame, key: str, most: int = 100, cfg: JobConfig = DEFAULTS) -> DataFrame:
+    """Rows of `stored`, a table written by `sinks.write_lookup`, for the ids asked for; each row once.
+
+    The distinct ids are counted first. Up to `most` of them become equalities that reach the scan, where row groups whose
+    Bloom filter or range has none of them are skipped unread; more are joined as `lookup_result` does.
+    """
+    counts = count_keys(ids, key)
+    few = counts.table.where(F.col(key).isNotNull()).select(key).limit(most + 1).collect()
+    if len(few) <= most:
+        # Not isin: beyond a few values that reaches the scan as a range only.
+        return stored.where(_any([F.col(key) == F.lit(r[0]) for r in few]))
+    wanted = counts.small_keys(cfg.broadcast_bytes)
+    if wanted is not None:
+        return stored.join(wanted, key, "left_semi")
+    others = [c for c in stored.columns if c != key]
+    every_id = counts.table.where(F.col(key).isNotNull()).select(key)
+    return salted_join(stored, every_id, key, others, "inner").select(*stored.columns)
+
+
+def _any(checks: list[Column]) -> Column:
+    """One of the checks holds; halved, so that the expression is not deep."""
+    if len(checks) < 2:
+        return checks[0] if checks else F.lit(False)
+    middle = len(checks) // 2
+    return _any(checks[:middle]) | _any(checks[middle:])
+
+
 def duplicate_groups(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Texts that occur more than once: (fingerprint, n, first_id)."""
     return (

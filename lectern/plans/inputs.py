@@ -104,7 +104,7 @@ def lookup_rows(rows: DataFrame) -> DataFrame:
 
 
 def payload_rows(rows: DataFrame) -> DataFrame:
-    """Ten requests per payload, plus empty batches and malformed ones that must be rejected."""
+    """Ten requests per payload, plus empty batches, unusual ones and malformed ones that must be rejected."""
     packed = (
         rows.groupBy(F.floor(F.col("req_no") / 10).alias("payload_id"))
         .agg(F.array_sort(F.collect_list(F.struct("req_no", "uri", "title", "text"))).alias("r"))
@@ -121,7 +121,11 @@ def payload_rows(rows: DataFrame) -> DataFrame:
         .when(F.col("req_no") % 50 == 4, F.concat(F.lit('[{"words_per_minute":50000000000'), number, F.lit("}]")))
         .when(F.col("req_no") % 50 == 5, F.concat(F.lit('[{"words_per_minute":-5'), number, F.lit("}]")))
         .when(F.col("req_no") % 50 == 6, F.concat(F.lit('[{"uri":'), number, F.lit("}]")))
+        .when(F.col("req_no") % 50 == 8, F.concat(F.lit('[{"submitted_at":-5'), number, F.lit("}]")))
+        .when(F.col("req_no") % 50 == 9, F.lit('[{"words_per_minute":3000000000}]'))
+        .when(F.col("req_no") % 50 == 10, F.lit('[{"created":18446744073709551615}]'))
+        .when(F.col("req_no") % 50 == 11, F.concat(F.lit('[{"URI":"u'), number, F.lit('"}]')))
         .when(F.col("req_no") % 50 == 7, F.concat(F.lit('[{"uri":"u","words_per_minute":"'), number, F.lit('"}]')))
     )
-    bad = rows.select((-1 - F.col("req_no")).alias("payload_id"), broken.alias("payload"))
-    return packed.unionByName(bad.where(F.col("payload").isNotNull()))
+    odd = rows.select((-1 - F.col("req_no")).alias("payload_id"), broken.alias("payload"))
+    return packed.unionByName(odd.where(F.col("payload").isNotNull()))

@@ -34,7 +34,11 @@ def process_requests(
     `documents` the one of parsed document pages (uri, page_no, text) for PDF requests. Every request
     gives one outcome.
     """
-    read = read_by_type(classify_requests(requests, cfg), pages, documents, request_key, cfg)
+    return finish_requests(read_by_type(classify_requests(requests, cfg), pages, documents, request_key, cfg), cfg)
+
+
+def finish_requests(read: DataFrame, cfg: JobConfig = DEFAULTS) -> DataFrame:
+    """Requests whose text has been read (with `page_title`) to outcomes; row by row, in a batch or a stream."""
     titled = title_of_video(title_from_text(title_from_page(read, cfg), cfg))
     routed = route_requests(apply_defaults(measure_text(titled), cfg))
     path = storage_path(F.lit("AUDIO"), F.col("uri"), F.col("title"), F.col("created"))

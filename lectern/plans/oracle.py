@@ -64,7 +64,7 @@ norm AS (
  SELECT req_no, CASE WHEN coalesce(text, '') <> '' THEN 'TEXT' ELSE 'URI' END AS type,
   {_id("req_no")} AS request_hash, nullif(text, '') AS text, nullif(title, '') AS title,
   submitted_at AS created, uri, submitted_at,
-  CASE WHEN words_per_minute > 0 THEN words_per_minute END AS words_per_minute
+  CAST(CASE WHEN words_per_minute > 0 THEN words_per_minute END AS BIGINT) AS words_per_minute
  FROM raw),
 stubbed AS (
  SELECT *, CASE WHEN type = 'URI' THEN {_class("uri")} ELSE type END AS kind,
@@ -228,7 +228,9 @@ ORACLE: dict[str, str] = {
     "request_batch_explode": f"""
 WITH raw AS ({_ROWS})
 SELECT req_no // 10 AS payload_id, row_number() OVER (PARTITION BY req_no // 10 ORDER BY req_no) - 1 AS pos,
- uri, title, text FROM raw""",
+ uri, title, text FROM raw
+UNION ALL SELECT -1 - req_no, 0, CASE WHEN req_no % 50 = 11 THEN concat('u', req_no) END, NULL, NULL
+FROM raw WHERE req_no % 50 IN (8, 9, 10, 11)""",
     "request_batch_rejects": f"""
 WITH raw AS ({_ROWS})
 SELECT -1 - req_no AS payload_id, CASE req_no % 50 WHEN 0 THEN concat('{{not json ', req_no)
@@ -279,10 +281,10 @@ SELECT sha256(text) AS fingerprint, count(*) AS n, min(doc_id) AS first_id
 FROM documents GROUP BY 1 HAVING count(*) > 1""",
     "list_requests": f"""{_REQUESTS}
 SELECT uri, request_hash, title, NULL::VARCHAR AS atempo, words_per_minute, length, length AS size, text,
- NULL::INTEGER AS number_of_conversions, type, created, coalesce(submitted_at, 0) AS submitted_at FROM titled""",
+ NULL::BIGINT AS number_of_conversions, type, created, coalesce(submitted_at, 0) AS submitted_at FROM titled""",
     "submit_response": f"""{_REQUESTS}
 SELECT uri, request_hash, title, NULL::VARCHAR AS atempo, words_per_minute, NULL::BIGINT AS length,
- NULL::BIGINT AS size, text, NULL::INTEGER AS number_of_conversions, type, created, submitted_at FROM norm""",
+ NULL::BIGINT AS size, text, NULL::BIGINT AS number_of_conversions, type, created, submitted_at FROM norm""",
     "route_requests": _ROUTED,
     "reject_summary": f"{_REQUESTS} SELECT reason, count(*) AS n FROM routed WHERE status = 'ERROR' GROUP BY 1",
     "contract_violations": rf"""
@@ -341,7 +343,7 @@ FROM vocabulary""",
 WITH raw AS ({_ROWS}),
 batches AS (
  SELECT req_no // 10 AS payload_id, count(*) AS n_requests FROM raw GROUP BY 1
- UNION ALL SELECT -1 - req_no, 0 FROM raw WHERE req_no % 50 = 3)
+ UNION ALL SELECT -1 - req_no, CAST(req_no % 50 <> 3 AS INTEGER) FROM raw WHERE req_no % 50 IN (3, 8, 9, 10, 11))
 SELECT strftime(date_trunc('hour', make_timestamp((1704067200 + abs(payload_id) * 97) * 1000000)), '%Y-%m-%d %H:%M:%S')
  AS window_start, count(*) AS n_batches, CAST(sum(n_requests) AS BIGINT) AS n_requests
 FROM batches GROUP BY 1""",
@@ -377,3 +379,42 @@ SELECT req_no, route, CASE WHEN route IN ('TEXT', 'VIDEO') THEN 'AUDIO' ELSE typ
  CASE WHEN route = 'TEXT' THEN round({_WORDS} / coalesce(words_per_minute, 350), 4) END AS minutes
 FROM routed WHERE status = 'ACCEPTED'""",
 }
+
+# The same results by another way: folded, observed, delivered twice.
+ORACLE |= {
+    "storage_compacted": ORACLE["storage_layout"],
+    "observed_violations": ORACLE["contract_violations"],
+    "stream_distinct_payloads": ORACLE["accepted_payloads"],
+    "stream_current_status": _LATEST,
+    "stream_page_arrivals": f"""{_PAGE_REQUESTS.replace("FROM extracted e JOIN pages p ON e.page_id = p.page_id", "FROM extracted e JOIN pages p ON e.page_id = p.page_id WHERE e.page_id % 4 IN (0, 1)")}
+SELECT req_no, type, title, text, length, status, reason, storage_path FROM routed""",
+    "point_lookup": f"""{_HISTORY}
+SELECT req_no, step, type, created FROM history
+WHERE req_no IN (SELECT min(doc_id) FROM documents GROUP BY source)""",
+    "idf_of_growing_corpus": _TERMS.replace(
+        "FROM documents)", "FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN concat('revised edition ', doc_id) ELSE text END AS text FROM documents))", 1
+    )
+    + "SELECT term, df, round(idf, 6) AS idf FROM weights",
+    "corpus_sketches": f"""{_TERMS}
+SELECT lang, count(DISTINCT doc_id) AS n_docs, count(term) AS n_postings, count(DISTINCT term) AS n_terms, true AS is_close
+FROM documents LEFT JOIN tf USING (doc_id) GROUP BY 1""",
+    "rope_ranges": f"""
+WITH doc_pages AS ({inputs.DOCUMENT_PAGES_SQL.format(conversations="conversations")}),
+whole AS (
+ SELECT doc_id, hex(encode(string_agg(text, '' ORDER BY page_no, text))) AS h FROM doc_pages WHERE text IS NOT NULL GROUP BY 1)
+SELECT doc_id, 'head' AS range_id, substr(h, 21, 160) AS data FROM whole WHERE len(h) > 20
+UNION ALL SELECT doc_id, 'tail', substr(h, greatest(len(h) - 100, 0) + 1) FROM whole WHERE len(h) > 0""",
+    "converted_bytes": """
+WITH items AS (
+ SELECT doc_id, text, CASE doc_id % 4 WHEN 0 THEN 'plain' WHEN 1 THEN 'packed' WHEN 2 THEN 'turned' ELSE 'unknown' END AS route,
+  strlen(text) = length(text) AS is_ascii
+ FROM documents),
+done AS (
+ SELECT *, CASE WHEN route = 'plain' AND is_ascii THEN upper(text) WHEN route = 'packed' THEN text
+  WHEN route = 'turned' AND is_ascii THEN reverse(text) END AS result FROM items)
+SELECT doc_id, route, CASE WHEN result IS NULL AND route = 'turned' THEN CAST(strlen(text) AS BIGINT) ELSE CAST(strlen(result) AS BIGINT) END AS n_bytes,
+ sha256(result) AS digest,
+ CASE WHEN text IS NULL THEN NULL WHEN route = 'unknown' THEN 'no codec for route unknown'
+  WHEN route = 'plain' AND NOT is_ascii THEN 'UnicodeDecodeError' END AS failed
+FROM done""",
+}

@@ -14,9 +14,9 @@ REQUEST_SCHEMA = T.StructType(
         T.StructField("uri", T.StringType()),
         T.StructField("submitted_by", T.StringType()),
         T.StructField("submitted_at", T.LongType()),
-        T.StructField("number_of_conversions", T.IntegerType()),
+        T.StructField("number_of_conversions", T.LongType()),
         T.StructField("download_uri", T.StringType()),
-        T.StructField("words_per_minute", T.IntegerType()),
+        T.StructField("words_per_minute", T.LongType()),
         T.StructField("espeak_voice", T.StringType()),
         T.StructField("atempo", T.StringType()),
         T.StructField("submitted_with", T.StringType()),
@@ -41,15 +41,15 @@ PUBLIC_COLUMNS = (
     "submitted_at",
 )
 
-# Fields a caller may send. Numbers are read as text, so that a value of the wrong kind shows.
-INPUT_NUMBERS = (
-    "created",
-    "size",
-    "length",
-    "submitted_at",
-    "number_of_conversions",
-    "words_per_minute",
-)
+# Numbers a caller may send, with the least and the largest that their field takes.
+INPUT_NUMBERS = {
+    "created": (0, 2**64 - 1),
+    "size": (0, 2**64 - 1),
+    "length": (0, 2**64 - 1),
+    "submitted_at": (-(2**63), 2**63 - 1),
+    "number_of_conversions": (0, 2**32 - 1),
+    "words_per_minute": (0, 2**32 - 1),
+}
 INPUT_STRINGS = (
     "uri",
     "type",
@@ -63,6 +63,3 @@ INPUT_STRINGS = (
     "submitted_with",
     "storage_path",
 )
-INPUT_ARRAY = T.ArrayType(
-    T.StructType([T.StructField(name, T.StringType()) for name in INPUT_STRINGS + INPUT_NUMBERS])
-)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lectern.sources import snapshots
+
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Spreads an input of fewer splits than cores, such as one small file, over the cores.
@@ -55,16 +57,43 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "payload")
 
 
-def read_content(spark: SparkSession, base: str) -> DataFrame:
-    """Table written by write_content, the last writer of each storage path only.
+# How the winner of a storage path is found, beside the run.
+CONTENT_KEYS = ["type", "created_date", "storage_path"]
+
+
+def last_writers(stored: DataFrame) -> DataFrame:
+    """Of every storage path the row of the latest run, in it the newest item, and of those the one with the largest id.
 
-    That is the latest run, in it the newest item, and of those the one with the largest id. Filters on
-    type and created_date prune the folders. The winners are found on the key columns alone.
+    The winners are found on the key columns alone.
     """
-    keys = ["type", "created_date", "storage_path"]
-    stored = spark.read.option("basePath", base).parquet(base)
     order = ["run", *[c for c in ("created", "request_hash") if c in stored.columns]]
-    winners = stored.groupBy(*keys).agg(F.max(F.struct(*order)).alias("_last"))
-    winners = winners.select(*[F.col(c).alias(f"_{c}") for c in keys], "_last")
-    same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_{c}") for c in keys])
-    return stored.join(winners, same & F.struct(*order).eqNullSafe(F.col("_last")), "left_semi").drop("run")
+    winners = stored.groupBy(*CONTENT_KEYS).agg(F.max(F.struct(*order)).alias("_last"))
+    winners = winners.select(*[F.col(c).alias(f"_{c}") for c in CONTENT_KEYS], "_last")
+    same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_{c}") for c in CONTENT_KEYS])
+    return stored.join(winners, same & F.struct(*order).eqNullSafe(F.col("_last")), "left_semi")
+
+
+def runs_since(spark: SparkSession, base: str, before: snapshots.Manifest | None) -> list[str]:
+    """Runs that have something in the content folder which the snapshot does not hold, in order."""
+    names = {path.rsplit("=", 1)[1] for path in snapshots.children(spark, f"{base}/type=*/created_date=*/run=*")}
+    return sorted(names - set(before.covered["runs"] if before else ()))
+
+
+def read_runs(spark: SparkSession, base: str, runs: list[str]) -> DataFrame:
+    globs = [f"{base}/type=*/created_date=*/run={run}" for run in runs]
+    return spark.read.option("basePath", base).parquet(*globs).withColumn("run", F.col("run").cast("string"))
+
+
+def read_content(spark: SparkSession, base: str) -> DataFrame:
+    """Table written by write_content, the last writer of each storage path only (`last_writers`).
+
+    Filters on type and created_date prune the folders. After `sinks.compact_content` that is its snapshot as it lies there;
+    runs added since are folded over it, without reading the runs it holds.
+    """
+    before = snapshots.newest(spark, base)
+    if before is None:
+        return last_writers(spark.read.option("basePath", base).parquet(base)).drop("run")
+    fresh = runs_since(spark, base, before)
+    if not fresh:
+        return before.rows(spark).drop("run")
+    return last_writers(before.rows(spark).unionByName(read_runs(spark, base, fresh))).drop("run")

@@ -11,7 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lectern.config import DEFAULTS, JobConfig
+from lectern.functions.html import content_blocks, page_title
 from lectern.operators.metrics import accepted_counts
+from lectern.operators.requests import observe_contract, observed_violations
 from lectern.operators.state import latest_status
 
 
@@ -35,18 +38,24 @@ def write_batches(
     partition_by: tuple[str, ...] = (),
     mode: str = "append",
     every: str | None = None,
+    checks: str | None = None,
 ) -> StreamingQuery:
     """Applies a batch transformation to every micro-batch and writes it to its own folder.
 
-    Works off what has landed and stops, or runs on with a micro-batch `every` so often.
+    Works off what has landed and stops, or runs on with a micro-batch `every` so often. With `checks`, a folder, the
+    write of a micro-batch of requests also counts what breaks their contract, and (rule, n) goes to a folder of the batch there.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        writer = batch.transform(transform).write.mode("overwrite")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(
-            f"{out}/query={query}/batch_id={batch_id}"
-        )
+        spark = batch.sparkSession
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        done, seen, own = batch.transform(transform), None, f"query={query}/batch_id={batch_id}"
+        if checks:
+            done, seen = observe_contract(done)
+        writer = done.write.mode("overwrite")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{out}/{own}")
+        if seen is not None:
+            observed_violations(spark, seen).coalesce(1).write.mode("overwrite").parquet(f"{checks}/{own}")
 
     return (
         stream.writeStream.outputMode(mode)
@@ -83,6 +92,56 @@ def stream_accepted_counts(
     return accepted_counts(stream.withWatermark(ts, late), ts, window=window)
 
 
+def distinct_deliveries(
+    stream: DataFrame, ts: str = "submitted_ts", late: str = "10 minutes", keys: tuple[str, ...] = ("payload",)
+) -> DataFrame:
+    """Payloads without those that were delivered before, within `late` of the first delivery.
+
+    Deliveries are told apart by a digest of `keys`; the state holds the digest only, until the watermark has passed it.
+    It is part of the checkpoint, so a delivery repeated after a restart is known.
+    """
+    # A NULL and an empty field are different, and so is where a field ends.
+    text = F.concat_ws("|", *[F.coalesce(F.hex(F.encode(F.col(k).cast("string"), "UTF-8")), F.lit("none")) for k in keys])
+    marked = stream.withWatermark(ts, late).withColumn("_digest", F.sha2(text, 256))
+    return marked.dropDuplicatesWithinWatermark(["_digest"]).drop("_digest")
+
+
+def join_landing_pages(
+    requests: DataFrame,
+    pages: DataFrame,
+    request_key: str = "request_hash",
+    asked: str = "asked_ts",
+    landed: str = "landed_ts",
+    url: str = "url",
+    early: str = "1 hour",
+    wait: str = "1 hour",
+    late: str = "10 minutes",
+    cfg: JobConfig = DEFAULTS,
+) -> DataFrame:
+    """Classified requests of a stream with the text and `page_title` of the web page they name.
+
+    Both sides may come first: a page is good for a request if it lands between `early` before and `wait` after it. A
+    TEXT request without text waits for its page until the watermarks of both streams (`late` behind the newest row)
+    have passed its time, and then goes on without one; other requests go on at once. Every request gives one row; of
+    several pages the one that is met first counts. Pages are read before they are kept, so the state holds text and title
+    only. An outer join and the removal of second pages: run it in append mode.
+    """
+    read = pages.where(F.col(url).isNotNull()).select(
+        F.col(url).alias("_url"),
+        F.col(landed).alias("_landed"),
+        F.nullif(F.array_join(content_blocks(F.col("html"), cfg.min_text_block), ""), F.lit("")).alias("_text"),
+        page_title(F.col("html")).alias("page_title"),
+    )
+    reads_page = F.coalesce((F.col("type") == "TEXT") & (F.coalesce("text", F.lit("")) == ""), F.lit(False))
+    in_time = F.expr(f"_landed >= {asked} - INTERVAL {early} AND _landed <= {asked} + INTERVAL {wait}")
+    joined = requests.withWatermark(asked, late).join(
+        read.withWatermark("_landed", late), reads_page & (F.col("uri") == F.col("_url")) & in_time, "leftOuter"
+    )
+    text = F.coalesce(F.nullif("text", F.lit("")), "_text")
+    one = joined.withColumn("text", text).drop("_url", "_landed", "_text")
+    return one.dropDuplicatesWithinWatermark([request_key])
+
+
 def fold_counts(log: DataFrame) -> DataFrame:
     """Current counter from the updates of all micro-batches: a query's last update of a window holds.
 
