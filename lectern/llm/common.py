@@ -4,6 +4,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,15 +44,18 @@ def pieces_of_rows(df: DataFrame, rows_each: int, least: int) -> int:
 
 
 def pack(values: np.ndarray) -> bytes:
-    """An array of integers in a compressed block; its type and length go along."""
+    """An array of numbers in a compressed block, first bytes first; its type and length go along."""
     head = f"{values.dtype.str}:{len(values)}:".encode()
-    return head + zstandard.compress(np.ascontiguousarray(values).tobytes(), 1)
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.dtype.itemsize).T
+    return head + zstandard.compress(planes.tobytes(), 1)
 
 
 def unpack(block: bytes) -> np.ndarray:
     kind, count, rest = bytes(block).split(b":", 2)
-    raw = zstandard.decompress(rest, max_output_size=max(1, int(count) * np.dtype(kind.decode()).itemsize))
-    return np.frombuffer(raw, dtype=kind.decode())
+    kind, count = np.dtype(kind.decode()), int(count)
+    raw = zstandard.decompress(rest, max_output_size=max(1, count * kind.itemsize))
+    planes = np.frombuffer(raw, np.uint8).reshape(kind.itemsize, count)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
 def pack_sorted(values: np.ndarray) -> bytes:
@@ -82,6 +86,20 @@ def parted(block: bytes) -> list[bytes]:
     return out
 
 
+def slices(batches: Iterator[pa.RecordBatch], text_column: int, rows: int = 512, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most `rows` rows, and of about `size` bytes of text unless one row has more."""
+    for batch in batches:
+        low = 0
+        lengths = np.array(pc.fill_null(pc.binary_length(batch.column(text_column)), 0), np.int64) if batch.num_rows else ()
+        ends = np.cumsum(lengths)
+        while low < batch.num_rows:
+            before = int(ends[low - 1]) if low else 0
+            high = int(np.searchsorted(ends, before + size, "right"))
+            high = min(max(high, low + 1), low + rows, batch.num_rows)
+            yield batch.slice(low, high - low)
+            low = high
+
+
 def rows_of(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
     """Values of the named columns, row by row."""
     for batch in batches:

@@ -3,8 +3,9 @@
 A word's id is its rank by frequency within its shard of words, interleaved over the shards, so
 frequent words have small ids. A trie has three levels: first words, their successors, and the successors of
 both; each level is a rising sequence, because a word's number is added to a base that grows
-from context to context, and pointers say where the successors of a context begin. All sequences
-are Elias-Fano coded; smoothed probabilities are quantised to 16 bits.
+from context to context. Levels of pointers say where the successors of a context begin, and a word is
+searched among those only. All sequences, pointers included, are Elias-Fano coded and read without unpacking;
+smoothed probabilities are quantised to 16 bits.
 """
 
 import mmap
@@ -26,29 +27,49 @@ STEPS = 4096  # Quantisation steps of a power of ten.
 U32 = np.uint64(32)
 
 
+_BYTES = np.arange(256, dtype=np.uint8)
+_SET = np.unpackbits(_BYTES[:, None], axis=1, bitorder="little")
+# Place of the set bit with each rank in every byte; 0 where it has fewer.
+_PLACE = np.array([np.pad(np.flatnonzero(bits), (0, 8 - int(bits.sum()))) for bits in _SET], np.uint8)
+
+
+def _bit_with_rank(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Place of the set bit that has `rank` set bits below it in each 64-bit word."""
+    parts = np.ascontiguousarray(words)[:, None].view(np.uint8)
+    reached = np.cumsum(np.bitwise_count(parts), axis=1, dtype=np.int64)
+    at = (reached <= rank[:, None]).sum(axis=1)
+    row = np.arange(len(words))
+    below = np.where(at > 0, reached[row, at - 1], 0)
+    return 8 * at + _PLACE[parts[row, at], rank - below]
+
+
 class EliasFano:
-    """A rising sequence: low bits packed side by side, high bits in unary."""
+    """A rising sequence: low bits packed side by side, high parts in unary.
+
+    Both are read in place; beside them there is one count per 64 bits of the unary part.
+    """
 
     def __init__(self, n: int, low_bits: int, lows: np.ndarray, highs: np.ndarray):
-        self.n, self.low_bits, self.lows = n, low_bits, lows
-        bits = np.unpackbits(highs, bitorder="little")
-        ones = np.flatnonzero(bits)[:n]
-        self.upper = ones - np.arange(n)
-        # Where the values with each upper part start.
-        last = int(self.upper[-1]) if n else 0
-        self.begin = np.searchsorted(self.upper, np.arange(last + 2))
+        self.n, self.low_bits = n, low_bits
+        # Eight bytes from every byte on, without a copy.
+        self.lows = np.ndarray(len(lows) - 7, "<u8", lows.data, strides=(1,))
+        self.words = highs.view("<u8")
+        ones = np.concatenate([[0], np.cumsum(np.bitwise_count(self.words), dtype=np.int64)])
+        self.ones, self.zeros = ones, 64 * np.arange(len(ones)) - ones
+        self.top = int(self.access(np.array([n - 1]))[0]) >> low_bits if n else -1
 
     @staticmethod
     def coded(values: np.ndarray) -> list[np.ndarray]:
-        """(n, low_bits), lows, highs as bytes."""
+        """(n, low_bits), lows, highs as bytes; lows have eight bytes more than needed, highs are whole words."""
         n, top = len(values), int(values[-1]) if len(values) else 0
-        low_bits = max(0, (top // max(1, n)).bit_length() - 1)
+        low_bits = min(56, max(0, (top // max(1, n)).bit_length() - 1))
         values = values.astype(np.uint64)
         low = values & np.uint64((1 << low_bits) - 1)
         plane = ((low[:, None] >> np.arange(low_bits, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8)
-        lows = np.packbits(plane.reshape(-1), bitorder="little")
+        lows = np.concatenate([np.packbits(plane.reshape(-1), bitorder="little"), np.zeros(8, np.uint8)])
         high = (values >> np.uint64(low_bits)).astype(np.int64)
-        unary = np.zeros(n + (int(high[-1]) if n else 0) + 1, np.uint8)
+        size = n + (int(high[-1]) if n else 0) + 1
+        unary = np.zeros(size + -size % 64, np.uint8)
         unary[high + np.arange(n)] = 1
         return [np.array([n, low_bits], np.int64).view(np.uint8), lows, np.packbits(unary, bitorder="little")]
 
@@ -58,24 +79,31 @@ class EliasFano:
         return cls(n, low_bits, parts[1], parts[2])
 
     def low(self, at: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(at), np.int64)
         first = at * self.low_bits
-        for bit in range(self.low_bits):
-            place = first + bit
-            out |= ((self.lows[place >> 3] >> (place & 7).astype(np.uint8)) & 1).astype(np.int64) << bit
-        return out
+        word = self.lows[first >> 3] >> (first & 7).astype(np.uint64)
+        return (word & np.uint64((1 << self.low_bits) - 1)).astype(np.int64)
 
     def access(self, at: np.ndarray) -> np.ndarray:
-        return (self.upper[at] << self.low_bits) | self.low(at)
-
-    def successor(self, values: np.ndarray) -> np.ndarray:
-        """Place of the first element that is not below each value: a search among those with its upper part."""
+        word = np.searchsorted(self.ones, at, "right") - 1
+        place = 64 * word + _bit_with_rank(self.words[word], at - self.ones[word])
+        return ((place - at) << self.low_bits) | self.low(at)
+
+    def begin(self, upper: np.ndarray) -> np.ndarray:
+        """Where the elements whose upper part is at least `upper` start."""
+        rank = np.clip(upper - 1, 0, max(0, self.top))
+        word = np.searchsorted(self.zeros, rank, "right") - 1
+        place = 64 * word + _bit_with_rank(~self.words[word], rank - self.zeros[word])
+        return np.where(upper <= 0, 0, np.where(upper > self.top, self.n, place - rank))
+
+    def successor(self, values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Place of the first element of first .. last - 1 that is not below each value; `last` if there is none.
+
+        A search by the low bits among those of that range with the value's upper part.
+        """
         upper = values >> self.low_bits
-        known = np.minimum(upper, len(self.begin) - 2)
-        low, high = self.begin[known].copy(), self.begin[known + 1].copy()
+        low = np.clip(self.begin(upper), first, last)
+        high = np.clip(self.begin(upper + 1), first, last)
         wanted = values & ((1 << self.low_bits) - 1)
-        low = np.where(upper > known, self.n, low)
-        high = np.where(upper > known, self.n, high)
         while True:
             open_ = np.flatnonzero(low < high)
             if not len(open_):
@@ -85,13 +113,14 @@ class EliasFano:
             low[open_[below]] = middle[below] + 1
             high[open_[~below]] = middle[~below]
 
-    def find(self, values: np.ndarray) -> np.ndarray:
-        """Place of each value, or -1."""
+    def find(self, values: np.ndarray, first: np.ndarray | int = 0, last: np.ndarray | None = None) -> np.ndarray:
+        """Place of each value among first .. last - 1 (all elements by default), or -1."""
         if not self.n:
             return np.full(len(values), -1)
-        at = self.successor(values)
+        first, last = np.broadcast_to(first, values.shape), np.broadcast_to(self.n if last is None else last, values.shape)
+        at = self.successor(values, first, last)
         there = np.minimum(at, self.n - 1)
-        return np.where((at < self.n) & (self.access(there) == values), at, -1)
+        return np.where((at < last) & (self.access(there) == values), at, -1)
 
 
 def quantised(p: np.ndarray) -> np.ndarray:
@@ -105,22 +134,31 @@ def restored(code: np.ndarray, absent: float) -> np.ndarray:
 
 
 class Trie:
-    """Three levels of n-grams in one block of bytes, opened without copying."""
+    """Three levels of n-grams in one block of bytes, opened without copying.
 
-    NAMES = ("first", "second", "third")
+    The first level holds the first words. A level below holds the successors of each context, by id, after those of
+    the context before; to make it rise, each id is added to the last value of the context before. A pointer level says
+    where each context's successors begin.
+    """
+
+    @staticmethod
+    def _below(context: np.ndarray, words: np.ndarray, contexts: int) -> tuple[np.ndarray, np.ndarray]:
+        """(pointers, values) of a level from rising contexts and the rising words of each."""
+        begin = np.searchsorted(context, np.arange(contexts + 1))
+        # Every context has its own base: the sum of the last ids, plus one each, of all before it.
+        last = np.where(begin[1:] > begin[:-1], words[np.maximum(begin[1:] - 1, 0)] + 1 if len(words) else 0, 0)
+        base = np.concatenate([[0], np.cumsum(last)])
+        return begin, base[context] + words
 
     @staticmethod
     def built(pairs, c1, c12, parent, third, c123, kappa2: float, kappa3: float) -> bytes:
         """From rising pairs (first << 32 | second) and, by parent pair, rising third words; counts are above 0."""
         first, second = (pairs >> U32).astype(np.int64), (pairs & np.uint64((1 << 32) - 1)).astype(np.int64)
         context = np.bincount(parent, c123, len(pairs))
-        heads = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]])) if len(first) else np.zeros(0, int)
-        group = np.cumsum(np.concatenate([[0], (first[1:] != first[:-1]).astype(int)])) if len(first) else heads
-        span2, span3 = (int(x.max()) + 1 if len(x) else 1 for x in (second, third))
-        parts = [np.array([span2, span3], np.int64).view(np.uint8)]
-        parts += EliasFano.coded(first[heads])
-        parts += EliasFano.coded(group * span2 + second)
-        parts += EliasFano.coded(parent * span3 + third)
+        starts = np.concatenate([[True], first[1:] != first[:-1]]) if len(first) else np.zeros(0, bool)
+        parts = EliasFano.coded(first[starts])
+        for level in (Trie._below(np.cumsum(starts) - 1, second, int(starts.sum())), Trie._below(parent, third, len(pairs))):
+            parts += EliasFano.coded(level[0]) + EliasFano.coded(level[1])
         probabilities = (c12 / (c1 + kappa2), kappa3 / (context + kappa3), c123 / (context[parent] + kappa3))
         parts += [quantised(p).view(np.uint8) for p in probabilities]
         sizes = np.array([len(p) for p in parts], np.int64)
@@ -133,21 +171,30 @@ class Trie:
         for size in sizes.tolist():
             parts.append(np.frombuffer(block, np.uint8, size, at))
             at += size + -size % 8
-        self.span2, self.span3 = parts[0].view(np.int64).tolist()
-        self.first, self.second, self.third = (EliasFano.opened(parts[i : i + 3]) for i in (1, 4, 7))
-        self.p2, self.backoff3, self.p3 = (p.view(np.uint16) for p in parts[10:13])
+        self.first, self.begin2, self.second, self.begin3, self.third = (
+            EliasFano.opened(parts[i : i + 3]) for i in (0, 3, 6, 9, 12)
+        )
+        self.p2, self.backoff3, self.p3 = (p.view(np.uint16) for p in parts[15:18])
+
+    @staticmethod
+    def _successors(begin: EliasFano, level: EliasFano, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Place of each context's successor `word`, or -1: a search relative to the context."""
+        out = np.full(len(context), -1)
+        known = np.flatnonzero(context >= 0)
+        if not len(known) or not level.n:
+            return out
+        first, last = begin.access(context[known]), begin.access(context[known] + 1)
+        base = np.where(first > 0, level.access(np.maximum(first - 1, 0)) + 1, 0)
+        out[known] = level.find(base + word[known], first, last)
+        return out
 
     def lookup(self, pairs, parent, third):
         """Codes of the pairs' probabilities and back-off weights, and of the triples'; 0 if not there."""
-        context = self.first.find((pairs >> U32).astype(np.int64))
+        heads = self.first.find((pairs >> U32).astype(np.int64))
         second = (pairs & np.uint64((1 << 32) - 1)).astype(np.int64)
-        known = (context >= 0) & (second < self.span2)
-        at = self.second.find(np.where(known, context * self.span2 + second, 0))
-        at = np.where(known, at, -1)
+        at = self._successors(self.begin2, self.second, heads, second)
+        below = self._successors(self.begin3, self.third, at[parent], third)
         code = lambda codes, where: np.where(where >= 0, codes[where] if len(codes) else 0, 0).astype(np.uint16)
-        above = at[parent]
-        known = (above >= 0) & (third < self.span3)
-        below = np.where(known, self.third.find(np.where(known, above * self.span3 + third, 0)), -1)
         return code(self.p2, at), code(self.backoff3, at), code(self.p3, below)
 
 
