@@ -72,6 +72,30 @@ ORACLE = {
             CASE WHEN n = 0 THEN doc_id ELSE coalesce(c, rep) END AS component_id,
             doc_id = CASE WHEN n = 0 THEN doc_id ELSE coalesce(c, rep) END AS kept
         FROM classes LEFT JOIN component ON node = rep""",
+    "op8_suffix_dedup": """
+        WITH bytes AS (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents
+        ), windows AS (
+            SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS w FROM (SELECT doc_id, h, unnest(range(n - 99)) AS i FROM bytes WHERE n >= 100)
+        ), repeated AS (
+            SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY md5(w) ORDER BY doc_id, i) > 1
+        ), steps AS (
+            SELECT doc_id, i, lead(i) OVER own AS after, lag(i) OVER own AS before
+            FROM repeated WINDOW own AS (PARTITION BY doc_id ORDER BY i)
+        ), gone AS (
+            SELECT doc_id, sum(least(100, coalesce(after - i, 100))) AS n_removed,
+                count(*) FILTER (WHERE before IS NULL OR i > before + 100) AS n_spans
+            FROM steps GROUP BY 1
+        ), pieces AS (
+            SELECT doc_id, i, substr(h, 2 * coalesce(before + 100, 0) + 1, 2 * (i - coalesce(before + 100, 0))) AS piece
+            FROM steps JOIN bytes USING (doc_id) WHERE i > coalesce(before + 100, 0)
+            UNION ALL SELECT doc_id, n, substr(h, 2 * (i + 100) + 1) FROM steps JOIN bytes USING (doc_id) WHERE after IS NULL
+        ), kept AS (
+            SELECT doc_id, string_agg(piece, '' ORDER BY i) AS k FROM pieces GROUP BY 1
+        )
+        SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+            sha256(unhex(CASE WHEN n_removed IS NULL THEN h ELSE coalesce(k, '') END)) AS kept_sha256
+        FROM bytes LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)""",
     "op10_substring_dedup": f"""
         WITH words AS (SELECT doc_id, {WORDS} AS w FROM documents
         ), windows AS (

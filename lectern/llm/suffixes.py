@@ -4,9 +4,10 @@ Only suffixes that can start a match are indexed. Every window of `length` bytes
 least hash among its runs of ANCHOR bytes; equal windows have equal anchors at equal offsets, so
 windows whose anchor occurs once in the corpus are unique and never leave their chunk. The others go
 to the shard of their anchor, several windows with one anchor as one stretch of bytes, equal stretches
-of a chunk once. A shard takes in the stretches batch by batch: each batch gets an array of its suffixes,
-ordered by a fingerprint of the first `length` bytes of each, and levels of like size are merged, so
-there are logarithmically many.
+of a chunk once. A shard takes in the stretches batch by batch, in the order of the texts: each batch gets an array of
+its suffixes, ordered by a fingerprint of the first `length` bytes of each, and is merge-scanned against the levels
+before it. What a level has already, byte by byte, is a repeat; the others are added, and levels of like size are
+merged, so there are logarithmically many.
 """
 
 import hashlib
@@ -22,6 +23,7 @@ from lectern.llm.common import joined, pack, pack_sorted, parted, unpack, unpack
 ANCHOR = 32
 BLOCK = 1 << 19
 RANGE = 200_000  # Windows of a shard looked at together.
+BATCH = 32_768  # Windows of a batch of the family.
 TABLE = np.random.default_rng(11).integers(0, 1 << 64, 256, dtype=np.uint64)
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 
@@ -157,43 +159,77 @@ def _stretch_question(length: int, shards: int):
 
 
 class LevelFamily:
-    """Sorted arrays of (suffix key, rank of its first occurrence); like sizes are merged as they come."""
+    """Sorted arrays of (fingerprint of a suffix, its place in the text); like sizes are merged as they come.
 
-    def __init__(self):
+    `text` is what all suffixes are of, `length` how many of their bytes count. A suffix is known by its bytes: those with
+    one fingerprint and other bytes are kept side by side.
+    """
+
+    def __init__(self, text: np.ndarray, length: int):
+        self.windows = np.lib.stride_tricks.sliding_window_view(text, length) if len(text) >= length else text[:0, None]
         self.levels: list[tuple[np.ndarray, np.ndarray]] = []
 
-    @staticmethod
-    def _sorted(keys: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _equal(self, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+        out = np.ones(len(one), bool)
+        for low in range(0, len(one), 4096):
+            part = slice(low, low + 4096)
+            out[part] = (self.windows[one[part]] == self.windows[other[part]]).all(axis=1)
+        return out
+
+    def _known(self, level: tuple[np.ndarray, np.ndarray], keys: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Which of the suffixes a level has; `keys` rise, as the level's do: one merge."""
+        own, held = level
+        at, end = np.searchsorted(own, keys, "left"), np.searchsorted(own, keys, "right")
+        found = np.zeros(len(keys), bool)
+        open_ = np.flatnonzero(at < end)
+        while len(open_):
+            found[open_] = self._equal(held[at[open_]], places[open_])
+            at[open_] += 1
+            open_ = open_[~found[open_] & (at[open_] < end[open_])]
+        return found
+
+    def scan(self, keys: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Which suffixes of a batch occur before: in a level, or further ahead in the batch. Then takes the new ones in."""
         order = np.argsort(keys, kind="stable")
-        keys, ranks = keys[order], ranks[order]
-        heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
-        return keys[heads], np.minimum.reduceat(ranks, heads) if len(heads) else ranks
+        ranked, held = keys[order], places[order]
+        repeated = np.zeros(len(keys), bool)
+        for level in self.levels:
+            fresh = np.flatnonzero(~repeated)
+            repeated[fresh] = self._known(level, ranked[fresh], held[fresh])
+        # Among equal fingerprints of the batch the first of each text is new.
+        fresh = np.flatnonzero(~repeated)
+        same = np.flatnonzero(ranked[fresh][1:] == ranked[fresh][:-1]) + 1
+        group = np.cumsum(np.concatenate([[True], ranked[fresh][1:] != ranked[fresh][:-1]])) if len(fresh) else fresh
+        heads = np.searchsorted(group, group[same])
+        equal = self._equal(held[fresh[heads]], held[fresh[same]])
+        repeated[fresh[same[equal]]] = True
+        for i in same[~equal].tolist():  # One fingerprint, other bytes.
+            rivals = [j for j in range(int(np.searchsorted(group, group[i])), i) if not repeated[fresh[j]]]
+            repeated[fresh[i]] = any(self._equal(held[fresh[[j]]], held[fresh[[i]]])[0] for j in rivals)
+        self._add(ranked[~repeated], held[~repeated])
+        out = np.empty(len(keys), bool)
+        out[order] = repeated
+        return out
 
-    def add(self, keys: np.ndarray, ranks: np.ndarray) -> None:
-        self.levels.append(self._sorted(keys, ranks))
+    def _add(self, keys: np.ndarray, places: np.ndarray) -> None:
+        self.levels.append((keys, places))
         while len(self.levels) > 1 and len(self.levels[-2][0]) <= 2 * len(self.levels[-1][0]):
-            (k1, r1), (k2, r2) = self.levels.pop(), self.levels.pop()
-            self.levels.append(self._sorted(np.concatenate([k2, k1]), np.concatenate([r2, r1])))
-
-    def first(self, keys: np.ndarray) -> np.ndarray:
-        """The least rank that any level has for each key."""
-        out = np.full(len(keys), np.iinfo(np.int64).max)
-        for level, ranks in self.levels:
-            if len(level):
-                at = np.minimum(np.searchsorted(level, keys), len(level) - 1)
-                out = np.where(level[at] == keys, np.minimum(out, ranks[at]), out)
-        return out
+            (k1, p1), (k2, p2) = self.levels.pop(), self.levels.pop()
+            keys, places = np.concatenate([k2, k1]), np.concatenate([p2, p1])
+            order = np.argsort(keys, kind="stable")
+            self.levels.append((keys[order], places[order]))
 
 
 def _windows(data: bytes, count: np.ndarray, offset: np.ndarray, anchors: np.ndarray, length: int):
-    """Key of every window of the stretches, one after the other; anchor and offset are part of it."""
+    """(key, stretch, place in it, place in `data`) of every window of the stretches; anchor and offset are part of the key."""
     hashes = run_hashes(np.frombuffer(data, np.uint8), length)
     sizes = count + length - 1
     begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     stretch = np.repeat(np.arange(len(count)), count)
     within = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
     salt = anchors[stretch] * MIX[0] + (offset[stretch] - within).astype(np.uint64)
-    return _mixed(hashes[begin[stretch] + within] + salt), stretch, within
+    place = begin[stretch] + within
+    return _mixed(hashes[place] + salt) if len(place) else place.astype(np.uint64), stretch, within, place
 
 
 def _ranges(anchors: list[np.ndarray], counts: list[np.ndarray]) -> list[tuple[np.uint64, np.uint64]]:
@@ -225,18 +261,25 @@ def _stretch_answer(length: int):
         windows = 0
         # Equal windows have one anchor, so a shard is gone through in ranges of anchors.
         for low, high in _ranges([p[0] for p in parts], [p[1] for p in parts]):
-            family, asked = LevelFamily(), []
+            texts, found, before = [], [], 0
             for part, (anchors, count, offset, _, _, raw) in enumerate(parts):
                 a, b = np.searchsorted(anchors, low), np.searchsorted(anchors, high, side="right")
                 sizes = count + length - 1
                 start, size = int(sizes[:a].sum()), int(sizes[a:b].sum())
-                keys, stretch, within = _windows(raw[start : start + size], count[a:b], offset[a:b], anchors[a:b], length)
-                mine = rank[at[part] + a + stretch] * 65536 + within
-                family.add(keys, mine)
-                asked.append((keys, mine))
-            for own, (keys, mine) in zip(bits, asked, strict=True):
-                own.append(family.first(keys) < mine)
-                windows += len(keys)
+                text = raw[start : start + size]
+                keys, stretch, within, place = _windows(text, count[a:b], offset[a:b], anchors[a:b], length)
+                texts.append(text)
+                found.append((keys, rank[at[part] + a + stretch] * 65536 + within, place + before))
+                before += size
+            keys, ranks, places = (np.concatenate([f[i] for f in found]) for i in range(3))
+            order = np.argsort(ranks, kind="stable")
+            family, repeated = LevelFamily(np.frombuffer(b"".join(texts), np.uint8), length), np.zeros(len(keys), bool)
+            for first in range(0, len(order), BATCH):
+                batch = order[first : first + BATCH]
+                repeated[batch] = family.scan(keys[batch], places[batch])
+            windows += len(keys)
+            for own, mine in zip(bits, np.split(repeated, np.cumsum([len(f[0]) for f in found])[:-1]), strict=True):
+                own.append(mine)
         replies = [pack(np.packbits(np.concatenate(own))) for own in bits]
         return replies, windows, 0
 

@@ -26,7 +26,7 @@ from lectern.llm import (
     toxicity,
     winnowing,
 )
-from lectern.llm.common import id_and_text, pack_sorted, table, unpack_sorted
+from lectern.llm.common import id_and_text, pack, pack_sorted, table, unpack, unpack_sorted
 
 SCHEMA = "doc_id long, text string"
 AWKWARD = [
@@ -132,16 +132,48 @@ def test_bytes_that_start_earlier(documents, rows):
     assert found[9004].n_removed > 2000
 
 
-def test_level_family_merges():
-    family, best, rng = suffixes.LevelFamily(), {}, np.random.default_rng(3)
-    for batch in range(40):
-        keys = rng.integers(0, 500, 100, dtype=np.uint64)
-        ranks = np.arange(100) + 1000 * (40 - batch)
-        family.add(keys, ranks)
-        for k, r in zip(keys.tolist(), ranks.tolist(), strict=True):
-            best[k] = min(r, best.get(k, r))
-    assert len(family.levels) <= 8
-    assert family.first(np.array(list(best), np.uint64)).tolist() == list(best.values())
+def brute_scan(text: bytes, places, length):
+    seen, out = set(), []
+    for p in places:
+        out.append(text[p : p + length] in seen)
+        seen.add(text[p : p + length])
+    return out
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_level_family_scans_and_merges(collide):
+    rng = np.random.default_rng(5)
+    text = rng.integers(97, 100, 4000).astype(np.uint8)
+    raw, length = text.tobytes(), 6
+    family = suffixes.LevelFamily(text, length)
+    places = np.arange(len(text) - length + 1)
+    hashes = suffixes.run_hashes(text, length)
+    keys = hashes % np.uint64(17) if collide else hashes  # Many texts with one fingerprint.
+    found = []
+    for low in range(0, len(places), 100):
+        found += family.scan(keys[low : low + 100], places[low : low + 100]).tolist()
+        assert len(family.levels) <= 10
+    assert found == brute_scan(raw, places.tolist(), length)
+    sizes = [len(k) for k, _ in family.levels]
+    assert all(a > 2 * b for a, b in zip(sizes, sizes[1:], strict=False))
+
+
+def test_without_levels_repeats_between_batches_are_missed(monkeypatch):
+    monkeypatch.setattr(suffixes, "BATCH", 50)
+    rng = np.random.default_rng(1)
+    passage = rng.integers(97, 123, 600).astype(np.uint8).tobytes()
+    blocks = []
+    for number in range(2):
+        text = bytes([48 + number]) * 150 + passage + bytes([50 + number]) * 150
+        chunk = chunks.Chunk(number, np.array([number]), np.array([len(text)]), text)
+        shared = np.packbits(np.ones(len(np.unique(suffixes.stretches(chunk, 100)[2])), bool))
+        blocks += [block for _, block in suffixes._stretch_question(100, 1)(chunk, [{0: pack(shared)}])]
+    repeats = lambda: [int(np.unpackbits(unpack(r)).sum()) for r in suffixes._stretch_answer(100)(blocks)[0]]
+    # Every window of the passage is a repeat in the second text, and none in the first beyond its own padding.
+    with_levels = repeats()
+    monkeypatch.setattr(suffixes.LevelFamily, "_add", lambda *_: None)
+    without = repeats()
+    assert with_levels[1] - with_levels[0] == 501 and without[1] - without[0] < 501
 
 
 def test_probabilities(documents, rows):
@@ -180,7 +212,34 @@ def test_elias_fano():
         coded = ngrams.EliasFano.opened(ngrams.EliasFano.coded(values))
         assert np.array_equal(coded.access(np.arange(n)), values)
         asked = np.concatenate([values, rng.integers(0, 120_000, 300)])
-        assert np.array_equal(coded.successor(asked), np.searchsorted(values, asked))
+        whole = (np.zeros(len(asked), int), np.full(len(asked), n))
+        assert np.array_equal(coded.successor(asked, *whole), np.searchsorted(values, asked))
+        # Within a part of the sequence only.
+        first = rng.integers(0, n + 1, len(asked))
+        last = rng.integers(first, n + 1)
+        expected = [a + np.searchsorted(values[a:b], x) for x, a, b in zip(asked, first, last, strict=True)]
+        assert np.array_equal(coded.successor(asked, first, last), expected)
+
+
+def test_successors_of_a_context():
+    rng = np.random.default_rng(3)
+    grams = sorted({tuple(g) for g in rng.integers(0, 9, (200, 3)).tolist()})
+    pairs = sorted({g[:2] for g in grams} | {(20, 1), (21, 0)})
+    place = {p: i for i, p in enumerate(pairs)}
+    packed = np.array([(a << 32) | b for a, b in pairs], np.uint64)
+    parent, third = np.array([place[g[:2]] for g in grams]), np.array([g[2] for g in grams])
+    ones = lambda x: np.ones(len(x))
+    trie = ngrams.Trie(ngrams.Trie.built(packed, ones(pairs), ones(pairs), parent, third, ones(grams), 1.0, 1.0))
+    # Every pair and word there is, and many that are not.
+    asked = [(a, b) for a in range(23) for b in range(10)]
+    words = [(i, w) for i in range(len(asked)) for w in range(11)]
+    codes = trie.lookup(
+        np.array([(a << 32) | b for a, b in asked], np.uint64), np.array([i for i, _ in words]), np.array([w for _, w in words])
+    )
+    assert [c > 0 for c in codes[0].tolist()] == [p in place for p in asked]
+    assert [c > 0 for c in codes[2].tolist()] == [(*asked[i], w) in set(grams) for i, w in words]
+    # The unary parts are read where they lie: nothing is kept per element.
+    assert sum(x.nbytes for x in (trie.third.ones, trie.third.zeros)) <= 16 * (len(grams) // 16 + 2)
 
 
 PATTERNS = {
