@@ -185,8 +185,10 @@ def disclosing_terms(found: DataFrame, threshold: float = 0.9, min_contexts: int
     texts = found.select("text_key", "terms").join(held.select("text_key").distinct(), "text_key", "left_semi")
     # Copies share a key; one of them is enough.
     texts = texts.groupBy("text_key").agg(F.first("terms").alias("terms"))
-    beside = texts.select("text_key", F.explode("terms").alias("term")).join(corpus, "term").join(held, "text_key")
-    pairs = beside.where("n_term <= most").groupBy("value", "term").agg(
+    beside = texts.select("text_key", F.explode("terms").alias("term")).join(corpus, "term")
+    # Terms too frequent for a value are left out by the join itself.
+    due = (beside["text_key"] == held["text_key"]) & (F.col("n_term") <= F.col("most"))
+    pairs = beside.join(held, due).groupBy("value", "term").agg(
         F.sum("n").alias("n_both"),
         F.count("*").alias("n_texts"),
         F.first("n_value").alias("n_value"),
@@ -236,13 +238,16 @@ def sanitise(documents: DataFrame, threshold: float = 0.9, min_contexts: int = 3
     """`documents` with personal data generalised to its kind ([EMAIL], ...) and disclosing terms removed.
 
     Overlapping spans are taken from the left, the longer of two with one start. All other columns
-    stay as they are, NULL texts too, and every row is kept, repeated ones included.
+    stay as they are, whatever their names, NULL texts too, and every row is kept, repeated ones included. An empty
+    table stays empty.
     """
-    columns = documents.columns
     spans = find_spans(documents.select("doc_id", "text"), threshold, min_contexts)
-    spans = spans.where(F.size("spans") > 0).groupBy("text_key").agg(F.first("spans").alias("_spans"))
-    keyed = documents.withColumn("_key", text_hash(F.coalesce("text", F.lit(""))))
-    joined = keyed.join(spans.withColumnRenamed("text_key", "_key"), "_key", "left")
+    spans = spans.where(F.size("spans") > 0).groupBy("text_key").agg(F.first("spans").alias("spans"))
+    # The given columns stay in a struct, so that none can have a name that is used here.
+    keyed = documents.select(
+        F.struct("*").alias("row"), F.col("text"), text_hash(F.coalesce("text", F.lit(""))).alias("text_key")
+    )
+    joined = keyed.join(spans, "text_key", "left")
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS], F.lit("[TERM]"))
 
     def rewritten(s: Column) -> Column:
@@ -260,8 +265,8 @@ def sanitise(documents: DataFrame, threshold: float = 0.9, min_contexts: int = 3
         rest = F.substring("text", (F.get(s["end"], F.size(s) - 1) + 1).cast("int"), F.char_length("text"))
         return F.concat(F.array_join(parts, ""), rest)
 
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(let(_apart(F.col("_spans")), rewritten))
-    return joined.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in columns])
+    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(let(_apart(F.col("spans")), rewritten))
+    return joined.select(F.col("row").withField("text", text).alias("row")).select("row.*")
 
 
 def span_digest(spans: DataFrame) -> DataFrame:

@@ -34,9 +34,11 @@ def shard(rows: DataFrame, n_shards: int = 8, bundles: int = BUNDLES) -> DataFra
     of these items, at most 2 * `bundles` of them, runs on the driver; rows never go there. A shard's
     load is above the mean by less than the largest item. `slot` numbers a shard's rows from 0 without
     gaps. NULL groups are one group, NULL sizes count 0, an empty table stays empty; rows that are
-    equal in every column get different slots.
+    equal in every column get different slots. Given columns called shard or slot are replaced, all others stay.
     """
-    rows = rows.withColumn("group", F.coalesce("group", F.lit("")))
+    # The given columns stay in a struct, so that none can have a name that is used here.
+    columns = [c for c in rows.columns if c.lower() not in ("shard", "slot")]
+    rows = rows.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.coalesce("group", F.lit("")).alias("group"), "size", "order")
     totals = rows.groupBy("group").agg(F.sum(F.coalesce("size", F.lit(0))).alias("bytes"))
     totals = materialize(totals, "groups")
     whole = totals.agg(F.sum("bytes")).first()[0] or 0
@@ -57,7 +59,7 @@ def shard(rows: DataFrame, n_shards: int = 8, bundles: int = BUNDLES) -> DataFra
     put = rows.withColumn("_bundle", bundle).join(F.broadcast(alone), "group", "left")
     put = put.join(F.broadcast(together), "_bundle", "left")
     put = put.withColumn("shard", F.coalesce("_own", "_shared")).drop("_own", "_shared", "_bundle")
-    return numbered(put, pieces_of_rows(rows, 50_000, 16))
+    return numbered(put, pieces_of_rows(rows, 50_000, 16)).select("row.*", "shard", "slot")
 
 
 def numbered(rows: DataFrame, bins: int) -> DataFrame:

@@ -147,9 +147,10 @@ def compare_with_edits(documents: DataFrame, k: int = 4, window: int = 8) -> Dat
     """Fingerprints of every text, of its edited text, and how alike they and the next document's are.
 
     Takes (doc_id, text); NULL texts count as empty. The edited text has its last floor(n / 2) code points replaced
-    by the first as many of the next document's (all, if it has fewer).
+    by the first as many of the next document's (all, if it has fewer). Every row is kept, repeated ones too; NULL ids
+    come last; an empty table gives no rows; other columns are not looked at.
     """
-    paired = with_next_text(documents)
+    paired = with_next_text(documents.select("doc_id", "text"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(
         F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substring("next_text", F.lit(1), half)
