@@ -12,8 +12,8 @@ PAGE_MARK = r"#([0-9]+),[0-9]+,[0-9]+"
 NAME_MARK = r'"([^"]*)"'
 OPEN_END = -1
 
-# A tree over the buckets of pages, 64 children a node and as high as page numbers can ask for.
-TREE_BITS, TREE_LEVELS = 6, 10
+# A tree over the buckets of pages, 64 children a node.
+TREE_BITS = 6
 
 
 def parse_outline(lines: DataFrame, doc: str = "doc_id", line_no: str = "line_no", line: str = "line") -> DataFrame:
@@ -55,7 +55,15 @@ def section_ranges(markers: DataFrame, doc: str = "doc_id", cfg: JobConfig = DEF
     )
 
 
-def _cover(first: Column, last: Column) -> Column:
+def _levels(last_bucket: int) -> int:
+    """How high the tree has to be for buckets up to `last_bucket`: its top level has 64 nodes at most."""
+    levels = 1
+    while last_bucket >> (TREE_BITS * levels):
+        levels += 1
+    return levels
+
+
+def _cover(first: Column, last: Column, levels: int) -> Column:
     """Nodes (_level, _node) of the tree over buckets that hold first..last, each bucket in one of them.
 
     On every level the nodes that lie inside the range while their parents do not: 126 at most.
@@ -71,10 +79,10 @@ def _cover(first: Column, last: Column) -> Column:
         return F.transform(numbers, lambda n: F.struct(F.lit(level).alias("_level"), n.alias("_node")))
 
     runs = []
-    for level in range(TREE_LEVELS):
+    for level in range(levels):
         start, end = inside(level)
-        parent, parent_end = inside(min(level + 1, TREE_LEVELS - 1))
-        has_parents = (parent < parent_end) & F.lit(level + 1 < TREE_LEVELS)
+        parent, parent_end = inside(min(level + 1, levels - 1))
+        has_parents = (parent < parent_end) & F.lit(level + 1 < levels)
         runs.append(run(level, start, F.when(has_parents, parent * (1 << TREE_BITS)).otherwise(end)))
         runs.append(run(level, F.when(has_parents, parent_end * (1 << TREE_BITS)).otherwise(end), end))
     return F.concat(*runs)
@@ -93,9 +101,11 @@ def slice_sections(
     A range join on (doc, bucket of pages): a section is repeated per bucket it covers and meets the
     pages of those buckets only, so neither a giant document nor a giant section is one group. The
     buckets are those that have pages, found through a tree, so that a stray page number far off
-    costs a section some nodes and not a row per bucket in between.
+    costs a section some nodes and not a row per bucket in between. The tree is as high as the largest page number,
+    looked up first, asks for.
     """
     width = F.lit(cfg.page_bucket)
+    levels = _levels(max(0, pages.agg(F.max(page_no)).first()[0] or 0) // cfg.page_bucket)
     content = pages.select(
         F.col(doc), F.col(page_no).alias("page_no"), F.col(text).alias("text")
     ).withColumn("_bucket", F.floor(F.col("page_no") / width))
@@ -108,11 +118,11 @@ def slice_sections(
         )
         .where(F.col("_end") >= F.col("page_start"))
     )
-    cover = _cover(F.floor(F.col("page_start") / width), F.floor(F.col("_end") / width))
+    cover = _cover(F.floor(F.col("page_start") / width), F.floor(F.col("_end") / width), levels)
     nodes = (
         content.select(doc, "_bucket")
         .distinct()
-        .withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(TREE_LEVELS - 1))))
+        .withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(levels - 1))))
         .withColumn("_node", F.expr(f"shiftright(_bucket, {TREE_BITS} * _level)"))
     )
     return (

@@ -3,9 +3,11 @@
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lectern.session import materialize
 from lectern.sources import snapshots
 
 
@@ -23,23 +25,58 @@ def scan_content(spark: SparkSession, path: str, text: str = "text") -> DataFram
     return spark.read.parquet(path).select(F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
+CSV_OPTIONS = {"header": "false", "mode": "FAILFAST", "escape": '"', "inferSchema": "false"}
+
+
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True
+    spark: SparkSession, path: str, schema: T.StructType | None = None, whole_files: bool = False
 ) -> DataFrame:
     """CSV with every field a string and no header; a row of another width fails the read.
 
-    Quoted line breaks need `multi_line`, which reads each file in one task: land many files, or
-    switch it off for data without line breaks so that large files are split.
+    Quoted fields may have line breaks, and large files are still split (`csv_records`); `whole_files` reads each file in
+    one task instead. A line break inside a field reads as a line feed either way.
     """
-    reader = (
-        spark.read.option("header", False)
-        .option("mode", "FAILFAST")
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("inferSchema", False)
-    )
-    rows = (reader.schema(schema) if schema else reader).csv(path)
-    return rows.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in rows.columns])
+    plain = spark.read.options(**CSV_OPTIONS).option("multiLine", True)
+    rows = (plain.schema(schema) if schema else plain).csv(path)
+    if not whole_files:
+        # The reader above has only looked at the first record, for the number of columns.
+        record = F.from_csv("record", rows.schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), CSV_OPTIONS)
+        rows = csv_records(spark, path).select(record.alias("r")).select("r.*")
+    fields = [F.regexp_replace(F.col(c), "\r\n?", "\n") if whole_files else F.col(c) for c in rows.columns]
+    return rows.select(*[F.coalesce(f, F.lit("")).alias(c) for f, c in zip(fields, rows.columns, strict=True)])
+
+
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """The records of CSV files as (record), line breaks inside quotes included; files are read in splits.
+
+    A line starts inside a field if the quotes before it in its file are odd in number. They are counted per split, summed
+    over the splits of a file (a row for each), and then line by line within a split; a line that starts inside a field
+    goes to the record before, across splits too. Blank lines between records are no records.
+    """
+    lines = spark.read.text(path).select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("no"),
+    )
+    # Lines are numbered as they are read; the table pins the numbers down.
+    lines = materialize(lines.withColumn("quotes", F.length(F.regexp_replace("line", '[^"]', ""))), "lines")
+    splits = lines.groupBy("file", "block").agg(F.sum("quotes").alias("n"))
+    earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    before = splits.select("file", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    above = W.partitionBy("file", "block").orderBy("no").rowsBetween(W.unboundedPreceding, -1)
+    within = lines.withColumn("above", F.coalesce(F.sum("quotes").over(above), F.lit(0)))
+    marked = within.join(before, ["file", "block"]).withColumn("inside", (F.col("before") + F.col("above")) % 2 == 1)
+    # The line that a record starts with stands for it; lines that continue it look back, across splits by their last start.
+    marked = marked.where(F.col("inside") | (F.col("line") != ""))
+    start = F.when(~F.col("inside"), F.struct("block", "no"))
+    last = marked.groupBy("file", "block").agg(F.max(start).alias("last"))
+    upto = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    last = last.select("file", "block", F.max("last").over(upto).alias("open"))
+    so_far = W.partitionBy("file", "block").orderBy("no").rowsBetween(W.unboundedPreceding, 0)
+    owned = marked.withColumn("own", F.max(start).over(so_far)).join(last, ["file", "block"])
+    owned = owned.withColumn("own", F.coalesce("own", "open"))
+    parts = F.array_sort(F.collect_list(F.struct("block", "no", "line")))
+    whole = owned.groupBy("file", "own").agg(parts.alias("parts"))
+    return whole.select(F.array_join(F.transform("parts", lambda p: p["line"]), "\n").alias("record"))
 
 
 def file_manifest(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:

@@ -1,7 +1,10 @@
 """Sources, sinks and scratch space."""
 
+import csv
 import json
 import os
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -22,6 +25,27 @@ def test_csv_refuses_ragged_rows(spark, tmp_path):
         readers.read_csv(spark, str(tmp_path)).collect()
 
 
+def test_csv_is_split_inside_quoted_fields(spark, tmp_path):
+    rng = random.Random(8)
+    field = lambda: "".join(rng.choices(['a', 'é', '"', ',', "\n", "\r\n", "\n\n", " "], k=rng.randrange(0, 40)))
+    expected = []
+    for name in ("a", "b"):
+        rows = [[f"{name}{i}", field(), field() * (50 if i == 7 else 1), "end"] for i in range(400)]
+        with open(tmp_path / f"{name}.csv", "w", newline="") as out:
+            writer = csv.writer(out, quoting=csv.QUOTE_ALL if name == "a" else csv.QUOTE_MINIMAL, lineterminator="\n")
+            writer.writerows(rows)
+        expected += [tuple(f.replace("\r\n", "\n") for f in row) for row in rows]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 1500)
+    try:
+        split = readers.read_csv(spark, str(tmp_path))
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 10
+        found = Counter(map(tuple, split.collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == Counter(expected)
+    assert found == Counter(map(tuple, readers.read_csv(spark, str(tmp_path), whole_files=True).collect()))
+
+
 def test_content_scan(spark, tmp_path):
     spark.createDataFrame([("a", 1), (None, 2)], "text string, x int").write.parquet(str(tmp_path / "t"))
     assert sorted(r["text"] for r in readers.scan_content(spark, str(tmp_path / "t")).collect()) == ["", "a"]
