@@ -89,7 +89,7 @@ def chunked(documents: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     return spark.table(name)
 
 
-def _open(batches, more: bool) -> Iterator[tuple[Chunk, dict[int, bytes]]]:
+def open_chunks(batches) -> Iterator[tuple[Chunk, dict[int, bytes]]]:
     for batch in batches:
         for i in range(batch.num_rows):
             get = lambda name, i=i, batch=batch: batch.column(batch.schema.get_field_index(name))[i].as_py()
@@ -117,7 +117,7 @@ def ask(chunks: DataFrame, question: Callable, answer: Callable, label: str) ->
     """
 
     def send(batches):
-        for chunk, replies in _open(batches, True):
+        for chunk, replies in open_chunks(batches):
             for shard, block in question(chunk, replies):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([shard], pa.int32()), pa.array([chunk.number], pa.int64()), pa.array([block], pa.binary())],
@@ -145,11 +145,12 @@ def ask(chunks: DataFrame, question: Callable, answer: Callable, label: str) ->
 
 
 def finish(chunks: DataFrame, work: Callable, schema: str) -> DataFrame:
-    """work(chunk, replies) -> record batch, for every chunk."""
+    """work(chunk, replies) -> record batch, or None for no rows, for every chunk."""
 
     def run(batches):
-        for chunk, replies in _open(batches, True):
-            yield work(chunk, replies)
+        for chunk, replies in open_chunks(batches):
+            if (done := work(chunk, replies)) is not None:
+                yield done
 
     return chunks.mapInArrow(run, schema)
 

@@ -1,4 +1,9 @@
-"""Substring dedup: a de Bruijn graph of word k-mers, compacted into repeated paths."""
+"""Substring dedup: a de Bruijn graph of word k-mers, compacted into repeated paths.
+
+Runs of k words are the edges. An edge that an earlier document has as well knows that document's place, and edges that
+follow each other both here and there make a path. Equal paths are compacted into one by joins, each distinct path is
+compared, words and all, with the place it came from, and only what is the same there is removed.
+"""
 
 import hashlib
 from collections import defaultdict
@@ -9,13 +14,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.chunks import Chunk, ask, by_shard, chunked, finish, shard_count, with_replies
+from lectern.llm.chunks import Chunk, ask, by_shard, chunked, finish, open_chunks, shard_count, with_replies
 from lectern.llm.common import joined, pack, pack_sorted, parted, unpack, unpack_sorted
 from lectern.llm.graph import components
 from lectern.session import materialize
 
 SPAN = "array<struct<start: bigint, length: bigint, source: bigint, path: bigint>>"
 
+# Where a path comes from: a chunk, a document of it and a word of that.
+PLACE = ("source_chunk", "source_doc", "source_at")
+
 
 def _word_hashes(chunk: Chunk) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
     """Words of each document, the hashes of all words in a row, and where each document ends."""
@@ -47,162 +55,263 @@ def edges_of(hashes: np.ndarray, ends: np.ndarray, k: int) -> tuple[np.ndarray,
     return out[inside], place[inside], document[inside]
 
 
-def _distinct(chunk: Chunk, k: int):
+def _distinct(chunk: Chunk, k: int, bits: int):
     words, hashes, ends = _word_hashes(chunk)
     edges, place, document = edges_of(hashes, ends, k)
+    edges >>= np.uint64(64 - bits)
     order = np.argsort(edges, kind="stable")
     ranked = edges[order]
     new = np.ones(len(ranked), bool)
     new[1:] = ranked[1:] != ranked[:-1]
-    return words, ends, place, document, order, new, ranked[new], document[order][new]
+    return words, ends, place, document, order, new, ranked[new], document[order][new], place[order][new]
+
 
+def _starts(ends: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], ends[:-1]]) if len(ends) else ends
 
-def _edge_question(k: int, shards: int):
+
+def _edge_question(k: int, bits: int, shards: int):
     def question(chunk: Chunk, _):
-        *_, keys, first = _distinct(chunk, k)
+        *_, keys, first, place = distinct = _distinct(chunk, k, bits)
+        at = place - _starts(distinct[1])[first]
         low, high = by_shard(keys, shards)
-        ids = pack_sorted(chunk.ids.astype(np.uint64) ^ np.uint64(1 << 63))
+        ids, number = pack_sorted(chunk.ids.astype(np.uint64) ^ np.uint64(1 << 63)), pack(np.array([chunk.number]))
         for shard, (a, b) in enumerate(zip(low.tolist(), high.tolist(), strict=True)):
             if b > a:
-                parts = (ids, pack_sorted(keys[a:b]), pack(first[a:b].astype(np.uint16)))
+                parts = (number, ids, pack_sorted(keys[a:b]), pack(first[a:b].astype(np.uint16)), pack(at[a:b].astype(np.uint32)))
                 yield shard, joined(*parts)
 
     return question
 
 
 def _edge_answer(blocks: list[bytes]):
-    """For each edge asked about: its first document, if that is before the asking chunk's first."""
-    keys, firsts = [], []
+    """For each edge asked about its first document, by id, and the place there, if that is before the asking chunk's first."""
+    keys, columns = [], []
     for block in blocks:
-        ids, own, first = parted(block)
+        number, ids, own, first, at = parted(block)
         keys.append(unpack_sorted(own))
-        firsts.append((unpack_sorted(ids) ^ np.uint64(1 << 63)).view(np.int64)[unpack(first)])
-    every, first = np.concatenate(keys), np.concatenate(firsts)
-    order = np.argsort(every, kind="stable")
-    ranked = every[order]
-    heads = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-    least = np.minimum.reduceat(first[order], heads)
+        first = unpack(first).astype(np.int64)
+        doc_ids = (unpack_sorted(ids) ^ np.uint64(1 << 63)).view(np.int64)[first]
+        columns.append((doc_ids, np.repeat(unpack(number), len(first)), first, unpack(at).astype(np.int64)))
+    every, ids = np.concatenate(keys), np.concatenate([c[0] for c in columns])
+    # Blocks come by chunk: of equal ids the first chunk's is the source.
+    order = np.lexsort((ids, every))
+    heads = np.flatnonzero(np.concatenate([[True], every[order][1:] != every[order][:-1]]))
     source = np.empty(len(every), np.int64)
-    source[order] = np.repeat(least, np.diff(np.append(heads, len(ranked))))
+    source[order] = np.repeat(order[heads], np.diff(np.append(heads, len(every))))
+    address = [np.concatenate([c[i] for c in columns]) for i in range(4)]
     replies, at = [], 0
-    for own in firsts:
-        mine = source[at : at + len(own)]
-        at += len(own)
-        earlier = mine < own
-        body = (pack(np.packbits(earlier)), pack(mine[earlier]))
-        replies.append(joined(*body))
-    return replies, len(heads), int((np.diff(np.append(heads, len(ranked))) > 1).sum())
-
-
-def _paths(place, source, repeated, base: int, hashes_of) -> list[tuple]:
-    """Runs of consecutive repeated edges with one source document."""
-    at = place[repeated]
-    if not len(at):
-        return []
-    origin = source[repeated]
-    cut = np.flatnonzero((np.diff(at) != 1) | (np.diff(origin) != 0)) + 1
-    lows, highs = np.concatenate([[0], cut]), np.concatenate([cut, [len(at)]])
-    return [(int(at[a]) - base, int(b - a), int(origin[a]), hashes_of(repeated, a, b)) for a, b in zip(lows, highs, strict=True)]
-
-
-def _finished(k: int, shards: int, with_text: bool):
+    for own in columns:
+        mine = source[at : at + len(own[0])]
+        at += len(own[0])
+        earlier = ids[mine] < own[0]
+        found = [x[mine[earlier]] for x in address]
+        kinds = (np.int64, np.int64, np.uint16, np.uint32)
+        replies.append(joined(pack(np.packbits(earlier)), *(pack(x.astype(t)) for x, t in zip(found, kinds, strict=True))))
+    return replies, len(heads), int((np.diff(np.append(heads, len(every))) > 1).sum())
+
+
+def _occurrences(k: int, bits: int, shards: int):
+    """The paths of every document: consecutive repeated edges that are consecutive at their source as well."""
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
+    names = ["chunk", "doc", "at", "start", "length", "path", "source", *PLACE]
+
     def work(chunk: Chunk, replies):
-        words, ends, place, document, order, new, keys, first = _distinct(chunk, k)
-        source = chunk.ids[first].copy()
+        words, ends, place, document, order, new, keys, first, first_place = _distinct(chunk, k, bits)
+        starts = _starts(ends)
+        # Of every distinct edge: the source's id, chunk, document and word; here, if nowhere before.
+        address = [chunk.ids[first].copy(), np.full(len(keys), chunk.number), first.astype(np.int64), first_place - starts[first]]
         low, high = by_shard(keys, shards)
         for shard, reply in replies[0].items():
-            bits, found = map(unpack, parted(reply))
+            flags, *found = map(unpack, parted(reply))
             a, b = int(low[shard]), int(high[shard])
-            earlier = np.flatnonzero(np.unpackbits(bits, count=b - a)) + a
-            source[earlier] = found
+            earlier = np.flatnonzero(np.unpackbits(flags, count=b - a)) + a
+            for own, some in zip(address, found, strict=True):
+                own[earlier] = some
         # Back from distinct edges to all of them, in reading order.
-        every = np.empty(len(order), np.int64)
-        code = np.empty(len(order), np.uint64)
-        if len(order):
-            which = np.cumsum(new) - 1
-            every[order] = source[which]
-            code[order] = keys[which]
-        repeated = every < chunk.ids[document]
-        bounds = np.searchsorted(document, np.arange(len(words) + 1))
-        starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
-        out = []
-        for d, own in enumerate(words):
-            a, b = int(bounds[d]), int(bounds[d + 1])
-            hits = np.flatnonzero(repeated[a:b])
-            kept, spans, gone = own, [], 0
-            if len(hits):
-                at = place[a:b]
-                cover = np.zeros(len(own) + 1, np.int32)
-                local = at[hits] - starts[d]
-                np.add.at(cover, local, 1)
-                np.add.at(cover, np.minimum(local + k, len(own)), -1)
-                keep = np.cumsum(cover)[: len(own)] == 0
-                kept = [w for w, k_ in zip(own, keep.tolist(), strict=True) if k_]
-                gone = len(own) - len(kept)
-                codes = code[a:b]
-
-                def path(rep, x, y, codes=codes):
-                    return xxhash.xxh64_intdigest(codes[rep[x:y]].tobytes()) - (1 << 63)
-
-                spans = _paths(at, every[a:b], hits, int(starts[d]), path)
-            joined = b" ".join(kept)
-            out.append((len(own), gone, joined.decode(errors="replace") if with_text else hashlib.sha256(joined).hexdigest(), spans))
-        kind = pa.list_(pa.struct([(n, pa.int64()) for n in ("start", "length", "source", "path")]))
-        spans = [[dict(zip(("start", "length", "source", "path"), s, strict=True)) for s in r[3]] for r in out]
-        return pa.RecordBatch.from_arrays(
-            [
-                chunk.out_ids(),
-                pa.array([r[0] for r in out], pa.int64()),
-                pa.array([r[1] for r in out], pa.int64()),
-                pa.array([r[2] for r in out], pa.string()),
-                pa.array(spans, kind),
-            ],
-            ["doc_id", "n_words", "n_removed", "kept", "paths"],
-        )
+        which = np.empty(len(order), np.int64)
+        which[order] = np.cumsum(new) - 1
+        source, from_chunk, from_doc, from_at = (x[which] for x in address)
+        hits = np.flatnonzero(source < chunk.ids[document]) if len(which) else which
+        if not len(hits):
+            return None
+        same = (np.diff(place[hits]) == 1) & (np.diff(document[hits]) == 0) & (np.diff(from_at[hits]) == 1)
+        same &= (np.diff(from_chunk[hits]) == 0) & (np.diff(from_doc[hits]) == 0)
+        heads = np.concatenate([[0], np.flatnonzero(~same) + 1])
+        length = np.diff(np.append(heads, len(hits)))
+        head = hits[heads]
+        doc = document[head]
+        begin = place[head] - starts[doc]
+        own = np.concatenate([[0], np.flatnonzero(np.diff(doc)) + 1])
+        ordinal = np.arange(len(doc)) - np.repeat(own, np.diff(np.append(own, len(doc))))
+        digests = [
+            hashlib.md5(b" ".join(words[d][b : b + n + k - 1])).digest()
+            for d, b, n in zip(doc.tolist(), begin.tolist(), length.tolist(), strict=True)
+        ]
+        columns = (np.full(len(doc), chunk.number), doc, ordinal, begin, length, digests, source[head], from_chunk[head], from_doc[head], from_at[head])
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
     return work
 
 
-def repeated_spans(documents: DataFrame, k: int = 13, with_text: bool = True) -> DataFrame:
+def compact(occurrences: DataFrame, k: int = 13) -> DataFrame:
+    """(path, source place, words, times, source, joined): the distinct repeated paths of the graph.
+
+    Takes the paths of documents (chunk, doc, at, start, length, path, source, source place). Equal ones from one place are one path.
+    Two paths that follow each other without a gap everywhere (the first has one successor and the second one
+    predecessor) are parts of one nonbranching path; `joined` names it by the smallest number of its paths. The joins
+    go over paths, not over words.
+    """
+    nodes = occurrences.groupBy("path", *PLACE).agg(
+        (F.max("length") + k - 1).alias("words"), F.count("*").alias("times"), F.min("source").alias("source")
+    )
+    nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "paths")
+    placed = occurrences.join(nodes.select("path", *PLACE, "node"), ["path", *PLACE])
+    placed = materialize(placed.select("chunk", "doc", "at", "start", "length", "node"), "placed")
+    after = placed.select("chunk", "doc", (F.col("at") - 1).alias("at"), F.col("node").alias("next"), F.col("start").alias("begin"))
+    follows = placed.join(after, ["chunk", "doc", "at"]).where(F.col("start") + F.col("length") == F.col("begin"))
+    follows = materialize(follows.groupBy("node", "next").agg(F.count("*").alias("times")), "follows")
+    single = follows.groupBy("node").agg(F.count("*").alias("n"), F.first("next").alias("next")).where("n = 1")
+    alone = follows.groupBy("next").agg(F.count("*").alias("m")).where("m = 1").select("next")
+    labels = components(single.join(alone, "next").select(F.col("node").alias("a"), F.col("next").alias("b")))
+    labels = labels.select("node", F.col("component").alias("joined"))
+    return nodes.join(labels, "node", "left").withColumn("joined", F.coalesce("joined", "node"))
+
+
+def _packed(columns: tuple[str, ...], key: str, to: str):
+    """A row per group: its columns as one block, in the order given."""
+
+    def run(group: pa.Table) -> pa.Table:
+        blocks = []
+        for c in columns:
+            column = group.column(c)
+            if pa.types.is_binary(column.type):
+                blocks.append(pack(np.frombuffer(b"".join(column.to_pylist()), np.uint8)))
+            else:
+                blocks.append(pack(column.to_numpy()))
+        return pa.table({key: group.column(key)[:1], to: pa.array([joined(*blocks)], pa.binary())})
+
+    return run
+
+
+def _opened(batches, column: str):
+    """(chunk, arrays of the block in `column`, or None) of chunks joined to blocks."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            one = batch.slice(i, 1)
+            block = one.column(one.schema.get_field_index(column))[0].as_py()
+            chunk, _ = next(open_chunks([one]))
+            yield chunk, None if block is None else list(map(unpack, parted(block)))
+
+
+def verified(chunks: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, same): whether the words of each path are those of the place it comes from, read there."""
+    columns = ("node", "path", "source_doc", "source_at", "words")
+    asked = nodes.select(F.col("source_chunk").alias("chunk"), *columns)
+    asked = asked.groupBy("chunk").applyInArrow(_packed(columns, "chunk", "asked"), "chunk long, asked binary")
+
+    def run(batches):
+        for chunk, (node, path, doc, at, size) in _opened(batches, "asked"):
+            digests, words, same = path.tobytes(), {}, []
+            for i, (d, a, n) in enumerate(zip(doc.tolist(), at.tolist(), size.tolist(), strict=True)):
+                if d not in words:
+                    words[d] = chunk.data[int(chunk.starts[d]) : int(chunk.ends[d])].split()
+                same.append(hashlib.md5(b" ".join(words[d][a : a + n])).digest() == digests[16 * i : 16 * i + 16])
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(same, pa.bool_())], ["node", "same"])
+
+    return chunks.join(asked.hint("shuffle_hash"), "chunk").mapInArrow(run, "node long, same boolean")
+
+
+def _exact_edges(chunks: DataFrame, wrong: DataFrame, k: int) -> DataFrame:
+    """(chunk, doc, start) of the edges of `wrong` paths (chunk, doc, start, length) that an earlier document really has.
+
+    For paths whose words are not those of their place, which takes two runs of words with one 64-bit hash. All edges of
+    the corpus go by a digest of their words; none of this runs while no hash collides.
+    """
+
+    def edges(batches):
+        for chunk, _ in open_chunks(batches):
+            for d, text in enumerate(chunk.texts()):
+                words = text.split()
+                count = max(0, len(words) - k + 1)
+                digests = [hashlib.md5(b" ".join(words[i : i + k])).digest() for i in range(count)]
+                columns = [np.full(count, chunk.number), np.full(count, d), np.arange(count), np.full(count, chunk.ids[d])]
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
+                arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([*arrays, pa.array(digests, pa.binary())], ["chunk", "doc", "start", "id", "edge"])
+
+    every = materialize(chunks.mapInArrow(edges, "chunk long, doc int, start long, id long, edge binary"), "edges")
+    first = every.groupBy("edge").agg(F.min("id").alias("first"))
+    starts = F.explode(F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)).alias("start")
+    asked = wrong.select("chunk", "doc", starts).distinct()
+    return every.join(asked, ["chunk", "doc", "start"]).join(first, "edge").where("first < id").select("chunk", "doc", "start", "first")
+
+
+def _finished(k: int, with_text: bool):
+    def run(batches):
+        for chunk, found in _opened(batches, "spans"):
+            own = defaultdict(list)
+            if found is not None:
+                for span in sorted(zip(*(x.tolist() for x in found), strict=True)):
+                    own[span[0]].append(span[1:])
+            out = []
+            for d, text in enumerate(chunk.texts()):
+                words = text.split()
+                kept, gone = words, 0
+                if own[d]:
+                    cover = np.zeros(len(words) + 1, np.int32)
+                    for start, length, *_ in own[d]:
+                        cover[start] += 1
+                        cover[start + length + k - 1] -= 1
+                    keep = np.cumsum(cover)[: len(words)] == 0
+                    kept = [w for w, k_ in zip(words, keep.tolist(), strict=True) if k_]
+                    gone = len(words) - len(kept)
+                left = b" ".join(kept)
+                out.append((len(words), gone, left.decode(errors="replace") if with_text else hashlib.sha256(left).hexdigest(), own[d]))
+            kind = pa.list_(pa.struct([(n, pa.int64()) for n in ("start", "length", "source", "path")]))
+            spans = [[dict(zip(("start", "length", "source", "path"), s, strict=True)) for s in r[3]] for r in out]
+            kinds = (pa.int64(), pa.int64(), pa.string())
+            columns = [pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)]
+            names = ["doc_id", "n_words", "n_removed", "kept", "paths"]
+            yield pa.RecordBatch.from_arrays([chunk.out_ids(), *columns, pa.array(spans, kind)], names)
+
+    return run
+
+
+def path_occurrences(chunks: DataFrame, k: int = 13, hash_bits: int = 64) -> DataFrame:
+    """The paths of all documents of a table of chunks, as `compact` takes them: found by hashes, not compared yet."""
+    shards = shard_count(chunks)
+    replies = ask(chunks, _edge_question(k, hash_bits, shards), _edge_answer, "edges")
+    schema = "chunk long, doc int, at int, start long, length long, path binary, source long, source_chunk long, source_doc int, source_at long"
+    return materialize(finish(with_replies(chunks, replies), _occurrences(k, hash_bits, shards), schema), "occurrences")
+
+
+def repeated_spans(documents: DataFrame, k: int = 13, with_text: bool = True, hash_bits: int = 64) -> DataFrame:
     """(doc_id, n_words, n_removed, kept, paths) of (doc_id, text).
 
     Words are what white space separates, as they are. Each run of `k` words of a document is an edge
     of the graph (between its first and its last k - 1 words). An edge that also occurs in a document
-    with a smaller doc_id is repeated; consecutive repeated edges with the same first source document form a
-    path: (start, length in edges, source, path), `path` standing for the words of the path. kept:
-    the words no repeated edge covers, joined by single spaces (their SHA-256, if not `with_text`).
+    with a smaller doc_id is repeated; consecutive repeated edges that are consecutive in the same first source form a
+    path: (start, length in edges, source, path), `path` the number of the nonbranching path in this run (`compact`). kept:
+    the words no path covers, joined by single spaces (their SHA-256, if not `with_text`). Hashes only find paths; the
+    words of each distinct one are compared with those at its source before anything is removed.
     Everything is judged on the input. NULL and blank texts have no words; a NULL doc_id comes after all others
     and is never a source for another NULL; rows with equal ids are not sources of each other.
     Every row is kept; an empty table gives no rows.
     """
     chunks = chunked(documents)
-    shards = shard_count(chunks)
-    replies = ask(chunks, _edge_question(k, shards), _edge_answer, "edges")
+    occurrences = path_occurrences(chunks, k, hash_bits)
+    nodes = materialize(compact(occurrences, k), "compacted")
+    same = materialize(verified(chunks, nodes), "verified")
+    nodes = nodes.select("path", *PLACE, "node", "joined").join(same, "node")
+    paths = occurrences.join(nodes, ["path", *PLACE])
+    spans = paths.where("same").select("chunk", "doc", "start", "length", "source", F.col("joined").alias("path"))
+    if not same.where("NOT same").isEmpty():
+        wrong = materialize(paths.where("NOT same").select("chunk", "doc", "start", "length"), "wrong")
+        exact = _exact_edges(chunks, wrong, k)
+        one, none = F.lit(1).cast("long").alias("length"), F.lit(-1).cast("long").alias("path")
+        spans = spans.unionByName(exact.select("chunk", "doc", "start", one, F.col("first").alias("source"), none))
+    columns = ("doc", "start", "length", "source", "path")
+    blocks = spans.groupBy("chunk").applyInArrow(_packed(columns, "chunk", "spans"), "chunk long, spans binary")
     schema = f"doc_id long, n_words long, n_removed long, kept string, paths {SPAN}"
-    return finish(with_replies(chunks, replies), _finished(k, shards, with_text), schema)
-
-
-def compact(spans: DataFrame, k: int = 13) -> DataFrame:
-    """(path, words, documents, source, joined): the repeated paths of the graph, compacted.
-
-    Takes what `repeated_spans` gives. Paths are what all copies have alike: equal ones are one path, with
-    the smallest source. Two paths that follow each other without a gap everywhere (the first has one
-    successor and the second one predecessor) are parts of one nonbranching path; `joined` names it
-    by the smallest of its paths. The joins go over distinct paths, not over words.
-    """
-    paths = spans.select("doc_id", F.posexplode("paths").alias("at", "p")).select("doc_id", "at", "p.*")
-    paths = materialize(paths, "paths")
-    nodes = paths.groupBy("path").agg(
-        (F.max("length") + k - 1).alias("words"),
-        F.count_distinct("doc_id").alias("documents"),
-        F.min("source").alias("source"),
-    )
-    after = paths.select("doc_id", (F.col("at") - 1).alias("at"), F.col("path").alias("next"), F.col("start").alias("_s"))
-    links = paths.join(after, ["doc_id", "at"]).where(F.col("start") + F.col("length") == F.col("_s"))
-    links = links.select("path", "next").distinct()
-    single = links.groupBy("path").agg(F.count("*").alias("n"), F.first("next").alias("next")).where("n = 1")
-    alone = links.groupBy("next").agg(F.count("*").alias("m")).where("m = 1").select("next")
-    glue = single.join(alone, "next").select("path", "next")
-    labels = components(glue.select(F.col("path").alias("a"), F.col("next").alias("b")))
-    labels = labels.select(F.col("node").alias("path"), F.col("component").alias("joined"))
-    return nodes.join(labels, "path", "left").withColumn("joined", F.coalesce("joined", "path"))
+    return chunks.join(blocks.hint("shuffle_hash"), "chunk", "left").mapInArrow(_finished(k, with_text), schema)

@@ -92,8 +92,10 @@ def test_sorted_blocks():
             assert np.array_equal(unpack_sorted(pack_sorted(values)), values)
 
 
-def test_words_repeated_from_smaller_ids(documents, rows):
-    found = by_id(debruijn.repeated_spans(documents, with_text=False))
+@pytest.mark.parametrize("hash_bits", [64, 6])
+def test_words_repeated_from_smaller_ids(documents, rows, hash_bits):
+    # With six bits nearly every edge has the hash of others, and nothing may be removed or kept for that.
+    found = by_id(debruijn.repeated_spans(documents, with_text=False, hash_bits=hash_bits))
     seen = set()
     for doc_id, text in rows:
         words = text.encode().split()
@@ -108,10 +110,24 @@ def test_words_repeated_from_smaller_ids(documents, rows):
 
 def test_paths_are_compacted(spark):
     words = [f"w{i}" for i in range(60)]
-    texts = [" ".join(words), "a " + " ".join(words), " ".join(words[:30]) + " b c", None]
-    spans = debruijn.repeated_spans(spark.createDataFrame(list(enumerate(texts)), SCHEMA))
-    paths = debruijn.compact(spans).collect()
-    assert {(r.words, r.documents, r.source) for r in paths} == {(60, 1, 0), (30, 1, 0)}
+    texts = [" ".join(words), "a " + " ".join(words), " ".join(words[:30]) + " b c", None, "z " + " ".join(words)]
+    table_of = chunks.chunked(spark.createDataFrame(list(enumerate(texts)), SCHEMA))
+    paths = debruijn.compact(debruijn.path_occurrences(table_of)).collect()
+    assert {(r.words, r.times, r.source, r.source_doc, r.source_at) for r in paths} == {(60, 2, 0, 0, 0), (30, 1, 0, 0, 0)}
+    assert all(r.same for r in debruijn.verified(table_of, spark.createDataFrame(paths)).collect())
+
+
+def test_paths_that_always_follow_each_other_are_joined(spark):
+    one, two, three = ([f"{c}{i}" for i in range(40)] for c in "abc")
+    # The last text has the first three end to end: edges across their borders are new, so three paths with gaps; a
+    # later copy of it has one source throughout.
+    texts = [" ".join(one), " ".join(two), " ".join(three), " ".join(one + two + three), " ".join(one + two + three)]
+    found = by_id(debruijn.repeated_spans(spark.createDataFrame(list(enumerate(texts)), SCHEMA)))
+    assert [(p.start, p.length, p.source) for p in found[3].paths] == [(0, 28, 0), (40, 28, 1), (80, 28, 2)]
+    last = [(p.start, p.length, p.source) for p in found[4].paths]
+    assert last == [(0, 28, 0), (28, 12, 3), (40, 28, 1), (68, 12, 3), (80, 28, 2)]
+    # Paths 1 and 2 of it also stand alone, so nothing joins them; the text is gone as a whole.
+    assert found[4].n_removed == 120 and found[3].n_removed == 120
 
 
 def test_bytes_that_start_earlier(documents, rows):
