@@ -7,10 +7,11 @@ all finished batches into a snapshot with one row per key; `current_status` read
 from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from lectern.operators.state import latest_status
 from lectern.sources import snapshots
-from lectern.streaming.jobs import read_batches
+from lectern.streaming.jobs import read_batches, stream_latest_status, write_batches
 
 
 def _finished(spark: SparkSession, out: str) -> dict[str, list[str]]:
@@ -53,7 +54,9 @@ def compact_status(spark: SparkSession, out: str, key: str, order_by: tuple[str,
 
     The snapshot before and the new batches are read, not the batches it holds already. A stream may go on
     meanwhile: batches that finish later are read beside the snapshot. If the fold dies, the old
-    version stays in force and the log is untouched. Rows of a file are in order of the key.
+    version stays in force and the log is untouched. A key is in one file, in order, with Bloom filters, so that
+    `state.lookup_points` asks it for single ids. A batch that its stream writes again after it was folded has the
+    same rows, as a stream repeats a batch from the same offsets.
     """
     before = snapshots.newest(spark, out)
     fresh = _since(spark, out, before)
@@ -63,7 +66,7 @@ def compact_status(spark: SparkSession, out: str, key: str, order_by: tuple[str,
     if before is not None:
         rows = before.rows(spark).unionByName(rows)
     latest, folder = latest_status(rows, key, order_by), snapshots.draft_folder(out)
-    latest.sortWithinPartitions(key).write.parquet(folder)
+    latest.sortWithinPartitions(key).write.option(f"parquet.bloom.filter.enabled#{key}", True).parquet(folder)
     covered = {q: list(batches) for q, batches in (before.covered if before else {}).items()}
     for q, batches in fresh.items():
         covered[q] = sorted({*covered.get(q, ()), *batches}, key=int)
@@ -85,3 +88,28 @@ def drop_folded(spark: SparkSession, out: str, keep: int = 1) -> int:
                 snapshots.remove(spark, folder)
                 gone += 1
     return gone
+
+
+def stream_current_status(
+    stream: DataFrame,
+    out: str,
+    checkpoint: str,
+    key: str,
+    order_by: tuple[str, ...],
+    fold_every: int = 100,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Latest state per request kept incrementally, its log folded by the stream itself after every `fold_every` batches.
+
+    A fold takes the time of a micro-batch that reads all keys. If another process folds the same log, one of the two is
+    put off to the next time. A fold that fails otherwise ends the stream as a failed batch does; nothing is lost.
+    """
+
+    def fold(spark: SparkSession, batch_id: int) -> None:
+        if (batch_id + 1) % fold_every == 0:
+            try:
+                compact_status(spark, out, key, order_by)
+            except snapshots.SnapshotConflict:
+                return
+
+    return write_batches(stream_latest_status(stream, key, order_by), out, checkpoint, mode="update", every=every, after=fold)

@@ -39,11 +39,13 @@ def write_batches(
     mode: str = "append",
     every: str | None = None,
     checks: str | None = None,
+    after: Callable[[SparkSession, int], None] | None = None,
 ) -> StreamingQuery:
     """Applies a batch transformation to every micro-batch and writes it to its own folder.
 
     Works off what has landed and stops, or runs on with a micro-batch `every` so often. With `checks`, a folder, the
     write of a micro-batch of requests also counts what breaks their contract, and (rule, n) goes to a folder of the batch there.
+    `after` is called with the batch's number when its rows are written; a batch that runs again calls it again.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -56,6 +58,8 @@ def write_batches(
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{out}/{own}")
         if seen is not None:
             observed_violations(spark, seen).coalesce(1).write.mode("overwrite").parquet(f"{checks}/{own}")
+        if after is not None:
+            after(spark, batch_id)
 
     return (
         stream.writeStream.outputMode(mode)

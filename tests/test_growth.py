@@ -147,6 +147,21 @@ def test_a_killed_status_fold_loses_nothing(spark, tmp_path, monkeypatch):
     assert sorted(compaction.current_status(spark, out, "id", order).collect()) == [("a", 2), ("b", 1)]
 
 
+def test_a_stream_folds_its_own_log(spark, tmp_path):
+    folder, out, order = str(tmp_path / "in"), str(tmp_path / "out"), ("created",)
+    for part in range(5):
+        df = spark.createDataFrame([(f"r{i}", 10 * part + i) for i in range(part, part + 3)], "id string, created long")
+        df.coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    compaction.stream_current_status(stream, out, str(tmp_path / "state"), "id", order, fold_every=2).awaitTermination()
+    manifest = snapshots.newest(spark, out)
+    assert manifest.version == 2 and list(manifest.covered.values()) == [["0", "1", "2", "3"]]
+    now = compaction.current_status(spark, out, "id", order)
+    assert same(now, latest_status(spark.read.parquet(folder), "id", order))
+    found = state.lookup_points(now, spark.createDataFrame([("r3",), ("r99",)], "id string"), "id")
+    assert [r.id for r in found.collect()] == ["r3"]
+
+
 # Vocabulary
 
 
