@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import pieces_of_rows, rows_of, text_hash
+from lectern.llm.common import pieces_of_rows, rows_of, slices, text_hash
 from lectern.llm.graph import components
 from lectern.session import materialize
 
@@ -21,6 +21,7 @@ BATCH = 24  # Hashes compared before each decision.
 MISS = 1e-4  # Probability, at each decision, of pruning a pair that is similar enough.
 REMEMBERED = 200_000
 PIECE = 2_000  # Members of a bucket that one task compares with its strangers.
+SENT = 16 << 20  # Bytes of keys that are broadcast to find their texts.
 MEMBERS, STRANGERS, SHINGLES = 1_000, 500, 1_000_000  # About what a tile holds when pairs are verified.
 
 _random = np.random.default_rng(5)
@@ -66,24 +67,23 @@ def _sketch(k: int):
 
     def run(batches):
         known, salt = _Hashes(), np.arange(BANDS, dtype=np.uint64)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                out = []
-                for doc_id, key, text in rows_of([batch.slice(at, 512)], "doc_id", "text_key", "text"):
-                    own = shingles(text or "", k, known)
-                    if not len(own):
-                        out.append((doc_id, key, None, 0, None, None))
-                        continue
-                    least = signature(own)
-                    bands = salt
-                    for row in least.reshape(BANDS, ROWS).T:
-                        bands = (bands ^ row) * MIX
-                        bands = bands ^ (bands >> np.uint64(29))
-                    out.append(
-                        (doc_id, key, hashlib.md5(own.tobytes()).digest(), len(own), bands.view(np.int64), least.astype(np.uint8).tobytes())
-                    )
-                kinds = (pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names)
+        for part in slices(batches, 1):
+            out = []
+            for doc_id, key, text in rows_of([part], "doc_id", "text_key", "text"):
+                own = shingles(text or "", k, known)
+                if not len(own):
+                    out.append((doc_id, key, None, 0, None, None))
+                    continue
+                least = signature(own)
+                bands = salt
+                for row in least.reshape(BANDS, ROWS).T:
+                    bands = (bands ^ row) * MIX
+                    bands = bands ^ (bands >> np.uint64(29))
+                out.append(
+                    (doc_id, key, hashlib.md5(own.tobytes()).digest(), len(own), bands.view(np.int64), least.astype(np.uint8).tobytes())
+                )
+            kinds = (pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names)
 
     return run
 
@@ -133,7 +133,7 @@ def _confirmed(k: int, percent: int):
     def run(batches):
         known = _Hashes()
         last, own = None, None
-        for batch in batches:
+        for batch in slices(batches, 2, rows=128):
             keep = []
             for a, one, other in rows_of([batch], "a", "text_a", "text_b"):
                 if a != last:
@@ -220,11 +220,21 @@ def _confirmed_in_tiles(k: int, percent: int):
     return run
 
 
+def _sent(keys: DataFrame) -> DataFrame:
+    """`keys`, a written table, for broadcast if it is small."""
+    rows = keys.count()
+    return F.broadcast(keys) if rows * 32 * len(keys.columns) <= SENT else keys
+
+
 class _Verifier:
-    """Prunes and verifies candidate pairs of classes."""
+    """Prunes and verifies candidate pairs of classes; `candidates` (node) are all that may be in a pair."""
 
-    def __init__(self, documents: DataFrame, classes: DataFrame, k: int, percent: int):
-        self.documents, self.classes, self.k, self.percent = documents, classes, k, percent
+    def __init__(self, documents: DataFrame, classes: DataFrame, candidates: DataFrame, k: int, percent: int):
+        self.classes, self.k, self.percent = classes, k, percent
+        keys = materialize(classes.select("node", "text_key").join(candidates, "node", "left_semi"), "keys")
+        # Every text once, whatever the rounds ask for; other texts leave their task only if there are very many keys.
+        found = documents.select("text_key", "text").join(_sent(keys), "text_key")
+        self.every_text = materialize(found.groupBy("node").agg(F.first("text").alias("text")), "candidates")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that are similar enough, exactly."""
@@ -248,9 +258,7 @@ class _Verifier:
 
     def texts(self, nodes: DataFrame) -> DataFrame:
         """(node, text) of the classes in `nodes`."""
-        keys = self.classes.select("node", "text_key").join(nodes, "node", "left_semi")
-        texts = self.documents.join(keys, "text_key").groupBy("node").agg(F.first("text").alias("text"))
-        return materialize(texts, "candidates")
+        return materialize(self.every_text.join(_sent(materialize(nodes, "nodes")), "node", "left_semi"), "texts")
 
     def across(self, apart: DataFrame) -> DataFrame:
         """Links (a, b) between the components that buckets still hold, of `apart` as `_mixed` gives it.
@@ -346,7 +354,7 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     members = materialize(bands.join(buckets.select("key", "leader"), "key"), "members")
     stars = members.where("node <> leader").groupBy(F.col("leader").alias("a"), F.col("node").alias("b"))
     stars = materialize(stars.agg(F.count("*").alias("shared")), "stars")
-    verifier = _Verifier(keyed, classes, k, percent)
+    verifier = _Verifier(keyed, classes, members.select("node").distinct(), k, percent)
     # First the leader a class shares most buckets with.
     best = stars.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a")).select("a", "b")
     best = materialize(best, "best")
@@ -381,15 +389,15 @@ def deduplicate(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFram
     found = near_duplicates(documents.select("doc_id", "text"), k, percent)
     found = materialize(found, "near")
     # A component's least row always counts as kept.
-    kept = found.where("kept").groupBy("component", "doc_id", "text_key").agg(F.count("*").alias("_times"))
-    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_times")
-    kept = kept.select("component", row.alias("row"))
-    one = kept.where("component IS NOT NULL").groupBy("component").agg(F.min("row").alias("row"))
-    one = one.unionByName(kept.where("component IS NULL")).select("row.*").drop("none")
-    keyed = documents.withColumn("_own", text_hash(F.col("text")))
-    match = keyed["doc_id"].eqNullSafe(one["_id"]) & (keyed["_own"] == one["_key"])
-    rows = keyed.join(one, match).drop("_id", "_key")
-    if not one.where("_times > 1").isEmpty():
-        again = rows.where("_times > 1").dropDuplicates(["doc_id", "_own"])
-        rows = rows.where("_times = 1").unionByName(again)
-    return rows.select(*[F.col(f"`{c}`") for c in documents.columns])
+    kept = found.where("kept").groupBy("component", "doc_id", "text_key").agg(F.count("*").alias("times"))
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "times")
+    kept = kept.select("component", row.alias("one"))
+    one = kept.where("component IS NOT NULL").groupBy("component").agg(F.min("one").alias("one"))
+    one = one.unionByName(kept.where("component IS NULL")).select("one.*").drop("none")
+    # The given columns stay in a struct, so that none can have a name that is used here.
+    keyed = documents.select(F.struct("*").alias("row"), F.col("doc_id").alias("own_id"), text_hash(F.col("text")).alias("own_key"))
+    rows = keyed.join(one, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_key") == F.col("key")))
+    if not one.where("times > 1").isEmpty():
+        again = rows.where("times > 1").dropDuplicates(["own_id", "own_key"])
+        rows = rows.where("times = 1").unionByName(again)
+    return rows.select("row.*")

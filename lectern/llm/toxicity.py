@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import rows_of
+from lectern.llm.common import rows_of, slices
 from lectern.session import materialize
 
 WORDS = re.compile(r"[^\W\d_]+").findall
@@ -73,9 +73,14 @@ def _bounded_sample(labels: DataFrame, rows_per_class: int) -> tuple[DataFrame,
     return parts[0].unionByName(parts[1]).select("doc_id", "grade"), weights
 
 
+def _with_document(labels: DataFrame, documents: DataFrame) -> DataFrame:
+    """The labels whose id a document has; only ids are shuffled."""
+    return labels.join(documents.select("doc_id"), "doc_id", "left_semi")
+
+
 def _count_features(batches):
     """Per document the features it has, once each."""
-    for batch in batches:
+    for batch in slices(batches, 0):
         grades, found = [], []
         for text, grade in rows_of([batch], "text", "grade"):
             own = set().union(*map(features, set(WORDS((text or "").lower()))), ())
@@ -95,7 +100,7 @@ def choose_features(
     n1, n0 = sizes.get(True, 0), sizes.get(False, 0)
     if not n1 or not n0:
         return []
-    has = sample.mapInArrow(_count_features, "f string, toxic boolean").groupBy("f").agg(
+    has = sample.select("text", "grade").mapInArrow(_count_features, "f string, toxic boolean").groupBy("f").agg(
         F.count_if("toxic").alias("a"), F.count_if(~F.col("toxic")).alias("b")
     )
     a, b = F.col("a") + 0.5, F.col("b") + 0.5
@@ -111,7 +116,7 @@ def _rates(names: list[str]):
     index = {f: i for i, f in enumerate(names)}
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 0):
             out = []
             for text, grade in rows_of([batch], "text", "grade"):
                 words = WORDS((text or "").lower())
@@ -182,7 +187,7 @@ def fit(
     highest counts. NULL ids, NULL grades and ids without a document do not count. Without rows of
     both classes every document gets grade 0.
     """
-    sample, weights = _bounded_sample(labels, rows_per_class)
+    sample, weights = _bounded_sample(_with_document(labels, documents), rows_per_class)
     texts = documents.select(F.col("doc_id"), F.col("text")).join(F.broadcast(sample), "doc_id")
     texts = materialize(texts.withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2))), "labelled")
     halves = [texts.where(F.col("half") == h) for h in (0, 1)]
@@ -190,7 +195,7 @@ def fit(
     # What is only chance in the rows that choose the features looks certain there; rows that did not choose weigh it low.
     for share, choosing, fitting in ((0.5, texts, texts), (0.25, *halves), (0.25, *halves[::-1])):
         names = [f for f, _ in choose_features(choosing, n_features, min_documents)]
-        rows = fitting.mapInArrow(_rates(names), "grade int, at array<int>, rate array<double>").collect() if names else []
+        rows = fitting.select("text", "grade").mapInArrow(_rates(names), "grade int, at array<int>, rate array<double>").collect() if names else []
         if len({r["grade"] > 0 for r in rows}) == 2:
             models.append((share, names, *_fit(rows, weights, len(names), n_grades, steps, ridge)))
     if not models:
@@ -209,7 +214,7 @@ def grade_labels(documents: DataFrame, labels: DataFrame, rows_per_class: int =
     documents of the (bounded) sample mostly is above the median of the toxic documents.
     """
     plain = labels.select("doc_id", F.col("toxic").cast("int").alias("grade"))
-    sample, weights = _bounded_sample(plain, rows_per_class)
+    sample, weights = _bounded_sample(_with_document(plain, documents), rows_per_class)
     texts = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     marked = {f for f, odds in choose_features(texts, 2_000, 5) if odds > 3 and f[0] != "~"}
 
@@ -233,6 +238,28 @@ def grade_labels(documents: DataFrame, labels: DataFrame, rows_per_class: int =
     )
 
 
+def _above(text: str | None, scores: _Scores, model: OrdinalModel) -> list[float]:
+    words = WORDS((text or "").lower())
+    return model.above(100 * math.fsum(map(scores.__getitem__, words)) / max(1, len(words)))
+
+
+def accepted(documents: DataFrame, model: OrdinalModel, threshold: float = 0.5) -> DataFrame:
+    """The rows of `documents` that `score` would not reject, columns as they are, whatever their names.
+
+    Rejected rows end in the task that scores them. NULL and empty texts have no features; an empty table stays empty.
+    """
+    at = documents.columns.index("text")
+
+    def run(batches):
+        scores = _Scores(model)
+        for batch in slices(batches, at):
+            texts = batch.column(at).to_pylist()
+            fine = pa.array([_above(text, scores, model)[0] < threshold for text in texts], pa.bool_())
+            yield batch.filter(fine)
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def score(documents: DataFrame, model: OrdinalModel, threshold: float = 0.5) -> DataFrame:
     """`documents` with expected_severity, p_toxic, grade and rejected.
 
@@ -246,11 +273,10 @@ def score(documents: DataFrame, model: OrdinalModel, threshold: float = 0.5) ->
 
     def run(batches):
         scores = _Scores(model)
-        for batch in batches:
+        for batch in slices(batches, at):
             out = []
             for text in batch.column(at).to_pylist():
-                words = WORDS((text or "").lower())
-                above = model.above(100 * math.fsum(map(scores.__getitem__, words)) / max(1, len(words)))
+                above = _above(text, scores, model)
                 edges = [1.0, *above, 0.0]
                 likely = max(range(len(edges) - 1), key=lambda k: (edges[k] - edges[k + 1], -k))
                 out.append((sum(above), above[0], likely, above[0] >= threshold))
