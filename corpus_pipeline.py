@@ -12,7 +12,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents whose severity is 0 more likely than not; learnt from the labelled ones among them."""
     texts = id_and_text(docs)
     model = toxicity.fit(texts, toxicity.grade_labels(texts, table(spark, sf_dir, "labels")))
-    return toxicity.score(docs, model).where("NOT rejected").select(*docs.columns)
+    return toxicity.accepted(docs, model)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
