@@ -29,13 +29,16 @@ CSV_OPTIONS = {"header": "false", "mode": "FAILFAST", "escape": '"', "inferSchem
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, whole_files: bool = False
+    spark: SparkSession, path: str, schema: T.StructType | None = None, whole_files: bool | None = None
 ) -> DataFrame:
     """CSV with every field a string and no header; a row of another width fails the read.
 
-    Quoted fields may have line breaks, and large files are still split (`csv_records`); `whole_files` reads each file in
-    one task instead. A line break inside a field reads as a line feed either way.
+    Quoted fields may have line breaks, and files larger than a split are still read in splits (`csv_records`); smaller ones
+    are a task each anyway. `whole_files` says which way to go. A line break inside a field reads as a line feed either way.
     """
+    if whole_files is None:
+        largest = file_manifest(spark, path).agg(F.max("size")).first()[0] or 0
+        whole_files = largest <= spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     plain = spark.read.options(**CSV_OPTIONS).option("multiLine", True)
     rows = (plain.schema(schema) if schema else plain).csv(path)
     if not whole_files:

@@ -15,14 +15,16 @@ from lectern.sources import readers, sinks
 
 def test_csv_keeps_every_field_as_text(spark, tmp_path):
     (tmp_path / "a.csv").write_text('id,"na""me",note\n1,"two\nlines",\n2, spaced ,"a,b"\n')
-    rows = sorted(tuple(r) for r in readers.read_csv(spark, str(tmp_path)).collect())
-    assert rows == [("1", "two\nlines", ""), ("2", " spaced ", "a,b"), ("id", 'na"me', "note")]
+    for whole in (None, False, True):
+        rows = sorted(tuple(r) for r in readers.read_csv(spark, str(tmp_path), whole_files=whole).collect())
+        assert rows == [("1", "two\nlines", ""), ("2", " spaced ", "a,b"), ("id", 'na"me', "note")]
 
 
-def test_csv_refuses_ragged_rows(spark, tmp_path):
+@pytest.mark.parametrize("whole", [False, True])
+def test_csv_refuses_ragged_rows(spark, tmp_path, whole):
     (tmp_path / "a.csv").write_text("a,b\n1\n")
     with pytest.raises(Exception, match="MALFORMED"):
-        readers.read_csv(spark, str(tmp_path)).collect()
+        readers.read_csv(spark, str(tmp_path), whole_files=whole).collect()
 
 
 def test_csv_is_split_inside_quoted_fields(spark, tmp_path):
