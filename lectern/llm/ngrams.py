@@ -33,14 +33,22 @@ _SET = np.unpackbits(_BYTES[:, None], axis=1, bitorder="little")
 _PLACE = np.array([np.pad(np.flatnonzero(bits), (0, 8 - int(bits.sum()))) for bits in _SET], np.uint8)
 
 
+_EACH = np.uint64(0x0101010101010101)
+_TOP = np.uint64(0x8080808080808080)
+
+
 def _bit_with_rank(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """Place of the set bit that has `rank` set bits below it in each 64-bit word."""
-    parts = np.ascontiguousarray(words)[:, None].view(np.uint8)
-    reached = np.cumsum(np.bitwise_count(parts), axis=1, dtype=np.int64)
-    at = (reached <= rank[:, None]).sum(axis=1)
-    row = np.arange(len(words))
-    below = np.where(at > 0, reached[row, at - 1], 0)
-    return 8 * at + _PLACE[parts[row, at], rank - below]
+    rank = rank.astype(np.uint64)
+    # In every byte of `reached`: the bits set up to it and in it.
+    reached = words - ((words >> np.uint64(1)) & np.uint64(0x5555555555555555))
+    reached = (reached & np.uint64(0x3333333333333333)) + ((reached >> np.uint64(2)) & np.uint64(0x3333333333333333))
+    reached = ((reached + (reached >> np.uint64(4))) & np.uint64(0x0F0F0F0F0F0F0F0F)) * _EACH
+    # The bytes that do not reach the rank are those before the one with the bit.
+    shift = np.bitwise_count(((rank * _EACH | _TOP) - reached) & _TOP).astype(np.uint64) << np.uint64(3)
+    below = ((reached << np.uint64(8)) >> shift) & np.uint64(255)
+    byte = (words >> shift) & np.uint64(255)
+    return shift.astype(np.int64) + _PLACE[byte.astype(np.int64), (rank - below).astype(np.int64)]
 
 
 class EliasFano:
@@ -53,25 +61,26 @@ class EliasFano:
         self.n, self.low_bits = n, low_bits
         # Eight bytes from every byte on, without a copy.
         self.lows = np.ndarray(len(lows) - 7, "<u8", lows.data, strides=(1,))
-        self.words = highs.view("<u8")
+        self.words = highs[:-8].view("<u8")
+        self.highs = np.ndarray(len(highs) - 7, "<u8", highs.data, strides=(1,))
         ones = np.concatenate([[0], np.cumsum(np.bitwise_count(self.words), dtype=np.int64)])
         self.ones, self.zeros = ones, 64 * np.arange(len(ones)) - ones
         self.top = int(self.access(np.array([n - 1]))[0]) >> low_bits if n else -1
 
     @staticmethod
     def coded(values: np.ndarray) -> list[np.ndarray]:
-        """(n, low_bits), lows, highs as bytes; lows have eight bytes more than needed, highs are whole words."""
+        """(n, low_bits), lows, highs as bytes; both have eight bytes more than needed, highs are whole words."""
         n, top = len(values), int(values[-1]) if len(values) else 0
         low_bits = min(56, max(0, (top // max(1, n)).bit_length() - 1))
         values = values.astype(np.uint64)
         low = values & np.uint64((1 << low_bits) - 1)
         plane = ((low[:, None] >> np.arange(low_bits, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8)
-        lows = np.concatenate([np.packbits(plane.reshape(-1), bitorder="little"), np.zeros(8, np.uint8)])
+        packed = lambda bits: np.concatenate([np.packbits(bits, bitorder="little"), np.zeros(8, np.uint8)])
         high = (values >> np.uint64(low_bits)).astype(np.int64)
         size = n + (int(high[-1]) if n else 0) + 1
         unary = np.zeros(size + -size % 64, np.uint8)
         unary[high + np.arange(n)] = 1
-        return [np.array([n, low_bits], np.int64).view(np.uint8), lows, np.packbits(unary, bitorder="little")]
+        return [np.array([n, low_bits], np.int64).view(np.uint8), packed(plane.reshape(-1)), packed(unary)]
 
     @classmethod
     def opened(cls, parts: list[np.ndarray]) -> "EliasFano":
@@ -95,32 +104,47 @@ class EliasFano:
         place = 64 * word + _bit_with_rank(~self.words[word], rank - self.zeros[word])
         return np.where(upper <= 0, 0, np.where(upper > self.top, self.n, place - rank))
 
-    def successor(self, values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """Place of the first element of first .. last - 1 that is not below each value; `last` if there is none.
-
-        A search by the low bits among those of that range with the value's upper part.
-        """
-        upper = values >> self.low_bits
-        low = np.clip(self.begin(upper), first, last)
-        high = np.clip(self.begin(upper + 1), first, last)
-        wanted = values & ((1 << self.low_bits) - 1)
+    def _bucket(self, upper: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the elements with each upper part begin and end: a search, and the ones in a row from there."""
+        begin = self.begin(upper)
+        place = np.minimum(begin + np.minimum(upper, self.top + 1), 8 * (len(self.highs) - 1))
+        window = self.highs[place >> 3] >> (place & 7).astype(np.uint64)
+        ones = np.bitwise_count((window ^ (window + np.uint64(1))) >> np.uint64(1)).astype(np.int64)
+        end = np.where(upper > self.top, self.n, begin + ones)
+        long = np.flatnonzero((ones >= 56) & (upper <= self.top))
+        end[long] = self.begin(upper[long] + 1)
+        return begin, end
+
+    def _search(self, values: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place of the first element of first .. last - 1 that is not below each value, end of its bucket there)."""
+        begin, end = self._bucket(values >> self.low_bits)
+        low, end = np.clip(begin, first, last), np.clip(end, first, last)
+        high, wanted = end.copy(), values & ((1 << self.low_bits) - 1)
         while True:
             open_ = np.flatnonzero(low < high)
             if not len(open_):
-                return low
+                return low, end
             middle = (low[open_] + high[open_]) >> 1
             below = self.low(middle) < wanted[open_]
             low[open_[below]] = middle[below] + 1
             high[open_[~below]] = middle[~below]
 
+    def successor(self, values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Place of the first element of first .. last - 1 that is not below each value; `last` if there is none.
+
+        A search by the low bits among those of that range with the value's upper part.
+        """
+        return self._search(values, first, last)[0] if self.n else last.copy()
+
     def find(self, values: np.ndarray, first: np.ndarray | int = 0, last: np.ndarray | None = None) -> np.ndarray:
         """Place of each value among first .. last - 1 (all elements by default), or -1."""
         if not self.n:
             return np.full(len(values), -1)
         first, last = np.broadcast_to(first, values.shape), np.broadcast_to(self.n if last is None else last, values.shape)
-        at = self.successor(values, first, last)
-        there = np.minimum(at, self.n - 1)
-        return np.where((at < last) & (self.access(there) == values), at, -1)
+        at, end = self._search(values, first, last)
+        # Up to the end of the bucket all have the value's upper part.
+        same = self.low(np.minimum(at, self.n - 1)) == (values & ((1 << self.low_bits) - 1))
+        return np.where((at < end) & same, at, -1)
 
 
 def quantised(p: np.ndarray) -> np.ndarray:
@@ -183,9 +207,13 @@ class Trie:
         known = np.flatnonzero(context >= 0)
         if not len(known) or not level.n:
             return out
-        first, last = begin.access(context[known]), begin.access(context[known] + 1)
+        # Neighbours mostly share their context.
+        own = context[known]
+        heads = np.concatenate([[True], own[1:] != own[:-1]])
+        which, own = np.cumsum(heads) - 1, own[heads]
+        first, last = begin.access(own), begin.access(own + 1)
         base = np.where(first > 0, level.access(np.maximum(first - 1, 0)) + 1, 0)
-        out[known] = level.find(base + word[known], first, last)
+        out[known] = level.find(base[which] + word[known], first[which], last[which])
         return out
 
     def lookup(self, pairs, parent, third):
@@ -350,11 +378,13 @@ def _gram_answer(kappa2: float, kappa3: float):
         )
         mapped = mmap.mmap(-1, len(block))
         mapped.write(block)
-        trie = Trie(mapped)
-        replies = []
-        for pairs, _, _, children, words, _ in parts:
-            codes = trie.lookup(pairs, np.repeat(np.arange(len(pairs)), children), words)
-            replies.append(joined(*map(pack, codes)))
+        # Every pair and triple is looked up once, however many chunks ask about it.
+        p2, backoff3, p3 = Trie(mapped).lookup(every, (keys >> U32).astype(np.int64), (keys & np.uint64((1 << 32) - 1)).astype(np.int64))
+        replies, a, c = [], 0, 0
+        for pairs, *_, words, _ in parts:
+            own, below = where[a : a + len(pairs)], at[c : c + len(words)]
+            a, c = a + len(pairs), c + len(words)
+            replies.append(joined(pack(p2[own]), pack(backoff3[own]), pack(p3[below])))
         return replies, int(seen.sum()), len(block)
 
     return answer
