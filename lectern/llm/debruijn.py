@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from lectern.llm.chunks import Chunk, ask, by_shard, chunked, finish, open_chunks, shard_count, with_replies
 from lectern.llm.common import joined, pack, pack_sorted, parted, unpack, unpack_sorted
-from lectern.llm.graph import components
 from lectern.session import materialize
 
 SPAN = "array<struct<start: bigint, length: bigint, source: bigint, path: bigint>>"
@@ -154,13 +153,36 @@ def _occurrences(k: int, bits: int, shards: int):
     return work
 
 
+def chains(links: DataFrame) -> DataFrame:
+    """(node, first) of all in `links` (node, next), where no node has two next ones or is that of two.
+
+    Every node looks at the one before it, and in each round at what that one looks at: after log n rounds it
+    has the first of its chain. What is not there by then goes round in a circle and gets its least number. Rounds are written tables; a
+    node that has arrived is not joined again, so no first one gathers its chain's rows.
+    """
+    before = links.select(F.col("next").alias("node"), F.col("node").alias("up"))
+    firsts = links.select("node").join(before.select("node"), "node", "left_anti").select("node", F.col("node").alias("up"))
+    here = F.least("node", "up").alias("least")
+    state = before.select("node", "up", here, F.lit(False).alias("there"))
+    state = materialize(state.unionByName(firsts.select("node", "up", here, F.lit(True).alias("there"))), "chains")
+    rounds = max(1, state.count()).bit_length() + 1
+    for _ in range(rounds):
+        going = state.where("NOT there")
+        if going.isEmpty():
+            break
+        above = state.select(F.col("node").alias("up"), F.col("up").alias("top"), F.col("least").alias("low"), F.col("there").alias("done"))
+        moved = going.join(above, "up").select("node", F.col("top").alias("up"), F.least("least", "low").alias("least"), F.col("done").alias("there"))
+        state = materialize(state.where("there").unionByName(moved), "chains")
+    return state.select("node", F.when(F.col("there"), F.col("up")).otherwise(F.col("least")).alias("first"))
+
+
 def compact(occurrences: DataFrame, k: int = 13) -> DataFrame:
     """(path, source place, words, times, source, joined): the distinct repeated paths of the graph.
 
     Takes the paths of documents (chunk, doc, at, start, length, path, source, source place). Equal ones from one place are one path.
     Two paths that follow each other without a gap everywhere (the first has one successor and the second one
-    predecessor) are parts of one nonbranching path; `joined` names it by the smallest number of its paths. The joins
-    go over paths, not over words.
+    predecessor) are parts of one nonbranching path; `joined` names it by its first one's number (the least, where paths
+    follow each other in a circle). The joins go over paths, not over words.
     """
     nodes = occurrences.groupBy("path", *PLACE).agg(
         (F.max("length") + k - 1).alias("words"), F.count("*").alias("times"), F.min("source").alias("source")
@@ -173,8 +195,7 @@ def compact(occurrences: DataFrame, k: int = 13) -> DataFrame:
     follows = materialize(follows.groupBy("node", "next").agg(F.count("*").alias("times")), "follows")
     single = follows.groupBy("node").agg(F.count("*").alias("n"), F.first("next").alias("next")).where("n = 1")
     alone = follows.groupBy("next").agg(F.count("*").alias("m")).where("m = 1").select("next")
-    labels = components(single.join(alone, "next").select(F.col("node").alias("a"), F.col("next").alias("b")))
-    labels = labels.select("node", F.col("component").alias("joined"))
+    labels = chains(single.join(alone, "next").select("node", "next")).select("node", F.col("first").alias("joined"))
     return nodes.join(labels, "node", "left").withColumn("joined", F.coalesce("joined", "node"))
 
 

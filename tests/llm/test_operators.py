@@ -117,6 +117,17 @@ def test_paths_are_compacted(spark):
     assert all(r.same for r in debruijn.verified(table_of, spark.createDataFrame(paths)).collect())
 
 
+def test_long_chains_and_circles(spark):
+    rng = np.random.default_rng(4)
+    numbers = rng.permutation(700).tolist()
+    chain, other, circle, alone = numbers[:500], numbers[500:503], numbers[503:520], numbers[520:522]
+    links = [*zip(chain, chain[1:], strict=False), *zip(other, other[1:], strict=False), *zip(circle, circle[1:] + circle[:1], strict=True), tuple(alone)]
+    found = {r.node: r["first"] for r in debruijn.chains(spark.createDataFrame(links, "node long, next long")).collect()}
+    expected = {n: c[0] for c in (chain, other, alone) for n in c} | {n: min(circle) for n in circle}
+    assert found == expected
+    assert debruijn.chains(spark.createDataFrame([], "node long, next long")).count() == 0
+
+
 def test_paths_that_always_follow_each_other_are_joined(spark):
     one, two, three = ([f"{c}{i}" for i in range(40)] for c in "abc")
     # The last text has the first three end to end: edges across their borders are new, so three paths with gaps; a
