@@ -212,18 +212,15 @@ def find_spans(documents: DataFrame, threshold: float = 0.9, min_contexts: int =
     wanted = materialize(disclosing_terms(found, threshold, min_contexts).select("term").distinct(), "disclosing")
     wanted = F.broadcast(wanted) if wanted.count() <= SENT else wanted
     holders = found.select("text_key", F.explode("terms").alias("term")).join(wanted, "term", "left_semi")
-    holders = materialize(holders.select("text_key").distinct(), "holders")
+    # Of every text its own disclosing terms, so that no other term of it is ever a row.
+    holders = materialize(holders.groupBy("text_key").agg(F.collect_set("term").alias("own")), "holders")
     documents = documents.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("text_key", text_hash(F.col("text")))
-    texts = documents.select("text_key", "text").join(holders, "text_key", "left_semi")
     # Copies share a key; one of them is enough.
-    texts = texts.groupBy("text_key").agg(F.first("text").alias("text"))
-    terms = with_computed(texts, {"terms": matches(F.col("text"), TERM)}).select("text_key", F.explode("terms").alias("t"))
-    terms = terms.select("text_key", F.lower("t.match").alias("term"), "t.start", "t.end")
-    hits = terms.join(wanted, "term", "left_semi").groupBy("text_key").agg(
-        F.collect_list(
-            F.struct("start", F.lit(len(KINDS)).alias("kind"), "end", F.lit("").alias("match"))
-        ).alias("more")
-    )
+    texts = documents.select("text_key", "text").join(holders, "text_key")
+    texts = texts.groupBy("text_key").agg(F.first("text").alias("text"), F.first("own").alias("own"))
+    disclosing = F.filter(matches(F.col("text"), TERM), lambda m: F.array_contains("own", F.lower(m["match"])))
+    span = lambda m: F.struct(m["start"].alias("start"), F.lit(len(KINDS)).alias("kind"), m["end"].alias("end"), F.lit("").alias("match"))
+    hits = texts.select("text_key", F.transform(disclosing, span).alias("more"))
     both = found.select("doc_id", "text_key", "spans").join(hits, "text_key", "left")
     outside = F.filter(
         "more", lambda m: ~F.exists("spans", lambda s: (s["start"] < m["end"]) & (m["start"] < s["end"]))
