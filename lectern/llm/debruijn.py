@@ -130,24 +130,26 @@ def _occurrences(k: int, bits: int, shards: int):
         # Back from distinct edges to all of them, in reading order.
         which = np.empty(len(order), np.int64)
         which[order] = np.cumsum(new) - 1
-        source, from_chunk, from_doc, from_at = (x[which] for x in address)
-        hits = np.flatnonzero(source < chunk.ids[document]) if len(which) else which
+        hits = np.flatnonzero(address[0][which] < chunk.ids[document]) if len(which) else which
         if not len(hits):
             return None
-        same = (np.diff(place[hits]) == 1) & (np.diff(document[hits]) == 0) & (np.diff(from_at[hits]) == 1)
-        same &= (np.diff(from_chunk[hits]) == 0) & (np.diff(from_doc[hits]) == 0)
+        # From here on only what repeated edges need is held.
+        source, from_chunk, from_doc, from_at = (x[which[hits]] for x in address)
+        place, document = place[hits], document[hits]
+        del order, new, keys, first, first_place, address, which
+        same = (np.diff(place) == 1) & (np.diff(document) == 0) & (np.diff(from_at) == 1)
+        same &= (np.diff(from_chunk) == 0) & (np.diff(from_doc) == 0)
         heads = np.concatenate([[0], np.flatnonzero(~same) + 1])
         length = np.diff(np.append(heads, len(hits)))
-        head = hits[heads]
-        doc = document[head]
-        begin = place[head] - starts[doc]
+        doc = document[heads]
+        begin = place[heads] - starts[doc]
         own = np.concatenate([[0], np.flatnonzero(np.diff(doc)) + 1])
         ordinal = np.arange(len(doc)) - np.repeat(own, np.diff(np.append(own, len(doc))))
         digests = [
             hashlib.md5(b" ".join(words[d][b : b + n + k - 1])).digest()
             for d, b, n in zip(doc.tolist(), begin.tolist(), length.tolist(), strict=True)
         ]
-        columns = (np.full(len(doc), chunk.number), doc, ordinal, begin, length, digests, source[head], from_chunk[head], from_doc[head], from_at[head])
+        columns = (np.full(len(doc), chunk.number), doc, ordinal, begin, length, digests, source[heads], from_chunk[heads], from_doc[heads], from_at[heads])
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
     return work
