@@ -1,11 +1,13 @@
 """Streams of several files against the same work as one batch."""
 
 import json
+import shutil
 
 import pytest
 from compare import rows
 from pyspark.sql import functions as F
 
+from __spark_entry__ import oracle_sql, queries
 from lectern.operators.metrics import accepted_counts
 from lectern.operators.state import latest_status
 from lectern.plans.jobs import process_payloads
@@ -36,6 +38,31 @@ def test_latest_status_over_several_batches(spark, history, tmp_path):
     assert rows(folded.columns, folded.collect()) == rows(batch.columns, batch.collect())
 
 
+@pytest.mark.parametrize("parts", [None, 3])
+@pytest.mark.parametrize("glob", ["texts.parquet", "te*.parquet"])
+def test_a_streamed_table_is_a_file_or_a_folder(spark, tmp_path, parts, glob):
+    texts, others = tmp_path / "texts.parquet", tmp_path / "others.parquet"
+    spark.range(20).withColumn("text", F.lit("t")).repartition(parts or 1).write.parquet(str(texts))
+    spark.range(5).write.parquet(str(others))
+    if not parts:
+        (tmp_path / "files").mkdir()
+        for table in (texts, others):
+            shutil.copy(next(table.glob("part-*.parquet")), tmp_path / "files" / table.name)
+    out, folder = str(tmp_path / "out"), str(tmp_path if parts else tmp_path / "files")
+    stream = jobs.stream_table(spark, folder, glob)
+    jobs.write_batches(stream, out, str(tmp_path / "state")).awaitTermination()
+    assert sorted(r["id"] for r in jobs.read_batches(spark, out).where("text = 't'").collect()) == list(range(20))
+
+
+@pytest.mark.parametrize("name", ["stream_latest_status"])
+def test_streams_of_tables_in_several_files(spark, small, sql, tmp_path, name):
+    for table in ("documents", "events"):
+        spark.read.parquet(f"{small}/{table}.parquet").repartition(3).write.parquet(f"{tmp_path}/{table}.parquet")
+    df = queries()[name](spark, str(tmp_path))
+    cursor = sql.execute(oracle_sql()[name])
+    assert rows(df.columns, df.collect()) == rows([d[0] for d in cursor.description], cursor.fetchall())
+
+
 def counter_files(spark, folder, times):
     for at in times:
         df = spark.createDataFrame([(t, 2) for t in at], "t string, n_requests int")
