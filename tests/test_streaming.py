@@ -54,7 +54,7 @@ def test_a_streamed_table_is_a_file_or_a_folder(spark, tmp_path, parts, glob):
     assert sorted(r["id"] for r in jobs.read_batches(spark, out).where("text = 't'").collect()) == list(range(20))
 
 
-@pytest.mark.parametrize("name", ["stream_latest_status"])
+@pytest.mark.parametrize("name", ["stream_route", "stream_accepted_counts", "stream_latest_status"])
 def test_streams_of_tables_in_several_files(spark, small, sql, tmp_path, name):
     for table in ("documents", "events"):
         spark.read.parquet(f"{small}/{table}.parquet").repartition(3).write.parquet(f"{tmp_path}/{table}.parquet")
