@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import pieces_of_rows
+from lectern.llm.common import pieces_of_rows, rows_of, slices
 from lectern.session import materialize
 
 # The separator's text and id in this vocabulary, and the id that ends a document.
@@ -21,6 +21,9 @@ SEPARATOR, SEPARATOR_ID, END_ID = "<|endoftext|>", 50256, 1
 
 DIMENSIONS, BITS = 3, 10
 
+# Texts or ids that a task holds as Python objects at a time.
+SLICE_BYTES = 1 << 20
+
 
 @dataclass(frozen=True)
 class Vocabulary:
@@ -94,8 +97,7 @@ def _tokenised(vocabulary: Vocabulary):
     def run(batches):
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
+            for part in slices([batch], 1, size=SLICE_BYTES):
                 ids = [encode(text or "", vocabulary) for text in part.column(1).to_pylist()]
                 keys = hilbert_key(np.array([project(x) for x in ids]))
                 yield pa.RecordBatch.from_arrays(
@@ -126,26 +128,39 @@ def _running(batches):
         )
 
 
+PIECES = pa.schema(
+    [(c, pa.int64()) for c in ("doc_id", "start", "length", "sequence_id", "offset", "doc_tokens")] + [("ids", pa.binary())]
+)
+
+
 def _pieces(length: int):
+    # What a slice of rows is cut into goes out before the next one is looked at, a long document's pieces in several batches.
+    most = max(1, SLICE_BYTES // (4 * length))
+
     def run(batches):
-        for batch in batches:
+        for part in (part for batch in batches for part in slices([batch], batch.schema.get_field_index("ids"), size=SLICE_BYTES)):
             out = []
-            columns = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("doc_id", "at", "ids"))
-            for doc_id, at, block in zip(*columns, strict=True):
-                ids = np.frombuffer(block, "<u2").astype("<u4")
+            for doc_id, at, block in rows_of([part], "doc_id", "at", "ids"):
+                ids = np.frombuffer(block, "<u2")
                 start = 0
                 while start < len(ids):
                     sequence, offset = divmod(at + start, length)
                     end = min(len(ids), start + length - offset)
-                    out.append((doc_id, start, end - start, sequence, offset, len(ids), ids[start:end].tobytes()))
+                    out.append((doc_id, start, end - start, sequence, offset, len(ids), ids[start:end].astype("<u4").tobytes()))
                     start = end
-            kinds = [pa.int64()] * 6 + [pa.binary()]
-            names = ["doc_id", "start", "length", "sequence_id", "offset", "doc_tokens", "ids"]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names)
+                    if len(out) >= most:
+                        yield _batch(out)
+                        out = []
+            if out:
+                yield _batch(out)
 
     return run
 
 
+def _batch(pieces: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pieces], f.type) for i, f in enumerate(PIECES)], schema=PIECES)
+
+
 def pack(documents: DataFrame, length: int = 2048, vocabulary: Vocabulary | None = None) -> DataFrame:
     """One row per piece: (doc_id, start, length, sequence_id, offset, doc_tokens, ids).
 
@@ -169,7 +184,8 @@ def pack(documents: DataFrame, length: int = 2048, vocabulary: Vocabulary | None
         total += r["n"]
     starts = placed.sparkSession.createDataFrame(starts, "part int, first long")
     at = placed.join(F.broadcast(starts), "part").select("row", (F.col("first") + F.col("before")).alias("at"))
-    located = tokens.select("row", "doc_id", "ids").join(at, "row").select("doc_id", "at", "ids")
+    # The places are narrow; so the ids are neither sorted nor held, only dealt.
+    located = tokens.select("row", "doc_id", "ids").join(at.hint("shuffle_hash"), "row").select("doc_id", "at", "ids")
     return located.mapInArrow(
         _pieces(length),
         "doc_id long, start long, length long, sequence_id long, offset long, doc_tokens long, ids binary",

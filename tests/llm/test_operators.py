@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -398,6 +399,27 @@ def test_near_duplicate_stage_by_brute_force(spark, documents, small):
         assert len(own) == 1 and own[0][0] == least
 
 
+def test_packing_works_on_slices_of_a_batch():
+    # Long and short rows in one batch, which must not be turned into Python objects, or sent on, as a whole.
+    rng, length = np.random.default_rng(3), 64
+    sizes = [1, *rng.integers(1, 6_000, 900).tolist(), 3 * packing.SLICE_BYTES, 5]
+    blocks = [rng.integers(0, 50_000, n).astype("<u2").tobytes() for n in sizes]
+    ends = np.cumsum(sizes)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(sizes)), pa.int64()), pa.array(ends - sizes, pa.int64()), pa.array(blocks, pa.binary())], ["doc_id", "at", "ids"]
+    )
+    out = list(packing._pieces(length)(iter([batch])))
+    assert max(b.nbytes for b in out) <= 2 * packing.SLICE_BYTES
+    pieces = [p for b in out for p in b.to_pylist()]
+    assert all(p["sequence_id"] * length + p["offset"] == ends[p["doc_id"]] - sizes[p["doc_id"]] + p["start"] for p in pieces)
+    assert all(p["offset"] + p["length"] <= length and p["doc_tokens"] == sizes[p["doc_id"]] for p in pieces)
+    whole = defaultdict(bytes)
+    for p in pieces:
+        assert len(whole[p["doc_id"]]) == 4 * p["start"] and len(p["ids"]) == 4 * p["length"]
+        whole[p["doc_id"]] += p["ids"]
+    assert [whole[i] for i in range(len(sizes))] == [np.frombuffer(b, "<u2").astype("<u4").tobytes() for b in blocks]
+
+
 def test_packing(documents, rows):
     pieces = packing.pack(documents).collect()
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
