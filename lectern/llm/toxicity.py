@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -134,14 +135,15 @@ def _rates(names: list[str]):
     return run
 
 
-def _fit(rows, weights, n_features: int, n_grades: int, steps: int, ridge: float):
+def _fit(rows: pa.Table, weights, n_features: int, n_grades: int, steps: int, ridge: float):
     """Maximum likelihood by Adam; thresholds stay ordered as a first cut and positive gaps."""
-    y = np.array([r["grade"] for r in rows])
+    y = rows["grade"].to_numpy()
     w = np.array([weights[g > 0] for g in y], dtype=float)
     w /= w.sum()
-    at = np.array([i for r in rows for i in r["at"]], dtype=np.int64)
-    value = np.array([v for r in rows for v in r["rate"]], dtype=float)
-    row = np.repeat(np.arange(len(rows)), [len(r["at"]) for r in rows])
+    # Numbers of a sparse row as Python objects would take ten times the memory, in the driver.
+    at = pc.list_flatten(rows["at"]).to_numpy().astype(np.int64)
+    value = pc.list_flatten(rows["rate"]).to_numpy()
+    row = np.repeat(np.arange(len(rows)), pc.list_value_length(rows["at"]).to_numpy())
     scale = np.sqrt(np.bincount(at, value**2, n_features) / len(rows)) + 1e-9
     value = value / scale[at]
     beta, raw = np.zeros(n_features), np.zeros(n_grades - 1)
@@ -195,8 +197,10 @@ def fit(
     # What is only chance in the rows that choose the features looks certain there; rows that did not choose weigh it low.
     for share, choosing, fitting in ((0.5, texts, texts), (0.25, *halves), (0.25, *halves[::-1])):
         names = [f for f, _ in choose_features(choosing, n_features, min_documents)]
-        rows = fitting.select("text", "grade").mapInArrow(_rates(names), "grade int, at array<int>, rate array<double>").collect() if names else []
-        if len({r["grade"] > 0 for r in rows}) == 2:
+        if not names:
+            continue
+        rows = fitting.select("text", "grade").mapInArrow(_rates(names), "grade int, at array<int>, rate array<double>").toArrow()
+        if len(np.unique(rows["grade"].to_numpy() > 0)) == 2:
             models.append((share, names, *_fit(rows, weights, len(names), n_grades, steps, ridge)))
     if not models:
         return OrdinalModel({}, tuple(30.0 + k for k in range(n_grades - 1)))

@@ -399,6 +399,17 @@ def test_near_duplicate_stage_by_brute_force(spark, documents, small):
         assert len(own) == 1 and own[0][0] == least
 
 
+def test_the_model_is_fitted_on_arrays_not_on_rows():
+    rows = [(0, [0], [1.0]), (1, [1, 2], [2.0, 0.5]), (0, [], []), (2, [1], [3.0]), (0, [0, 2], [0.5, 0.5])]
+    kinds = (pa.int32(), pa.list_(pa.int32()), pa.list_(pa.float64()))
+    whole = pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["grade", "at", "rate"])
+    # As the tasks send them: in several batches, some of them parts of others.
+    parts = pa.concat_tables([whole.slice(0, 2), whole.slice(2, 0), whole.slice(2, 3)])
+    fits = [toxicity._fit(t, {True: 2.0, False: 1.0}, 3, 3, 50, 1e-4) for t in (whole, parts)]
+    assert (fits[0][0] == fits[1][0]).all() and fits[0][1] == fits[1][1]
+    assert fits[0][0][0] < 0 < fits[0][0][1]
+
+
 def test_packing_works_on_slices_of_a_batch():
     # Long and short rows in one batch, which must not be turned into Python objects, or sent on, as a whole.
     rng, length = np.random.default_rng(3), 64
