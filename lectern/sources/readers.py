@@ -1,7 +1,11 @@
 """Scans."""
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -52,34 +56,86 @@ def read_csv(
 def csv_records(spark: SparkSession, path: str) -> DataFrame:
     """The records of CSV files as (record), line breaks inside quotes included; files are read in splits.
 
-    A line starts inside a field if the quotes before it in its file are odd in number. They are counted per split, summed
-    over the splits of a file (a row for each), and then line by line within a split; a line that starts inside a field
-    goes to the record before, across splits too. Blank lines between records are no records.
+    A line starts inside a field if the quotes before it in its file are odd in number. They are counted per split and summed
+    over the splits of a file (a row for each); with that sum a task puts the lines of a split together as they are read. Only what
+    crosses the ends of splits, a fragment or two of each, is shuffled; the text itself is neither sorted nor written, but
+    read three times. Blank lines between records are no records.
     """
-    lines = spark.read.text(path).select(
-        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("no"),
-    )
-    # Lines are numbered as they are read; the table pins the numbers down.
-    lines = materialize(lines.withColumn("quotes", F.length(F.regexp_replace("line", '[^"]', ""))), "lines")
-    splits = lines.groupBy("file", "block").agg(F.sum("quotes").alias("n"))
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    lines = spark.read.text(path).select(F.col("value").alias("line"), *place)
+    quotes = F.char_length("line") - F.char_length(F.replace("line", F.lit('"'), F.lit("")))
+    counts = lines.groupBy("file", "block").agg(F.sum(quotes).alias("n"))
     earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    before = splits.select("file", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    above = W.partitionBy("file", "block").orderBy("no").rowsBetween(W.unboundedPreceding, -1)
-    within = lines.withColumn("above", F.coalesce(F.sum("quotes").over(above), F.lit(0)))
-    marked = within.join(before, ["file", "block"]).withColumn("inside", (F.col("before") + F.col("above")) % 2 == 1)
-    # The line that a record starts with stands for it; lines that continue it look back, across splits by their last start.
-    marked = marked.where(F.col("inside") | (F.col("line") != ""))
-    start = F.when(~F.col("inside"), F.struct("block", "no"))
-    last = marked.groupBy("file", "block").agg(F.max(start).alias("last"))
-    upto = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    last = last.select("file", "block", F.max("last").over(upto).alias("open"))
-    so_far = W.partitionBy("file", "block").orderBy("no").rowsBetween(W.unboundedPreceding, 0)
-    owned = marked.withColumn("own", F.max(start).over(so_far)).join(last, ["file", "block"])
-    owned = owned.withColumn("own", F.coalesce("own", "open"))
-    parts = F.array_sort(F.collect_list(F.struct("block", "no", "line")))
-    whole = owned.groupBy("file", "own").agg(parts.alias("parts"))
-    return whole.select(F.array_join(F.transform("parts", lambda p: p["line"]), "\n").alias("record"))
+    before = counts.select("file", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    # The numbers given to splits are pinned down by the table.
+    splits = materialize(before.withColumn("split", F.monotonically_increasing_id()), "splits")
+    # A later scan may be cut otherwise, as when executors have come; quotes before a place that is known are the same then.
+    known = F.coalesce("split", F.raise_error(F.lit("The splits of the CSV files have changed, read them again.")).cast("long"))
+    marked = lines.join(F.broadcast(splits), ["file", "block"], "left").select(known.alias("split"), "before", "line")
+    whole = marked.mapInArrow(_records_within, "record string")
+    ends = marked.mapInArrow(_records_across, "split long, opens boolean, part string").join(F.broadcast(splits), "split")
+    so_far = W.partitionBy("file").orderBy("block", "opens").rowsBetween(W.unboundedPreceding, 0)
+    owned = ends.withColumn("own", F.max(F.when(F.col("opens"), F.col("block"))).over(so_far))
+    parts = F.array_sort(F.collect_list(F.struct("block", "opens", "part")))
+    across = owned.groupBy("file", "own").agg(parts.alias("parts"))
+    return whole.unionByName(across.select(F.array_join(F.transform("parts", lambda p: p["part"]), "\n").alias("record")))
+
+
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The records of (split, before, line), lines in order: (split, opens, closes, texts).
+
+    `opens` and `closes` say if the texts, an Arrow array, begin and end in the split; if not, it is one text.
+    """
+    split, quotes, held, opens = None, 0, [], False
+
+    def joined(lines: pa.Array) -> str:
+        return "\n".join(lines.to_pylist())
+
+    for batch in batches:
+        ids, before, lines = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2)
+        counts = pc.count_substring(lines, '"').to_numpy().astype(np.int64)
+        filled = pc.greater(pc.binary_length(lines), 0).to_numpy(zero_copy_only=False)
+        edges = [0, *(np.flatnonzero(np.diff(ids)) + 1).tolist(), len(ids)]
+        for low, high in zip(edges[:-1], edges[1:], strict=True):
+            if low == high:
+                continue
+            if ids[low] != split:
+                if held:
+                    yield split, opens, False, pa.array(["\n".join(held)])
+                split, quotes, held, opens = int(ids[low]), int(before[low]), [], False
+            above = quotes + np.cumsum(counts[low:high]) - counts[low:high]
+            quotes += int(counts[low:high].sum())
+            inside = above % 2 == 1
+            kept = inside | filled[low:high]
+            own = lines.slice(low, high - low).filter(pa.array(kept))
+            starts = np.flatnonzero(~inside[kept])
+            if not len(starts):
+                held += [joined(own)] if len(own) else []
+                continue
+            first, last = int(starts[0]), int(starts[-1])
+            held += [joined(own.slice(0, first))] if first else []
+            if held:
+                yield split, opens, True, pa.array(["\n".join(held)])
+            if last > first:
+                offsets = pa.array(starts - first, pa.int32())
+                yield split, True, True, pc.binary_join(pa.ListArray.from_arrays(offsets, own.slice(first, last - first)), "\n")
+            held, opens = [joined(own.slice(last))], True
+    if held:
+        yield split, opens, False, pa.array(["\n".join(held)])
+
+
+def _records_within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records that are known to begin and end in their split."""
+    for _, opens, closes, texts in _records(batches):
+        if opens and closes:
+            yield pa.RecordBatch.from_arrays([texts], ["record"])
+
+
+def _records_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What a split begins with of an earlier one's record, and the record it ends in."""
+    for split, opens, closes, texts in _records(batches):
+        if not (opens and closes):
+            yield pa.RecordBatch.from_arrays([pa.array([split], pa.int64()), pa.array([opens]), texts], ["split", "opens", "part"])
 
 
 def file_manifest(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:

@@ -48,6 +48,35 @@ def test_csv_is_split_inside_quoted_fields(spark, tmp_path):
     assert found == Counter(map(tuple, readers.read_csv(spark, str(tmp_path), whole_files=True).collect()))
 
 
+def test_csv_splits_are_read_in_place(spark, tmp_path):
+    folder, shared = tmp_path / "in", f"{shared_folder(spark)}/lectern"
+    folder.mkdir()
+    rng = random.Random(9)
+    rows = [(str(i), "".join(rng.choices('ab,"\n\u00e9', k=60 if i % 70 else 9_000)), "end") for i in range(3_000)]
+    with open(folder / "a.csv", "w", newline="") as out:
+        csv.writer(out, quoting=csv.QUOTE_ALL, lineterminator="\n").writerows(rows)
+    size = (folder / "a.csv").stat().st_size
+    earlier = set(os.listdir(shared.removeprefix("file:"))) if os.path.isdir(shared.removeprefix("file:")) else set()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 8_000)
+    try:
+        read = readers.read_csv(spark, str(folder))
+        assert Counter(map(tuple, read.collect())) == Counter(rows)
+        # Nothing but a row for each split is written; lines are not dealt anew.
+        new = [os.path.join(d, f) for n in set(os.listdir(shared.removeprefix("file:"))) - earlier
+               for d, _, files in os.walk(os.path.join(shared.removeprefix("file:"), n)) for f in files]
+        assert sum(map(os.path.getsize, new)) < size / 4
+        spread = read._jdf.queryExecution().executedPlan().toString()
+        assert not [line for line in spread.splitlines() if "Exchange hashpartitioning" in line and "block" in line]
+        # Splits that are cut otherwise later give the same records, or an error.
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 16_000)
+        assert Counter(map(tuple, read.select("*").collect())) == Counter(rows)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 5_000)
+        with pytest.raises(Exception, match="have changed"):
+            read.select("*").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_content_scan(spark, tmp_path):
     spark.createDataFrame([("a", 1), (None, 2)], "text string, x int").write.parquet(str(tmp_path / "t"))
     assert sorted(r["text"] for r in readers.scan_content(spark, str(tmp_path / "t")).collect()) == ["", "a"]
