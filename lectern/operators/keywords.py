@@ -80,29 +80,41 @@ def keywords(
     """The k terms of each document with the highest tf * idf: (key, term, tf, score, rank).
 
     The texts are read once: term counts are written, and the vocabulary comes from them. It is
-    measured, and if it fits, broadcast whole. Otherwise the most frequent terms are, however long:
+    measured, and if it fits, broadcast whole. Otherwise as many of the most frequent terms are as do, however long:
     they settle nearly all postings without a shuffle and take the hot keys out of the shuffle join
-    that is left for the rare terms. Either way the rank is cut to k per document before rows move.
+    that is left for the rare terms, if there are any but those of a single document. Either way the rank is cut to k per document before rows move.
     """
     tf = materialize(term_frequency(docs, key, text), "tf")
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
     weights = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     vocabulary = materialize(weights.withColumn("idf", F.log(n_docs / F.col("df"))), "idf")
-    size = vocabulary.agg(F.sum("df").alias("postings"), F.sum(row_bytes("term")).alias("bytes")).first()
-    if (size["bytes"] or 0) <= cfg.broadcast_bytes:
+    # Bytes by power of two of the frequency, 63 rows at most.
+    coded_bytes = F.least(F.octet_length("term"), F.lit(DIGEST_BYTES)) + ROW_BYTES
+    power = F.floor(F.log2("df") + 1e-9).alias("power")
+    sizes = vocabulary.groupBy(power).agg(
+        F.sum("df").alias("postings"), F.sum(row_bytes("term")).alias("bytes"), F.sum(coded_bytes.cast("bigint")).alias("coded")
+    ).collect()
+    if sum(r["bytes"] for r in sizes) <= cfg.broadcast_bytes:
         weighted = tf.join(F.broadcast(vocabulary), "term")
     else:
-        # No more than postings / limit terms reach the limit, so `frequent` fits the budget.
+        # No more than postings / limit terms reach the limit, so `frequent` fits the budget; mostly a much lower limit does.
         rows = max(cfg.broadcast_bytes // (DIGEST_BYTES + ROW_BYTES), 1)
-        limit = size["postings"] // rows + 1
+        limit = sum(r["postings"] for r in sizes) // rows + 1
+        fitting = [p for p in range(1, 64) if sum(r["coded"] for r in sizes if r["power"] >= p) <= cfg.broadcast_bytes]
+        limit = min(limit, 1 << fitting[0])
         short = F.octet_length("term") < DIGEST_BYTES
         code = F.when(short, F.col("term")).otherwise(F.md5(F.encode("term", "UTF-8"))).alias("_code")
         frequent = F.broadcast(vocabulary.where(F.col("df") >= limit).select(code, "idf"))
-        rare = vocabulary.where(F.col("df") < limit).select("term", "idf").hint("shuffle_merge")
+        # Terms of one document need no lookup: what is found nowhere is one of them.
+        once = F.coalesce("idf", F.log(n_docs / F.lit(1))).alias("idf")
         coded = tf.select("*", code)
-        settled = coded.join(frequent, "_code").drop("_code")
-        others = coded.join(frequent.select("_code"), "_code", "left_anti").drop("_code")
-        weighted = settled.unionByName(others.join(rare, "term"))
+        if limit <= 2:
+            weighted = coded.join(frequent, "_code", "left").select(key, "term", "tf", once)
+        else:
+            rare = vocabulary.where((F.col("df") < limit) & (F.col("df") > 1)).select("term", "idf").hint("shuffle_merge")
+            settled = coded.join(frequent, "_code").select(key, "term", "tf", "idf")
+            others = coded.join(frequent.select("_code"), "_code", "left_anti").drop("_code")
+            weighted = settled.unionByName(others.join(rare, "term", "left").select(key, "term", "tf", once))
     scored = weighted.select(key, "term", "tf", F.round(F.col("tf") * F.col("idf"), 6).alias("score"))
     best_first = W.partitionBy(key).orderBy(F.desc("score"), F.asc("term"))
     return (

@@ -211,3 +211,15 @@ def test_section_ranges_keep_rows_without_document_or_line(spark):
     for chunk in (1, 3, 10_000):
         ranges = sections.section_ranges(markers, cfg=JobConfig(outline_chunk=chunk)).collect()
         assert sorted((r["name"], r["page_end"]) for r in ranges) == wanted
+
+
+def test_terms_of_one_document_are_not_looked_up(spark):
+    # 300 terms of one document each, 40 shared ones; what fits holds the shared ones only.
+    texts = [(d, " ".join([f"own{d}x{i}" for i in range(10)] + [f"common{(d + i) % 40}" for i in range(20)])) for d in range(30)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").cache()
+    whole = keywords.keywords(docs, 25)
+    for budget, joins in ((4_000, False), (1_200, True)):
+        got = keywords.keywords(docs, 25, cfg=JobConfig(broadcast_bytes=budget))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert ("SortMergeJoin" in plan) == joins
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, whole.collect()))
