@@ -112,6 +112,9 @@ def choose_features(
     return [(r["f"], r["odds"]) for r in best.orderBy(F.abs("z").desc(), "f").limit(n_features).collect()]
 
 
+RATES = pa.schema([("grade", pa.int32()), ("at", pa.list_(pa.int32())), ("rate", pa.list_(pa.float64()))])
+
+
 def _rates(names: list[str]):
     """Sparse rows of the model's x: (grade, indices, values)."""
     index = {f: i for i, f in enumerate(names)}
@@ -127,16 +130,15 @@ def _rates(names: list[str]):
                         if f in index:
                             counts[index[f]] += n
                 out.append((grade, list(counts), [100 * n / len(words) for n in counts.values()]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.list_(pa.int32()), pa.list_(pa.float64())))],
-                ["grade", "at", "rate"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(RATES)], schema=RATES)
 
     return run
 
 
-def _fit(rows: pa.Table, weights, n_features: int, n_grades: int, steps: int, ridge: float):
+def _fit(rows: pa.Table | list[dict], weights, n_features: int, n_grades: int, steps: int, ridge: float):
     """Maximum likelihood by Adam; thresholds stay ordered as a first cut and positive gaps."""
+    if not isinstance(rows, pa.Table):
+        rows = pa.Table.from_pylist(rows, RATES)
     y = rows["grade"].to_numpy()
     w = np.array([weights[g > 0] for g in y], dtype=float)
     w /= w.sum()
