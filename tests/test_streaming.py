@@ -63,6 +63,23 @@ def test_streams_of_tables_in_several_files(spark, small, sql, tmp_path, name):
     assert rows(df.columns, df.collect()) == rows([d[0] for d in cursor.description], cursor.fetchall())
 
 
+@pytest.mark.parametrize("name", ["stream_route", "stream_accepted_counts", "stream_latest_status"])
+def test_streams_of_tables_without_rows(spark, small, tmp_path, name):
+    for table in ("documents", "events"):
+        spark.read.parquet(f"{small}/{table}.parquet").limit(0).write.parquet(f"{tmp_path}/{table}.parquet")
+    df, whole = queries()[name](spark, str(tmp_path)), queries()[name](spark, small)
+    assert df.dtypes == whole.dtypes and df.collect() == []
+
+
+@pytest.mark.parametrize("name", ["stream_route", "stream_latest_status"])
+def test_streams_of_partitioned_tables(spark, small, sql, tmp_path, name):
+    documents = spark.read.parquet(f"{small}/documents.parquet")
+    documents.write.partitionBy("source", "lang").parquet(f"{tmp_path}/documents.parquet")
+    df = queries()[name](spark, str(tmp_path))
+    cursor = sql.execute(oracle_sql()[name])
+    assert rows(df.columns, df.collect()) == rows([d[0] for d in cursor.description], cursor.fetchall())
+
+
 def counter_files(spark, folder, times):
     for at in times:
         df = spark.createDataFrame([(t, 2) for t in at], "t string, n_requests int")
